@@ -6,8 +6,6 @@ Parameters follow the reference's defaults: K = 50 counters, N = 20 samples.
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,6 +14,7 @@ from trendlens.operators import exact as ex
 from trendlens.operators import misra_gries as mg
 from trendlens.operators import reservoir as rs
 from trendlens.plans import sql as S
+from trendlens.plans.registry import ORACLES, QUERIES, register  # noqa: F401
 from trendlens.sources.keywords import (
     doc_token_stream,
     event_type_stream,
@@ -25,22 +24,6 @@ from trendlens.sources.keywords import (
     user_stream,
 )
 
-Query = Callable[[SparkSession, str], DataFrame]
-
-QUERIES: dict[str, Query] = {}
-ORACLES: dict[str, str] = {}
-
-
-def register(name: str, oracle: str | None = None):
-    def deco(fn: Query) -> Query:
-        QUERIES[name] = fn
-        if oracle is not None:
-            ORACLES[name] = oracle
-        return fn
-
-    return deco
-
-
 K = DEFAULT_K
 N = DEFAULT_N
 SEED = DEFAULT_SEED

@@ -8,12 +8,12 @@ import pandas as pd
 
 
 def _norm(v):
-    if v is None:
+    if v is None or v is pd.NA or v is pd.NaT:
         return None
     if isinstance(v, float):
         if math.isnan(v):
             return None
-        return round(v, 6)
+        return int(v) if v.is_integer() else round(v, 6)
     if hasattr(v, "item") and not isinstance(v, (str, bytes)):
         try:
             return _norm(v.item())

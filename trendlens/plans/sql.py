@@ -73,3 +73,48 @@ def reservoir_cte(name: str, source: str, n: int, seed: str) -> str:
         f"keyword, priority, uid FROM (SELECT md5('{seed}:' || uid) AS priority, uid, keyword FROM {source} "
         f"ORDER BY priority, uid LIMIT {n}))"
     )
+
+
+def search_ctes(seed: str) -> list[str]:
+    """The weighted-vocabulary search stream (one message per event)."""
+    from trendlens.operators.synth import HEAD_WEIGHTS, HEAD_WORDS, MID_WEIGHT, MID_WORDS, TAIL_SIZE, TAIL_WEIGHT
+
+    named = list(zip(HEAD_WORDS, HEAD_WEIGHTS)) + [(w, MID_WEIGHT) for w in MID_WORDS]
+    values = ", ".join(f"({i}, '{w}', {wt})" for i, (w, wt) in enumerate(named))
+    return [
+        f"""vocab AS (
+  SELECT * FROM (VALUES {values}) v(ord, keyword, weight)
+  UNION ALL
+  SELECT {len(named)} + i AS ord, 'uuid_' || substr(md5(CAST(i AS VARCHAR)), 1, 8) AS keyword, {TAIL_WEIGHT} AS weight
+  FROM range({TAIL_SIZE}) t(i))""",
+        """iv AS (
+  SELECT keyword,
+         sum(weight) OVER (ORDER BY ord ROWS UNBOUNDED PRECEDING) - weight AS lo,
+         sum(weight) OVER (ORDER BY ord ROWS UNBOUNDED PRECEDING) AS hi
+  FROM vocab WHERE weight > 0)""",
+        f"""srch AS (
+  SELECT iv.keyword, d."timestamp", d.uid, d.event_id FROM (
+    SELECT CAST(event_id AS VARCHAR) AS uid, (epoch_us(ts) // 1000) AS "timestamp", event_id,
+           CAST(('0x' || substr(md5('{seed}:draw:' || CAST(event_id AS VARCHAR)), 1, 13)) AS BIGINT)
+             % (SELECT max(hi) FROM iv) AS draw
+    FROM events) d
+  JOIN iv ON d.draw >= iv.lo AND d.draw < iv.hi)""",
+    ]
+
+
+def counters_cte(name: str, source: str) -> str:
+    """One batch's counters: total, batch size and the newest message time in seconds."""
+    return (
+        f'{name} AS (SELECT count(*) AS total_processed, count(*) AS last_batch_count, '
+        f'coalesce(max("timestamp") // 1000, 0) AS last_update_epoch FROM {source})'
+    )
+
+
+def format_bytes_sql(x: str) -> str:
+    """F6 in DuckDB: printf rounds halves to even like the reference's formatting."""
+    units = ["B", "KB", "MB", "GB", "TB"]
+    arms = " ".join(
+        f"WHEN ({x})::DOUBLE / {float(1024**i)} < 1024.0 THEN printf('%.2f {u}', ({x})::DOUBLE / {float(1024**i)})"
+        for i, u in enumerate(units)
+    )
+    return f"(CASE {arms} END)"
