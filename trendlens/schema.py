@@ -39,6 +39,20 @@ RESERVOIR_STATE = StructType(
     ]
 )
 
+EXACT_TOP = StructType(
+    [
+        StructField("keyword", StringType(), False),
+        StructField("exact_count", LongType(), False),
+    ]
+)
+
+SAMPLES = StructType(
+    [
+        StructField("sample_index", IntegerType(), True),
+        StructField("keyword", StringType(), True),
+    ]
+)
+
 EXACT_STATE = StructType(
     [
         StructField("keyword", StringType(), False),
@@ -65,7 +79,6 @@ STREAM_META = StructType(
         StructField("last_batch_count", LongType(), False),
         StructField("last_update_epoch", LongType(), False),
         StructField("reset_token", LongType(), False),
-        StructField("mg_error_bound", LongType(), False),
         StructField("exact_base_epoch", LongType(), False),
         StructField("exact_epochs", ArrayType(LongType(), False), False),
         StructField("published", IntegerType(), False),
