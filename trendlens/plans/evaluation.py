@@ -20,15 +20,20 @@ from trendlens.sources.keywords import read_table
 K, N, SEED = DEFAULT_K, DEFAULT_N, DEFAULT_SEED
 
 # Shared CTEs: tokens, MG summary, exact counts and top-K, sample, totals.
-_BASE = [
-    S.DOC_TOK,
-    S.counts_cte("c", "doc_tok"),
-    S.mg_prune_cte("mg", "c", K),
-    "ex AS (SELECT keyword, count(*) AS exact_count FROM doc_tok GROUP BY keyword)",
-    f"et AS (SELECT keyword, exact_count FROM ex ORDER BY exact_count DESC, keyword LIMIT {K})",
-    S.reservoir_cte("r", "doc_tok", N, SEED),
-    "tot AS (SELECT count(*) AS t FROM doc_tok)",
-]
+def base_ctes(mg_ctes: list[str] | None = None) -> list[str]:
+    """``mg_ctes`` must define a CTE named ``mg``; default: one-batch MG of all tokens."""
+    mg_part = mg_ctes if mg_ctes is not None else [S.counts_cte("c", "doc_tok"), S.mg_prune_cte("mg", "c", K)]
+    return [
+        S.DOC_TOK,
+        *mg_part,
+        "ex AS (SELECT keyword, count(*) AS exact_count FROM doc_tok GROUP BY keyword)",
+        f"et AS (SELECT keyword, exact_count FROM ex ORDER BY exact_count DESC, keyword LIMIT {K})",
+        S.reservoir_cte("r", "doc_tok", N, SEED),
+        "tot AS (SELECT count(*) AS t FROM doc_tok)",
+    ]
+
+
+_BASE = base_ctes()
 
 _TVD = [
     "sc AS (SELECT keyword, count(*) AS s FROM r GROUP BY keyword)",
@@ -95,9 +100,10 @@ def q_state_size(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ev.state_size(summary, exact, sample)
 
 
-_EVAL_SQL = (
-    S.with_(*_BASE, *_TVD, *_SIZES)
-    + f"""SELECT
+def eval_sql(base: list[str]) -> str:
+    return (
+        S.with_(*base, *_TVD, *_SIZES)
+        + f"""SELECT
   CASE WHEN (SELECT count(*) FROM et) > 0
        THEN round((SELECT count(*) FROM mg WHERE keyword IN (SELECT keyword FROM et))::DOUBLE / (SELECT count(*) FROM et), 6)
        ELSE 0.0 END AS topk_recall_at_k,
@@ -110,7 +116,10 @@ _EVAL_SQL = (
   (SELECT count(*) FROM ex) AS exact_unique,
   {_SIZES_SELECT},
   1 AS exact_baseline_enabled"""
-)
+    )
+
+
+_EVAL_SQL = eval_sql(_BASE)
 
 
 @register("eval_metrics", _EVAL_SQL)
