@@ -57,6 +57,7 @@ def test_exact_compaction_matches_sum(spark):
     words = list("abcabcaab")
     for e in range(3):
         fold(words_df(spark, words).withColumn("uid", F.concat(F.lit(f"{e}:"), "uid")), e)
-    meta = fold.read_meta(2)
+    _, meta = fold.meta_before(2)
+    assert meta.exact_base_epoch == 1 and meta.exact_epochs == (2,)
     got = {r["keyword"]: r["n"] for r in fold.exact_state(meta).collect()}
     assert got == {"a": 12, "b": 9, "c": 6}

@@ -12,7 +12,7 @@ global aggregate), so there is no cartesian product anywhere.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from trendlens.functions.scalar import payload_bytes, round6, safe_ratio
@@ -46,41 +46,47 @@ def eval_missed(mg: DataFrame, exact_top: DataFrame) -> DataFrame:
     return exact_top.join(F.broadcast(mg.select("keyword")), "keyword", "left_anti")
 
 
-def reservoir_tvd(exact: DataFrame, sample: DataFrame, totals: DataFrame) -> DataFrame:
-    """TVD = ½ Σ_w |p_w - q_w| over the exact keywords, p = exact/total, q = sample/size.
+def _sample_side(sample: DataFrame) -> DataFrame:
+    """One row: sample size and payload bytes."""
+    return sample.agg(
+        F.count(F.lit(1)).cast("double").alias("_size"),
+        F.coalesce(F.sum(payload_bytes("keyword")), F.lit(0)).cast("long").alias("reservoir_memory_bytes"),
+    )
 
-    Computed from the ≤ N sampled keywords only: keywords outside the sample add
-    p_w, so Σ = (T - Σ_{w∈S} c_w)/T + Σ_{w∈S} |c_w/T - s_w/|S||. The exact table
-    is scanned once by a broadcast join with the sample counts. No sample, no
-    data or no exact counts: TVD 1 and similarity 0.
-    """
-    sample_counts = sample.groupBy("keyword").agg(F.count(F.lit(1)).alias("s"))  # ≤ N rows
-    hits = exact.join(F.broadcast(sample_counts), "keyword").select(
-        F.col("exact_count").cast("double").alias("c"), F.col("s").cast("double").alias("s")
+
+def _exact_side(exact: DataFrame, sample: DataFrame) -> DataFrame:
+    """One pass over the exact counts: distinct keywords, payload bytes, and the exact
+    counts of the ≤ N sampled keywords (broadcast join), collected as a ≤ N-element list."""
+    sample_counts = sample.groupBy("keyword").agg(F.count(F.lit(1)).cast("double").alias("s"))  # ≤ N rows
+    joined = exact.join(F.broadcast(sample_counts), "keyword", "left")
+    hit = F.struct(F.col("exact_count").cast("double").alias("c"), F.col("s"))
+    return joined.agg(
+        F.count(F.lit(1)).cast("long").alias("exact_unique"),
+        F.coalesce(F.sum(payload_bytes("keyword")), F.lit(0)).cast("long").alias("exact_memory_bytes"),
+        F.collect_list(F.when(F.col("s").isNotNull(), hit)).alias("_hits"),
     )
-    scalars = stitch(
+
+
+def _tvd(total: Column, size: Column, exact_rows: Column, hits: Column) -> Column:
+    """A7 from the sampled keywords only: Σ_w |p_w - q_w| = (T - Σ_S c)/T + Σ_S |c/T - s/|S||,
+    since every keyword outside the sample contributes its p_w. Not defined -> 1.0."""
+    sum_c = F.aggregate(hits, F.lit(0.0), lambda acc, h: acc + h["c"])
+    sum_term = F.aggregate(hits, F.lit(0.0), lambda acc, h: acc + F.abs(h["c"] / total - h["s"] / size))
+    valid = (size > 0) & (total > 0) & (exact_rows > 0)
+    return F.when(valid, F.lit(0.5) * ((total - sum_c) / total + sum_term)).otherwise(F.lit(1.0))
+
+
+def reservoir_tvd(exact: DataFrame, sample: DataFrame, totals: DataFrame) -> DataFrame:
+    """A7 + J2: TVD = ½ Σ_w |p_w - q_w| over the exact keywords, p = exact/total, q = sample/size;
+    similarity = max(0, 1 - TVD). No sample, no data or no exact counts: TVD 1, similarity 0.
+    The exact table is scanned once (broadcast join with the ≤ N sample counts)."""
+    row = stitch(
+        _exact_side(exact, sample),
+        _sample_side(sample),
         totals.agg(F.max("total_processed").cast("double").alias("_t")),
-        sample.agg(F.count(F.lit(1)).cast("double").alias("_size")),
-        exact.agg(F.count(F.lit(1)).alias("_exact_rows")),
-    )
-    rows = hits.unionByName(scalars, allowMissingColumns=True)
-    whole = Window.partitionBy()  # ≤ N + 1 rows
-    t = F.max("_t").over(whole)
-    size = F.max("_size").over(whole)
-    term = F.abs(F.col("c") / t - F.col("s") / size)
-    per = rows.select(
-        F.col("c"), term.alias("term"), t.alias("t"), size.alias("size"), F.max("_exact_rows").over(whole).alias("e")
     )
-    agg = per.agg(
-        F.max("t").alias("t"),
-        F.max("size").alias("size"),
-        F.max("e").alias("e"),
-        F.coalesce(F.sum("c"), F.lit(0.0)).alias("sum_c"),
-        F.coalesce(F.sum("term"), F.lit(0.0)).alias("sum_term"),
-    )
-    valid = (F.col("size") > 0) & (F.col("t") > 0) & (F.col("e") > 0)
-    tvd = F.when(valid, F.lit(0.5) * ((F.col("t") - F.col("sum_c")) / F.col("t") + F.col("sum_term"))).otherwise(1.0)
-    return agg.select(
+    tvd = _tvd(F.col("_t"), F.col("_size"), F.col("exact_unique"), F.col("_hits"))
+    return row.select(
         round6(tvd).alias("reservoir_tvd"),
         round6(F.greatest(F.lit(0.0), F.lit(1.0) - tvd)).alias("reservoir_similarity"),
     )
@@ -148,31 +154,52 @@ def evaluate(
             F.lit(0).alias("exact_baseline_enabled"),
         )
     top = exact_topk(exact, k)
+    # ≤ K MG rows and ≤ K top rows, side by side per keyword (no join).
+    pairs = (
+        mg.select("keyword", F.col("approx_count").alias("m"), F.lit(None).cast("long").alias("x"))
+        .unionByName(top.select("keyword", F.lit(None).cast("long").alias("m"), F.col("exact_count").alias("x")))
+        .groupBy("keyword")
+        .agg(F.max("m").alias("m"), F.max("x").alias("x"))
+    )
+    in_mg, in_top = F.col("m").isNotNull(), F.col("x").isNotNull()
+    def first(cnt: Column) -> Column:
+        """The keyword with the largest count, smallest keyword on ties (rows without a count ignored)."""
+        return F.min_by("keyword", F.when(cnt.isNotNull(), F.struct(-cnt, F.col("keyword"))))
+
+    pair_side = pairs.agg(
+        F.count("m").cast("long").alias("mg_unique"),
+        F.count("x").cast("long").alias("_top_size"),
+        F.count_if(in_mg & in_top).cast("long").alias("overlap_count"),
+        first(F.col("m")).alias("_mg_top1"),
+        first(F.col("x")).alias("_exact_top1"),
+        F.coalesce(F.sum(F.when(in_mg, payload_bytes("keyword"))), F.lit(0)).cast("long").alias("mg_memory_bytes"),
+    )
     row = stitch(
-        eval_overlap(mg, top).agg(F.count(F.lit(1)).cast("long").alias("overlap_count")),
-        top.agg(F.count(F.lit(1)).cast("long").alias("_top_size")),
-        top1(mg, "approx_count", "_mg_top1"),
-        top1(top, "exact_count", "_exact_top1"),
-        reservoir_tvd(exact, sample, totals),
-        mg.agg(F.count(F.lit(1)).cast("long").alias("mg_unique")),
-        exact.agg(F.count(F.lit(1)).cast("long").alias("exact_unique")),
-        state_size(mg, exact, sample),
+        pair_side,
+        _exact_side(exact, sample),
+        _sample_side(sample),
+        totals.agg(F.max("total_processed").cast("double").alias("_t")),
     )
+    tvd = _tvd(F.col("_t"), F.col("_size"), F.col("exact_unique"), F.col("_hits"))
     has_top = F.col("_top_size") > 0
+    saved = F.when(
+        F.col("exact_memory_bytes") > 0,
+        (F.col("exact_memory_bytes") - F.col("mg_memory_bytes")).cast("double") / F.col("exact_memory_bytes") * 100.0,
+    ).otherwise(0.0)
     return row.select(
         F.when(has_top, round6(safe_ratio(F.col("overlap_count"), F.col("_top_size")))).otherwise(0.0).alias(
             "topk_recall_at_k"
         ),
         F.when(has_top & (F.col("_mg_top1") == F.col("_exact_top1")), 1).otherwise(0).alias("top1_match"),
         F.when(has_top, F.col("overlap_count")).otherwise(0).cast("long").alias("overlap_count"),
-        F.when(has_top, F.col("reservoir_tvd")).otherwise(1.0).alias("reservoir_tvd"),
-        F.when(has_top, F.col("reservoir_similarity")).otherwise(0.0).alias("reservoir_similarity"),
+        F.when(has_top, round6(tvd)).otherwise(1.0).alias("reservoir_tvd"),
+        F.when(has_top, round6(F.greatest(F.lit(0.0), F.lit(1.0) - tvd))).otherwise(0.0).alias("reservoir_similarity"),
         "mg_unique",
         "exact_unique",
         "mg_memory_bytes",
         "exact_memory_bytes",
         "reservoir_memory_bytes",
-        "memory_saved_percent",
+        round6(saved).alias("memory_saved_percent"),
         F.lit(1).alias("exact_baseline_enabled"),
     )
 

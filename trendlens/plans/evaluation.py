@@ -57,11 +57,13 @@ _SIZES_SELECT = """(SELECT b FROM ms) AS mg_memory_bytes, (SELECT b FROM es) AS
 
 
 def _parts(spark: SparkSession, sf_dir: str):
+    """MG summary, exact counts and totals all come from ONE aggregation of the tokens
+    (a single shuffle, reused by every branch); the sample is one more scan."""
     tokens = doc_tokens(spark, sf_dir)
-    summary = mg.misra_gries(tokens, K)
     exact = ex.exact_counts(tokens)
+    summary = mg.mg_prune(exact.select("keyword", F.col("exact_count").alias("n")), K)
     sample = rs.reservoir_sample(tokens, N, "uid", SEED)
-    totals = tokens.agg(F.count(F.lit(1)).cast("long").alias("total_processed"))
+    totals = exact.agg(F.sum("exact_count").cast("long").alias("total_processed"))
     return summary, exact, sample, totals
 
 

@@ -34,7 +34,7 @@ from trendlens.sources.snapshot import (
     read_mg_history,
     read_samples,
 )
-from trendlens.streaming.fold import EpochFold
+from trendlens.streaming.fold import EpochFold, Meta
 from trendlens.streaming.query import Step, replay
 from trendlens.streaming.state import EpochStore
 
@@ -158,9 +158,8 @@ def q_stream_eval_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_stream_replay_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K3: the cumulative exact state after the replay equals the one-batch exact counts."""
     store = run(spark, sf_dir, "plain")
-    fold = EpochFold(store)
-    meta = fold.read_meta(store.last_committed())
-    return fold.exact_state(meta).select("keyword", F.col("n").alias("exact_count"))
+    meta = Meta.from_row(store.latest_entry())
+    return EpochFold(store).exact_state(meta).select("keyword", F.col("n").alias("exact_count"))
 
 
 @register(

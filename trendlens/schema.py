@@ -70,9 +70,12 @@ CONTROL = StructType(
     ]
 )
 
-# Per-epoch scalar state (ours): what the reference kept in process globals.
-STREAM_META = StructType(
+# Per-epoch log row (ours): the commit record of an epoch and the scalar state the
+# reference kept in process globals.
+STREAM_LOG = StructType(
     [
+        StructField("epoch", LongType(), False),
+        StructField("batch_count", LongType(), False),
         StructField("k", IntegerType(), False),
         StructField("n", IntegerType(), False),
         StructField("total_processed", LongType(), False),
@@ -81,7 +84,19 @@ STREAM_META = StructType(
         StructField("reset_token", LongType(), False),
         StructField("exact_base_epoch", LongType(), False),
         StructField("exact_epochs", ArrayType(LongType(), False), False),
-        StructField("published", IntegerType(), False),
+        StructField("state_epoch", LongType(), False),
+        StructField("snapshot_epoch", LongType(), False),
+    ]
+)
+
+# Sketch state of one epoch: MG counters (kind 'mg') and reservoir slots (kind 'slot').
+SKETCH_STATE = StructType(
+    [
+        StructField("kind", StringType(), False),
+        StructField("keyword", StringType(), False),
+        StructField("approx_count", LongType(), True),
+        StructField("priority", StringType(), True),
+        StructField("uid", StringType(), True),
     ]
 )
 
@@ -110,6 +125,18 @@ EVAL_METRICS_FIELDS = [
 
 EVAL_METRICS = StructType([StructField(name, dtype, True) for name, dtype, _ in EVAL_METRICS_FIELDS])
 
+# A published snapshot, one table: record_type is hot_topic | exact_topic | sample | counters | metrics.
+SNAPSHOT = StructType(
+    [
+        StructField("record_type", StringType(), False),
+        StructField("keyword", StringType(), True),
+        StructField("count", LongType(), True),
+        StructField("sample_index", IntegerType(), True),
+    ]
+    + COUNTERS.fields
+    + EVAL_METRICS.fields
+)
+
 # One exported record; a tagged union on record_type.
 EXPORT_RECORD = StructType(
     [

@@ -30,7 +30,7 @@ class Export:
 
 
 def write_jsonl(frame: DataFrame, path: str, single_file: bool = True) -> None:
-    out = frame.coalesce(1) if single_file else frame
+    out = frame.repartition(1) if single_file else frame  # a shuffle boundary, not a 1-task upstream
     out.write.mode("overwrite").option("ignoreNullFields", "false").json(path)
 
 

@@ -28,7 +28,7 @@ class Control:
 
 def latest_control(store: EpochStore) -> Control | None:
     """The newest control record (one row to the driver), or None."""
-    log = store.log("control")
+    log = store.table("control")
     if log is None:
         return None
     row = log.orderBy(F.col("version").desc()).limit(1).first()
@@ -71,4 +71,4 @@ def parse_setting(text: str | None, current: int) -> int:
 
 
 def control_frame(store: EpochStore) -> DataFrame | None:
-    return store.log("control")
+    return store.table("control")

@@ -2,22 +2,24 @@
 
 Per epoch e, in the reference's order -- config, reset, rows, counters, publish:
 
-1. if e is already committed, return (a replayed epoch has the same effect once);
-2. read the last committed epoch < e: its one-row meta (to the driver) and its
-   MG / reservoir state tables (≤ K and ≤ R rows);
-3. read the newest control record: resize (K down keeps the K largest counters;
-   N changes which slots are shown), then reset if a new token is seen;
-4. count the batch; fold it into MG, reservoir and (if enabled) exact state, all
-   with DataFrame operators on the executors -- nothing event-sized reaches the
-   driver;
-5. write state, snapshot, epoch log and finally the commit record for e.
-
-An empty batch carries the state forward (with any resize / reset applied) and
-publishes nothing, except that a reset empties the published hot topics,
-exact top-K, samples and metrics while the counters stay as they were.
-
-Exact counts are stored as per-epoch deltas plus a base compacted every
-``compact_every`` epochs, so an epoch writes only its own keywords.
+1. read the newest log row ≤ e (one row): if it is e, the epoch is already
+   committed and a redelivery changes nothing; otherwise it is the previous state;
+2. read the newest control record (one row): resize (K down keeps the K largest
+   counters, counts unchanged; N changes how many slots are shown), then reset if
+   its token is new (sketches, exact counts and counters cleared; k, n kept);
+3. count the batch, fold it into the MG counters, the reservoir and -- if
+   enabled -- the exact counts, all with DataFrame operators on the executors;
+   nothing event-sized reaches the driver;
+4. write the sketch state, the snapshot (one table: hot topics, exact top-K,
+   samples, counters, metrics) and last the log row, which commits the epoch.
+
+An empty batch publishes nothing and keeps the counters, but config and reset
+still apply; a reset then publishes an empty snapshot that keeps the previous
+counters (those keys were never cleared by a reset). An epoch with nothing to
+change writes only its log row, which points at the earlier state.
+
+Exact counts are per-epoch deltas plus a base compacted every ``compact_every``
+epochs, so an epoch writes only the keywords of its own batch.
 """
 
 from __future__ import annotations
@@ -35,24 +37,17 @@ from trendlens.operators import evaluate as ev
 from trendlens.operators import exact as ex
 from trendlens.operators import misra_gries as mg
 from trendlens.operators import reservoir as rs
-from trendlens.schema import (
-    COUNTERS,
-    EVAL_METRICS,
-    EXACT_STATE,
-    EXACT_TOP,
-    MG_STATE,
-    RESERVOIR_STATE,
-    SAMPLES,
-    STREAM_META,
-)
+from trendlens.schema import EXACT_STATE, MG_STATE, RESERVOIR_STATE, SKETCH_STATE, SNAPSHOT
 from trendlens.streaming.control import latest_control, parse_setting
 from trendlens.streaming.state import EpochStore
 
-SNAPSHOT_TABLES = ("hot_topics", "exact_top_topics", "samples", "counters", "eval_metrics")
-
 
 @dataclass(frozen=True)
 class Meta:
+    """Scalar state after an epoch (one log row)."""
+
+    epoch: int
+    batch_count: int
     k: int
     n: int
     total_processed: int = 0
@@ -61,10 +56,13 @@ class Meta:
     reset_token: int = 0
     exact_base_epoch: int = -1
     exact_epochs: tuple[int, ...] = ()
-    published: int = 0
+    state_epoch: int = -1  # epoch whose sketch state is current (-1: empty)
+    snapshot_epoch: int = -1  # epoch whose snapshot is published (-1: none)
 
-    def row(self):
+    def row(self) -> tuple:
         return (
+            self.epoch,
+            self.batch_count,
             self.k,
             self.n,
             self.total_processed,
@@ -73,15 +71,47 @@ class Meta:
             self.reset_token,
             self.exact_base_epoch,
             list(self.exact_epochs),
-            self.published,
+            self.state_epoch,
+            self.snapshot_epoch,
+        )
+
+    @staticmethod
+    def from_row(r) -> "Meta":
+        return Meta(
+            int(r["epoch"]),
+            int(r["batch_count"]),
+            int(r["k"]),
+            int(r["n"]),
+            int(r["total_processed"]),
+            int(r["last_batch_count"]),
+            int(r["last_update_epoch"]),
+            int(r["reset_token"]),
+            int(r["exact_base_epoch"]),
+            tuple(int(e) for e in r["exact_epochs"]),
+            int(r["state_epoch"]),
+            int(r["snapshot_epoch"]),
         )
 
 
+def mg_of(sketch: DataFrame) -> DataFrame:
+    return sketch.where(F.col("kind") == "mg").select("keyword", "approx_count")
+
+
+def slots_of(sketch: DataFrame) -> DataFrame:
+    return sketch.where(F.col("kind") == "slot").select("priority", "uid", "keyword")
+
+
+def as_sketch(mg_state: DataFrame, slots: DataFrame) -> DataFrame:
+    return mg_state.select(F.lit("mg").alias("kind"), "keyword", "approx_count").unionByName(
+        slots.select(F.lit("slot").alias("kind"), "keyword", "priority", "uid"), allowMissingColumns=True
+    )
+
+
 class EpochFold:
     """``foreachBatch`` body: ``fold(batch_df, epoch_id)``.
 
-    ``batch_df`` must already be parsed and admitted, with columns
-    ``keyword`` and ``uid`` (one id per occurrence).
+    ``batch_df`` must already be parsed and admitted, with columns ``keyword``
+    and ``uid`` (one id per occurrence).
     """
 
     def __init__(
@@ -105,23 +135,13 @@ class EpochFold:
 
     # -- state access --------------------------------------------------------------
 
-    def read_meta(self, epoch: int | None) -> Meta:
-        if epoch is None:
-            return Meta(self.k0, self.n0)
-        row = self.store.read("state/meta", epoch, STREAM_META).first()
+    def meta_before(self, epoch: int) -> tuple[bool, Meta]:
+        """(committed?, state to start from) for epoch e -- one read of the log."""
+        row = self.store.last_entry(epoch)
         if row is None:
-            raise RuntimeError(f"committed epoch {epoch} has no meta row")
-        return Meta(
-            int(row["k"]),
-            int(row["n"]),
-            int(row["total_processed"]),
-            int(row["last_batch_count"]),
-            int(row["last_update_epoch"]),
-            int(row["reset_token"]),
-            int(row["exact_base_epoch"]),
-            tuple(int(e) for e in row["exact_epochs"]),
-            int(row["published"]),
-        )
+            return False, Meta(-1, 0, self.k0, self.n0)
+        meta = Meta.from_row(row)
+        return meta.epoch == int(epoch), meta
 
     def exact_state(self, meta: Meta) -> DataFrame:
         """Cumulative exact counts ``(keyword, n)``: the compacted base plus the deltas since."""
@@ -134,23 +154,25 @@ class EpochFold:
             return self.store.spark.createDataFrame([], EXACT_STATE)
         return parts[0] if not meta.exact_epochs else ex.sum_counts(parts)
 
-    def state_size(self, n: int) -> int:
+    def sketch(self, meta: Meta) -> DataFrame:
+        return self.store.read("state/sketch", meta.state_epoch, SKETCH_STATE)
+
+    def slots_kept(self, n: int) -> int:
         return max(self.n_max, n)
 
     # -- the fold ------------------------------------------------------------------
 
     def __call__(self, batch: DataFrame, epoch_id: int) -> None:
         store, spark, e = self.store, self.store.spark, int(epoch_id)
-        if store.is_committed(e):
+        committed, meta = self.meta_before(e)
+        if committed:
             return
-        prev = store.last_committed_before(e)
-        meta = self.read_meta(prev)
-        mg_state = store.read("state/mg", prev, MG_STATE)
-        res_state = store.read("state/reservoir", prev, RESERVOIR_STATE)
+        sketch = self.sketch(meta)
+        mg_state, slots = mg_of(sketch), slots_of(sketch)
 
-        # 1. runtime config (S8, K5): invalid values are ignored field by field.
-        ctl = latest_control(store)
+        # 1. runtime config (S8, K5): invalid values are ignored, field by field.
         changed = False
+        ctl = latest_control(store)
         if ctl is not None:
             new_k = parse_setting(ctl.k, meta.k)
             if new_k != meta.k:
@@ -158,28 +180,23 @@ class EpochFold:
                 meta, changed = replace(meta, k=new_k), True
             new_n = parse_setting(ctl.n, meta.n)
             if new_n != meta.n:
-                res_state = res_state.orderBy("priority", "uid").limit(self.state_size(new_n))
+                slots = slots.orderBy("priority", "uid").limit(self.slots_kept(new_n))
                 meta, changed = replace(meta, n=new_n), True
-        # 2. reset (K6): clear sketches, exact counts and counters; k and n survive.
+        # 2. reset (K6)
         reset = ctl is not None and ctl.reset_token > meta.reset_token
         if reset:
             mg_state = spark.createDataFrame([], MG_STATE)
-            res_state = spark.createDataFrame([], RESERVOIR_STATE)
-            meta = replace(
-                meta,
-                total_processed=0,
-                reset_token=ctl.reset_token,
-                exact_base_epoch=-1,
-                exact_epochs=(),
-            )
+            slots = spark.createDataFrame([], RESERVOIR_STATE)
+            meta = replace(meta, total_processed=0, reset_token=ctl.reset_token, exact_base_epoch=-1, exact_epochs=())
             changed = True
 
-        # 3. rows: the batch is re-evaluated per action, so keep it for this epoch.
+        # 3. rows; the batch is re-evaluated per action, so keep it for this epoch.
         batch = batch.select("keyword", F.col("uid").cast("string").alias("uid")).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             batch_count = batch.count()
+            meta = replace(meta, epoch=e, batch_count=batch_count)
             if batch_count == 0:
-                self._empty_epoch(e, meta, mg_state, res_state, reset)
+                self._empty_epoch(meta, mg_state, slots, changed, reset)
                 return
             if self.enable_exact:
                 counts = ex.exact_counts(batch).select("keyword", F.col("exact_count").alias("n"))
@@ -189,86 +206,71 @@ class EpochFold:
                 meta = replace(meta, exact_epochs=meta.exact_epochs + (e,))
             else:
                 new_mg = mg.mg_update(mg_state, batch, meta.k)
-            new_res = rs.reservoir_update(res_state, batch, "uid", self.seed, self.state_size(meta.n))
-            store.write("state/mg", new_mg, e, bounded=True)
-            store.write("state/reservoir", new_res, e, bounded=True)
+            new_slots = rs.reservoir_update(slots, batch, "uid", self.seed, self.slots_kept(meta.n))
+            store.write("state/sketch", as_sketch(new_mg, new_slots), e, bounded=True)
         finally:
             batch.unpersist()
+        meta = replace(meta, state_epoch=e)
 
         if self.enable_exact and len(meta.exact_epochs) >= self.compact_every:
             store.write("state/exact_base", self.exact_state(meta), e)
             meta = replace(meta, exact_base_epoch=e, exact_epochs=())
 
-        # 4. counters, then publish (S11) and log.
+        # 4. counters, publish (S11), commit.
         meta = replace(
             meta,
             total_processed=meta.total_processed + batch_count,
             last_batch_count=batch_count,
             last_update_epoch=int(self.clock()),
-            published=1,
+            snapshot_epoch=e,
         )
-        store.write("state/meta", spark.createDataFrame([meta.row()], STREAM_META), e, bounded=True)
-        self._publish(e, meta)
-        self._log(e, batch_count, meta)
-        store.commit(e)
-
-    def _empty_epoch(self, e: int, meta: Meta, mg_state: DataFrame, res_state: DataFrame, reset: bool) -> None:
-        """Nothing counted; carry (possibly resized / reset) state forward."""
-        store, spark = self.store, self.store.spark
-        store.write("state/mg", mg_state, e, bounded=True)
-        store.write("state/reservoir", res_state, e, bounded=True)
-        meta = replace(meta, published=1 if reset else 0)
-        store.write("state/meta", spark.createDataFrame([meta.row()], STREAM_META), e, bounded=True)
+        self._publish(meta)
+        store.commit(meta.row())
+
+    def _empty_epoch(self, meta: Meta, mg_state: DataFrame, slots: DataFrame, changed: bool, reset: bool) -> None:
+        """Nothing counted; persist resized / reset state, publish only on reset."""
+        store, spark, e = self.store, self.store.spark, meta.epoch
+        if changed:
+            store.write("state/sketch", as_sketch(mg_state, slots), e, bounded=True)
+            meta = replace(meta, state_epoch=e)
         if reset:
-            prev_pub = store.last_published()
-            counters = (
-                store.read("snapshot/counters", prev_pub, COUNTERS)
-                if prev_pub is not None
-                else spark.createDataFrame([(0, 0, 0)], COUNTERS)
-            )
-            store.write("snapshot/counters", counters, e, bounded=True)
-            for name, schema in (
-                ("snapshot/hot_topics", MG_STATE),
-                ("snapshot/exact_top_topics", EXACT_TOP),
-                ("snapshot/samples", SAMPLES),
-                ("snapshot/eval_metrics", EVAL_METRICS),
-            ):
-                store.write(name, spark.createDataFrame([], schema), e, bounded=True)
-            store.append("published", spark.createDataFrame([(e,)], "epoch long"))
-        self._log(e, 0, meta)
-        store.commit(e)
-
-    def _publish(self, e: int, meta: Meta) -> None:
-        store, spark = self.store, self.store.spark
-        hot = store.read("state/mg", e, MG_STATE)
-        samples = rs.reservoir_view(store.read("state/reservoir", e, RESERVOIR_STATE), meta.n, self.state_size(meta.n))
+            prev = store.read("snapshot", meta.snapshot_epoch, SNAPSHOT)
+            kept = prev.where(F.col("record_type") == "counters")  # counters keys survive a reset
+            store.write("snapshot", kept, e, bounded=True)
+            meta = replace(meta, snapshot_epoch=e)
+        store.commit(meta.row())
+
+    def _publish(self, meta: Meta) -> None:
+        """One snapshot table per epoch: written in one job, visible all at once."""
+        store, spark, e = self.store, self.store.spark, meta.epoch
+        sketch = store.read("state/sketch", e, SKETCH_STATE)
+        hot = mg_of(sketch)
+        samples = rs.reservoir_view(slots_of(sketch), meta.n, self.slots_kept(meta.n))
         counters = spark.createDataFrame(
-            [(meta.total_processed, meta.last_batch_count, meta.last_update_epoch)], COUNTERS
+            [(meta.total_processed, meta.last_batch_count, meta.last_update_epoch)],
+            "total_processed long, last_batch_count long, last_update_epoch long",
         )
         exact = None
+        parts = [
+            hot.select(F.lit("hot_topic").alias("record_type"), "keyword", F.col("approx_count").alias("count")),
+            samples.select(F.lit("sample").alias("record_type"), "keyword", "sample_index"),
+            counters.select(F.lit("counters").alias("record_type"), "*"),
+        ]
         if self.enable_exact:
             exact = self.exact_state(meta).select("keyword", F.col("n").alias("exact_count"))
-            top = ex.exact_topk(exact, meta.k)
-        else:
-            top = spark.createDataFrame([], EXACT_TOP)
-        store.write("snapshot/hot_topics", hot, e, bounded=True)
-        store.write("snapshot/exact_top_topics", top, e, bounded=True)
-        store.write("snapshot/samples", samples, e, bounded=True)
-        store.write("snapshot/counters", counters, e, bounded=True)
-        metrics = ev.evaluate(
-            store.read("snapshot/hot_topics", e, MG_STATE),
-            exact,
-            store.read("snapshot/samples", e, SAMPLES),
-            counters,
-            meta.k,
-        )
-        store.write("snapshot/eval_metrics", metrics, e, bounded=True)
-        store.append("published", spark.createDataFrame([(e,)], "epoch long"))
-
-    def _log(self, e: int, batch_count: int, meta: Meta) -> None:
-        row = (e, batch_count, meta.total_processed, meta.k, meta.n)
-        self.store.append(
-            "epoch_log",
-            self.store.spark.createDataFrame([row], "epoch long, batch_count long, total_processed long, k int, n int"),
-        )
-
+            exact = exact.persist(StorageLevel.MEMORY_AND_DISK)  # read by the top-K and every metric
+            parts.append(
+                ex.exact_topk(exact, meta.k).select(
+                    F.lit("exact_topic").alias("record_type"), "keyword", F.col("exact_count").alias("count")
+                )
+            )
+        metrics = ev.evaluate(hot, exact, samples, counters, meta.k)
+        parts.append(metrics.select(F.lit("metrics").alias("record_type"), "*"))
+        snapshot = parts[0]
+        for p in parts[1:]:
+            snapshot = snapshot.unionByName(p, allowMissingColumns=True)
+        try:
+            store.write("snapshot", snapshot.select(*SNAPSHOT.fieldNames()), e, bounded=True)
+        finally:
+            if exact is not None:
+                exact.unpersist()

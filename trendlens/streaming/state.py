@@ -2,25 +2,36 @@
 
 Layout under a stream root::
 
-    state/mg, state/reservoir, state/exact_delta, state/exact_base, state/meta   partitioned by epoch
-    snapshot/hot_topics, snapshot/exact_top_topics, snapshot/samples,
-    snapshot/counters, snapshot/eval_metrics                                      partitioned by epoch
-    epoch_log/          one row per epoch (epoch, batch_count, total_processed, k, n)
-    published/          epochs that published a snapshot
-    commits/            epochs whose writes are complete (written last)
-    control/            control records (version, k, n, reset_token)
+    log/bucket=b/          one row per committed epoch: the commit record *and* the
+                           epoch's scalar state (counters, k, n, reset token, where
+                           its sketch state and snapshot live); b = epoch div 1000
+    state/sketch/epoch=e/  MG counters and reservoir slots after epoch e
+    state/exact_delta/epoch=e/, state/exact_base/epoch=e/   exact counts
+    snapshot/epoch=e/      the published snapshot (hot topics, exact top-K, samples,
+                           counters, metrics), written as ONE table so that a
+                           snapshot appears all at once
+    control/               control records (version, k, n, reset_token)
 
 Epoch e of a table is the folder ``<table>/epoch=e``; a replayed epoch
-overwrites its own folder and never doubles a count, and a job never
-overwrites the folder it reads. Readers only trust epochs listed in ``commits``.
+overwrites its own folder and never doubles a count, and a job never overwrites
+the folder it reads. The log row is written last: an epoch without a log row is
+not committed and is redone from the previous committed epoch. Readers look at
+the newest one or two log buckets only, so a long-running stream reads a
+bounded number of files per epoch.
+
+A store belongs to one streaming checkpoint (epoch ids restart with a new one).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
-from pyspark.errors import AnalysisException
+
+from trendlens.schema import STREAM_LOG
+
+LOG_BUCKET = 1000
 
 
 class EpochStore:
@@ -31,19 +42,20 @@ class EpochStore:
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
 
-    # -- generic partitioned tables ------------------------------------------------
+    # -- per-epoch tables ----------------------------------------------------------
 
     def epoch_path(self, name: str, epoch: int) -> str:
         return f"{self.root}/{name}/epoch={int(epoch)}"
 
     def write(self, name: str, frame: DataFrame, epoch: int, bounded: bool = False) -> None:
         """Write ``frame`` as folder ``<name>/epoch=e`` (replacing it on a replay)."""
-        out = frame.coalesce(1) if bounded else frame  # bounded: ≤ a few hundred rows
+        # bounded (≤ a few hundred rows): one file; repartition keeps the upstream parallel
+        out = frame.repartition(1) if bounded else frame
         out.write.mode("overwrite").parquet(self.epoch_path(name, epoch))
 
     def read(self, name: str, epoch: int | None, schema: StructType) -> DataFrame:
         """Table ``name`` as of epoch e (empty if absent)."""
-        if epoch is None:
+        if epoch is None or epoch < 0:
             return self.spark.createDataFrame([], schema)
         try:
             return self.spark.read.schema(schema).parquet(self.epoch_path(name, epoch))
@@ -55,44 +67,62 @@ class EpochStore:
             return self.spark.createDataFrame([], schema)
         return self.spark.read.schema(schema).parquet(*[self.epoch_path(name, e) for e in epochs])
 
-    # -- append-only logs ----------------------------------------------------------
+    # -- append-only tables --------------------------------------------------------
 
     def append(self, name: str, frame: DataFrame) -> None:
         frame.coalesce(1).write.mode("append").parquet(self.path(name))
 
-    def log(self, name: str) -> DataFrame | None:
+    def table(self, name: str) -> DataFrame | None:
         try:
             return self.spark.read.parquet(self.path(name))
         except AnalysisException:
             return None
 
-    # -- commit protocol -----------------------------------------------------------
-
-    def is_committed(self, epoch: int) -> bool:
-        commits = self.log("commits")
-        return commits is not None and commits.where(F.col("epoch") == int(epoch)).limit(1).count() > 0
-
-    def last_committed_before(self, epoch: int) -> int | None:
-        commits = self.log("commits")
-        if commits is None:
+    # -- the epoch log (commit protocol) -------------------------------------------
+
+    def _bucket_path(self, bucket: int) -> str:
+        return f"{self.root}/log/bucket={bucket}"
+
+    def _log_buckets(self, buckets: list[int]) -> DataFrame | None:
+        frames = []
+        for b in buckets:
+            if b < 0:
+                continue
+            try:
+                frames.append(self.spark.read.schema(STREAM_LOG).parquet(self._bucket_path(b)))
+            except AnalysisException:
+                continue
+        if not frames:
+            return None
+        out = frames[0]
+        for f in frames[1:]:
+            out = out.unionByName(f)
+        return out
+
+    def last_entry(self, upto: int) -> Row | None:
+        """The newest committed log row with epoch ≤ ``upto`` (one row to the driver)."""
+        b = int(upto) // LOG_BUCKET
+        log = self._log_buckets([b, b - 1])
+        if log is None:
             return None
-        row = commits.where(F.col("epoch") < int(epoch)).agg(F.max("epoch").alias("e")).first()
-        return None if row is None or row["e"] is None else int(row["e"])
+        return log.where(F.col("epoch") <= int(upto)).orderBy(F.col("epoch").desc()).limit(1).first()
 
-    def last_committed(self) -> int | None:
-        commits = self.log("commits")
-        if commits is None:
+    def latest_entry(self) -> Row | None:
+        log = self.log()
+        if log is None:
             return None
-        row = commits.agg(F.max("epoch").alias("e")).first()
-        return None if row is None or row["e"] is None else int(row["e"])
+        return log.orderBy(F.col("epoch").desc()).limit(1).first()
 
-    def commit(self, epoch: int) -> None:
-        self.append("commits", self.spark.createDataFrame([(int(epoch),)], "epoch long"))
+    def commit(self, row: tuple) -> None:
+        """Append the epoch's log row; this is the commit point of the epoch."""
+        epoch = int(row[0])
+        frame = self.spark.createDataFrame([row], STREAM_LOG)
+        frame.coalesce(1).write.mode("append").parquet(self._bucket_path(epoch // LOG_BUCKET))
 
-    def last_published(self) -> int | None:
-        """Newest committed epoch that published a snapshot."""
-        pub, commits = self.log("published"), self.log("commits")
-        if pub is None or commits is None:
+    def log(self) -> DataFrame | None:
+        """All committed log rows (one per epoch; a replay that re-wrote a row is deduplicated)."""
+        try:
+            log = self.spark.read.option("basePath", f"{self.root}/log").parquet(f"{self.root}/log/bucket=*")
+        except AnalysisException:
             return None
-        row = pub.join(commits, "epoch", "left_semi").agg(F.max("epoch").alias("e")).first()
-        return None if row is None or row["e"] is None else int(row["e"])
+        return log.select(*STREAM_LOG.fieldNames()).dropDuplicates(["epoch"])
