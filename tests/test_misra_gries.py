@@ -88,3 +88,12 @@ def test_resize_keeps_largest_counts(spark):
 def test_invalid_k(spark):
     with pytest.raises(ValueError):
         mg.misra_gries(words_df(spark, ["a"]), 0)
+
+
+@pytest.mark.parametrize("budget", [1, 7, 100_000])
+def test_sketch_bound_any_budget(spark, budget):
+    rnd = random.Random(budget)
+    words = rnd.choices([f"w{i}" for i in range(80)], weights=[1 / (i + 1) ** 1.1 for i in range(80)], k=3000)
+    k = 6
+    got = as_dict(mg.mg_sketch(words_df(spark, words, 4), k, budget=budget))
+    check_bound(got, words, k)

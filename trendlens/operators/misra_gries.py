@@ -16,8 +16,8 @@ is taken inside those K+1 rows, so there is no second pass over the data.
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -100,42 +100,61 @@ def mg_resize(state: DataFrame, k: int) -> DataFrame:
 # ---------------------------------------------------------------------------
 
 
-def _prune_series(counts: pd.Series, k: int) -> pd.Series:
+SKETCH_BUDGET = 100_000  # counters a task may hold before it prunes back to K
+
+
+def _prune(keys: pa.Array, counts: np.ndarray, k: int) -> tuple[pa.Array, np.ndarray]:
+    """One MG merge step on local counters: subtract the (K+1)-th largest, keep > 0."""
     if len(counts) <= k:
-        return counts
-    values = counts.to_numpy()
-    cut = np.partition(values, len(values) - k - 1)[len(values) - k - 1]
-    kept = counts[counts > cut]
-    return kept - cut
+        return keys, counts
+    cut = np.partition(counts, len(counts) - k - 1)[len(counts) - k - 1]
+    keep = counts > cut
+    return keys.filter(pa.array(keep)), counts[keep] - cut
+
+
+def _partition_sketch(k: int, budget: int):
+    budget = max(budget, k)
 
+    def combine(parts: list[tuple[pa.Array, pa.Array]]) -> tuple[pa.Array, np.ndarray]:
+        table = pa.table(
+            {"keyword": pa.concat_arrays([p[0] for p in parts]), "n": pa.concat_arrays([p[1] for p in parts])}
+        ).group_by("keyword").aggregate([("n", "sum")])
+        return table.column("keyword").combine_chunks(), table.column("n_sum").to_numpy()
 
-def _partition_sketch(k: int):
     def sketch(batches):
-        summary = pd.Series(dtype="int64")
+        keys, counts = pa.array([], pa.string()), np.zeros(0, dtype=np.int64)
+        pending, pending_rows = [], 0
         for batch in batches:
-            words = batch.column(0).to_pandas()
-            counts = words.value_counts(dropna=True).astype("int64")
-            summary = counts if summary.empty else summary.add(counts, fill_value=0).astype("int64")
-            summary = _prune_series(summary, k)
-        if len(summary):
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(summary.index.astype(object), pa.string()), pa.array(summary.to_numpy(), pa.int64())],
-                names=["keyword", "n"],
-            )
+            vc = pc.value_counts(pc.drop_null(batch.column(0)).cast(pa.string()))  # C++ hash count
+            if len(vc) == 0:
+                continue
+            pending.append((vc.field("values"), vc.field("counts")))
+            pending_rows += len(vc)
+            if pending_rows > budget:  # bounded memory: fold in, prune back to K counters
+                keys, counts = _prune(*combine([(keys, pa.array(counts, pa.int64()))] + pending), k)
+                pending, pending_rows = [], 0
+        if pending:
+            keys, counts = combine([(keys, pa.array(counts, pa.int64()))] + pending)
+        keys, counts = _prune(keys, counts, k)
+        if len(counts):
+            yield pa.RecordBatch.from_arrays([keys, pa.array(counts, pa.int64())], names=["keyword", "n"])
 
     return sketch
 
 
-def mg_sketch(events: DataFrame, k: int, keyword_col: str = "keyword") -> DataFrame:
-    """Each task folds its Arrow batches into a ≤K-row summary; then one merge.
+def mg_sketch(events: DataFrame, k: int, keyword_col: str = "keyword", budget: int = SKETCH_BUDGET) -> DataFrame:
+    """Each task counts its Arrow batches (pyarrow ``value_counts`` / ``group_by``),
+    folding them into its counters whenever more than ``budget`` rows are pending and
+    pruning back to K, and emits ≤ K rows; then one merge of those summaries.
 
-    Only ≤ K rows per task reach the shuffle, whatever the length of the tail.
-    The result depends on the partitioning but always satisfies the MG bound
-    (undercount ≤ n/(K+1), no overcount).
+    Only ≤ K rows per task reach the shuffle, whatever the length of the tail, and
+    a task's memory is bounded by the budget. Each prune is an MG merge step, so
+    the result satisfies the MG bound (undercount ≤ n/(K+1), no overcount); it
+    depends on the partitioning and on the budget.
     """
     check_k(k)
     local = events.select(F.col(keyword_col).alias("keyword")).mapInArrow(
-        _partition_sketch(k), "keyword string, n long"
+        _partition_sketch(k, budget), "keyword string, n long"
     )
     return mg_prune(local.groupBy("keyword").agg(F.sum("n").cast("long").alias("n")), k)
 
