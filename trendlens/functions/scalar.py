@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from datetime import datetime, timezone
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import TimestampNTZType
 
 # Byte units of the size display, base 1024.
 BYTE_UNITS = ["B", "KB", "MB", "GB", "TB"]
@@ -95,6 +96,17 @@ def freshness_seconds(last_update_epoch: Column | str, as_of: Column | int) -> C
     )
 
 
+def epoch_millis(frame: DataFrame, column: str) -> Column:
+    """milliseconds since 1970-01-01, whatever the session time zone.
+
+    A TIMESTAMP_NTZ is read as UTC wall-clock time (whole milliseconds, rounded
+    down); a TIMESTAMP is an instant already.
+    """
+    if isinstance(frame.schema[column].dataType, TimestampNTZType):
+        return F.timestamp_diff("MILLISECOND", F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'"), F.col(column))
+    return F.unix_millis(F.col(column))
+
+
 def payload_bytes(keyword: Column | str) -> Column:
     """Bytes of one state entry: the keyword's UTF-8 length plus an 8-byte count/slot."""
     return F.octet_length(_col(keyword)).cast("bigint") + F.lit(8).cast("bigint")

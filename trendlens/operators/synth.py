@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from trendlens.config import BROADCAST_ROW_LIMIT, DEFAULT_SEED
+from trendlens.functions.scalar import epoch_millis
 
 # The generator's vocabulary and weights.
 HEAD_WORDS = ["AI", "Spark", "DataLake", "Kafka", "Redis"]
@@ -105,7 +106,7 @@ def search_stream(events: DataFrame, vocab: DataFrame, seed: str = DEFAULT_SEED)
     """One search message per event: ``(keyword, timestamp, uid)`` with uid = event_id."""
     rows = events.select(
         F.col("event_id").cast("string").alias("uid"),
-        F.unix_millis(F.col("ts").cast("timestamp")).alias("timestamp"),
+        epoch_millis(events, "ts").alias("timestamp"),
         "event_id",
     )
     return assign_keywords(rows, vocab, "uid", seed).select("keyword", "timestamp", "uid", "event_id")

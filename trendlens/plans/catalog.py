@@ -13,6 +13,7 @@ from trendlens.config import DEFAULT_K, DEFAULT_N, DEFAULT_SEED, RESERVOIR_MAX
 from trendlens.operators import exact as ex
 from trendlens.operators import misra_gries as mg
 from trendlens.operators import reservoir as rs
+from trendlens.functions.scalar import epoch_millis
 from trendlens.plans import sql as S
 from trendlens.plans.registry import ORACLES, QUERIES, register  # noqa: F401
 from trendlens.sources.keywords import (
@@ -200,7 +201,7 @@ def q_parse_keywords(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.to_json(
             F.struct(
                 F.col("event_type").alias("keyword"),
-                F.unix_millis(F.col("ts").cast("timestamp")).alias("timestamp"),
+                epoch_millis(ev, "ts").alias("timestamp"),
                 F.col("event_id").cast("string").alias("uid"),
             )
         ).alias("value")

@@ -134,10 +134,10 @@ def q_eval_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register(
     "eval_metrics_no_exact",
     S.with_(*_BASE, *_SIZES)
-    + """SELECT 0.0 AS topk_recall_at_k, 0 AS top1_match, CAST(0 AS BIGINT) AS overlap_count, 1.0 AS reservoir_tvd,
-  0.0 AS reservoir_similarity, (SELECT count(*) FROM mg) AS mg_unique, CAST(0 AS BIGINT) AS exact_unique,
+    + """SELECT 0.0::DOUBLE AS topk_recall_at_k, 0 AS top1_match, CAST(0 AS BIGINT) AS overlap_count,
+  1.0::DOUBLE AS reservoir_tvd, 0.0::DOUBLE AS reservoir_similarity, (SELECT count(*) FROM mg) AS mg_unique, CAST(0 AS BIGINT) AS exact_unique,
   (SELECT b FROM ms) AS mg_memory_bytes, CAST(0 AS BIGINT) AS exact_memory_bytes, (SELECT b FROM rsz) AS reservoir_memory_bytes,
-  0.0 AS memory_saved_percent, 0 AS exact_baseline_enabled""",
+  0.0::DOUBLE AS memory_saved_percent, 0 AS exact_baseline_enabled""",
 )
 def q_eval_metrics_no_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K7 with the exact baseline switched off: accuracy fields take their defaults."""
@@ -177,7 +177,7 @@ def q_memory_estimate(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register(
     "mg_vs_exact_top20",
     S.with_(*_BASE)
-    + """SELECT coalesce(a.rank, b.rank) AS rank, a.keyword AS mg_keyword, a.approx_count AS mg_count,
+    + """SELECT CAST(coalesce(a.rank, b.rank) AS INTEGER) AS rank, a.keyword AS mg_keyword, a.approx_count AS mg_count,
   b.keyword AS exact_keyword, b.exact_count AS exact_count
 FROM (SELECT keyword, approx_count, row_number() OVER (ORDER BY approx_count DESC, keyword) AS rank FROM mg) a
 FULL JOIN (SELECT keyword, exact_count, row_number() OVER (ORDER BY exact_count DESC, keyword) AS rank FROM et) b

@@ -247,7 +247,7 @@ def _burst_sql() -> str:
     batches = [f"(SELECT keyword FROM burst WHERE phase = {p})" for p in range(len(PHASE_SIZES))]
     ctes, _ = S.mg_chain_ctes("z", batches, K)
     picks = " UNION ALL ".join(
-        f"SELECT {p} AS epoch, CAST(coalesce((SELECT approx_count FROM z_s{p} WHERE keyword = '{synth.BURST_WORD}'), 0) AS BIGINT) AS approx_count"
+        f"SELECT CAST({p} AS BIGINT) AS epoch, CAST(coalesce((SELECT approx_count FROM z_s{p} WHERE keyword = '{synth.BURST_WORD}'), 0) AS BIGINT) AS approx_count"
         for p in range(len(PHASE_SIZES))
     )
     return S.with_(*S.search_ctes(SEED), _phase_sql(), *ctes) + picks

@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from trendlens.functions.scalar import epoch_millis
 from trendlens.schema import KEYWORD_PAYLOAD
 
 STREAM_COLUMNS = ["keyword", "timestamp", "uid"]
@@ -91,8 +92,8 @@ def keyword_source(
 # ---------------------------------------------------------------------------
 
 
-def _event_millis() -> Column:
-    return F.unix_millis(F.col("ts").cast("timestamp"))
+def _event_millis(events: DataFrame) -> Column:
+    return epoch_millis(events, "ts")
 
 
 def event_type_stream(events: DataFrame) -> DataFrame:
@@ -100,7 +101,7 @@ def event_type_stream(events: DataFrame) -> DataFrame:
     return admit_keywords(
         events.select(
             F.col("event_type").alias("keyword"),
-            _event_millis().alias("timestamp"),
+            _event_millis(events).alias("timestamp"),
             F.col("event_id").cast("string").alias("uid"),
         )
     )
@@ -111,7 +112,7 @@ def props_stream(events: DataFrame) -> DataFrame:
     return admit_keywords(
         events.select(
             F.from_json("props", "k INT").getField("k").cast("string").alias("keyword"),
-            _event_millis().alias("timestamp"),
+            _event_millis(events).alias("timestamp"),
             F.col("event_id").cast("string").alias("uid"),
         )
     )
@@ -122,7 +123,7 @@ def user_stream(events: DataFrame) -> DataFrame:
     return admit_keywords(
         events.select(
             F.col("user_id").cast("string").alias("keyword"),
-            _event_millis().alias("timestamp"),
+            _event_millis(events).alias("timestamp"),
             F.col("event_id").cast("string").alias("uid"),
         )
     )
