@@ -30,12 +30,6 @@ def stitch(*one_row_frames: DataFrame) -> DataFrame:
     return u.agg(*[F.max(c).alias(c) for c in cols])
 
 
-def top1(frame: DataFrame, count_col: str, alias: str) -> DataFrame:
-    """One row with the first keyword by (count desc, keyword asc); null if empty."""
-    first = frame.orderBy(F.col(count_col).desc(), F.col("keyword").asc()).limit(1)
-    return first.agg(F.max("keyword").alias(alias))
-
-
 def eval_overlap(mg: DataFrame, exact_top: DataFrame) -> DataFrame:
     """Keywords in both the MG summary and the exact top-K."""
     return mg.select("keyword").join(F.broadcast(exact_top.select("keyword")), "keyword", "left_semi")

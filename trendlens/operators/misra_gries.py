@@ -24,11 +24,6 @@ from pyspark.sql import functions as F
 from trendlens.config import BROADCAST_ROW_LIMIT, check_k
 
 
-def keyword_counts(events: DataFrame, keyword_col: str = "keyword") -> DataFrame:
-    """``(keyword, n)``: exact occurrences per keyword (partial + final aggregate)."""
-    return events.groupBy(F.col(keyword_col).alias("keyword")).agg(F.count(F.lit(1)).alias("n"))
-
-
 def mg_prune(counts: DataFrame, k: int, count_col: str = "n") -> DataFrame:
     """Reduce ``(keyword, count)`` rows to a K-counter summary ``(keyword, approx_count)``.
 

@@ -15,7 +15,7 @@ from trendlens.operators import misra_gries as mg
 from trendlens.operators import reservoir as rs
 from trendlens.functions.scalar import epoch_millis
 from trendlens.plans import sql as S
-from trendlens.plans.registry import ORACLES, QUERIES, register  # noqa: F401
+from trendlens.plans.registry import register
 from trendlens.sources.keywords import (
     doc_token_stream,
     event_type_stream,
@@ -208,3 +208,9 @@ def q_parse_keywords(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     junk = read_table(spark, sf_dir, "documents").select(F.col("text").alias("value"))
     return parse_keywords(payloads.unionByName(junk), "value")
+
+
+@register("exact_unique_approx")
+def q_exact_unique_approx(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A2 at scale: HyperLogLog++ distinct-token count (1 % relative error); rows-only check."""
+    return ex.exact_unique_approx(doc_tokens(spark, sf_dir))

@@ -21,6 +21,7 @@ from trendlens.plans.registry import register
 from trendlens.sinks.dataset import write_dataset
 from trendlens.sources.dataset import load_dataset, load_latest, load_meta
 from trendlens.sources.keywords import event_type_stream, read_table
+from trendlens.sources.snapshot import parse_counts
 
 K, N, SEED = DEFAULT_K, DEFAULT_N, DEFAULT_SEED
 # Fixed export times of the registered queries (repeatable results).
@@ -142,3 +143,12 @@ def q_clean_prefix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """every page URL cleaned into a file-name prefix."""
     pages = read_table(spark, sf_dir, "pages")
     return pages.select("page_id", clean_prefix(F.col("url")).alias("prefix"))
+
+
+@register("read_hot_topics", _RECORDS + "SELECT keyword, approx_count FROM rec WHERE record_type = 'hot_topic'")
+def q_read_hot_topics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S3 + P4: (keyword, count) pairs of an exported snapshot read back as text; pairs whose
+    count is not an integer (every sample record's) are dropped, the rest sorted by count."""
+    _, export = _exported(spark, sf_dir)
+    text = spark.read.schema("record_type string, keyword string, approx_count string").json(export.jsonl_path)
+    return parse_counts(text.select("keyword", "approx_count"), "approx_count")

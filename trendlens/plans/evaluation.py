@@ -160,7 +160,7 @@ def q_memory_display(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @register(
-    "memory_estimate",
+    "state_size_estimate",
     S.with_(*_BASE, *_SIZES)
     + f"""SELECT {S.format_bytes_sql("(SELECT t FROM tot) * 0.2 * 100.0")} AS exact_memory_text,
   {S.format_bytes_sql(f"{K} * 100.0")} AS mg_memory_text,
@@ -168,7 +168,7 @@ def q_memory_display(spark: SparkSession, sf_dir: str) -> DataFrame:
         THEN least(((SELECT t FROM tot) * 0.2 * 100.0 - {K} * 100.0) / ((SELECT t FROM tot) * 0.2 * 100.0) * 100.0, 99.99)
         ELSE 0.0 END, 6) AS saved_percent""",
 )
-def q_memory_estimate(spark: SparkSession, sf_dir: str) -> DataFrame:
+def q_state_size_estimate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The size estimate used when the exact baseline is off."""
     summary, _, sample, totals = _parts(spark, sf_dir)
     return ev.memory_display(ev.evaluate(summary, None, sample, totals, K), totals, K)

@@ -115,11 +115,11 @@ def q_stream_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @register(
-    "stream_exact_topics",
+    "read_exact_topics",
     S.with_(S.DOC_TOK)
     + f"SELECT keyword, count(*) AS exact_count FROM doc_tok GROUP BY keyword ORDER BY exact_count DESC, keyword LIMIT {K}",
 )
-def q_stream_exact_topics(spark: SparkSession, sf_dir: str) -> DataFrame:
+def q_read_exact_topics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K3 + S4: the exact top-K published by the plain replay (deltas + compacted base)."""
     return read_exact_topics(run(spark, sf_dir, "plain"))
 
@@ -145,8 +145,8 @@ def q_stream_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_counters(run(spark, sf_dir, "plain"))
 
 
-@register("stream_eval_metrics", eval_sql(base_ctes(_plain_mg())))
-def q_stream_eval_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+@register("read_eval_metrics", eval_sql(base_ctes(_plain_mg())))
+def q_read_eval_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K7 + S5: the metrics published with the last snapshot of the plain replay."""
     return read_eval_metrics(run(spark, sf_dir, "plain"))
 

@@ -2,7 +2,7 @@ from trendlens.sources.keywords import (
     admit_keywords,
     doc_token_stream,
     event_type_stream,
-    keyword_source,
+    source_keywords,
     parse_keywords,
     props_stream,
     read_table,
@@ -13,7 +13,7 @@ __all__ = [
     "admit_keywords",
     "doc_token_stream",
     "event_type_stream",
-    "keyword_source",
+    "source_keywords",
     "parse_keywords",
     "props_stream",
     "read_table",

@@ -13,9 +13,6 @@ from pyspark.sql import functions as F
 from trendlens.functions.scalar import epoch_millis
 from trendlens.schema import KEYWORD_PAYLOAD
 
-STREAM_COLUMNS = ["keyword", "timestamp", "uid"]
-
-
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
@@ -49,7 +46,7 @@ def parse_keywords(raw: DataFrame, value_col: str = "value", uid: Column | None
     return admit_keywords(flat)
 
 
-def keyword_source(
+def source_keywords(
     spark: SparkSession,
     fmt: str,
     path: str | None = None,

@@ -11,7 +11,6 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from trendlens.schema import CONTROL
@@ -68,7 +67,3 @@ def parse_setting(text: str | None, current: int) -> int:
     except (TypeError, ValueError):
         return current
     return value if value > 0 else current
-
-
-def control_frame(store: EpochStore) -> DataFrame | None:
-    return store.table("control")

@@ -10,14 +10,14 @@ so each step becomes exactly one micro-batch whatever the file times are.
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from trendlens.config import DEFAULT_K, DEFAULT_N, DEFAULT_SEED
 from trendlens.operators.synth import to_payload
-from trendlens.sources.keywords import keyword_source
+from trendlens.sources.keywords import source_keywords
 from trendlens.streaming.control import request_reset, set_control
 from trendlens.streaming.fold import EpochFold
 from trendlens.streaming.state import EpochStore
@@ -58,7 +58,6 @@ class Step:
     k: object = None
     n: object = None
     reset: bool = False
-    extra_controls: list[tuple] = field(default_factory=list)  # (k, n) pairs sent before k / n
 
 
 def replay(
@@ -76,8 +75,6 @@ def replay(
     store = EpochStore(spark, f"{root}/store")
     source, checkpoint = f"{root}/source", f"{root}/checkpoint"
     for step in steps:
-        for ck, cn in step.extra_controls:
-            set_control(store, ck, cn)
         if step.k is not None or step.n is not None:
             set_control(store, step.k, step.n)
         if step.reset:
@@ -85,7 +82,7 @@ def replay(
         lines = step.messages if "value" in step.messages.columns else to_payload(step.messages)
         lines.select("value").write.mode("append").text(source)
         query = start_stream(
-            keyword_source(spark, "text", source),
+            source_keywords(spark, "text", source),
             store,
             checkpoint,
             k,
