@@ -97,3 +97,10 @@ def test_sketch_bound_any_budget(spark, budget):
     k = 6
     got = as_dict(mg.mg_sketch(words_df(spark, words, 4), k, budget=budget))
     check_bound(got, words, k)
+
+
+def test_ties_at_the_cut_are_all_removed(spark):
+    # counts a3 b2 c2, K=2: the cut is the 3rd largest count (2), so b and c both go.
+    assert as_dict(mg.misra_gries(words_df(spark, list("aaabbcc")), 2)) == {"a": 1}
+    # non-ASCII keywords are ordinary keys
+    assert as_dict(mg.misra_gries(words_df(spark, ["热词", "热词", "é"]), 3)) == {"热词": 2, "é": 1}

@@ -61,3 +61,33 @@ def test_exact_compaction_matches_sum(spark):
     assert meta.exact_base_epoch == 1 and meta.exact_epochs == (2,)
     got = {r["keyword"]: r["n"] for r in fold.exact_state(meta).collect()}
     assert got == {"a": 12, "b": 9, "c": 6}
+
+
+def test_exact_baseline_off(spark):
+    from trendlens.sources.snapshot import read_eval_metrics, read_exact_topics
+
+    store, fold = fold_for(spark, enable_exact=False)
+    fold(words_df(spark, list("aaabbc")), 0)
+    m = read_eval_metrics(store).first()
+    assert (m["exact_baseline_enabled"], m["topk_recall_at_k"], m["reservoir_tvd"], m["exact_unique"]) == (0, 0.0, 1.0, 0)
+    assert m["mg_unique"] == 3 and m["exact_memory_bytes"] == 0
+    assert read_exact_topics(store).count() == 0
+    assert {r["keyword"]: r["approx_count"] for r in read_hot_topics(store).collect()} == {"a": 3, "b": 2, "c": 1}
+
+
+def test_stream_equals_batch_for_any_split(spark):
+    from trendlens.operators import exact as ex
+    from trendlens.operators import reservoir as rs
+    from trendlens.sources.snapshot import read_samples
+
+    words = [f"w{i % 11}" for i in range(300)]
+    df = words_df(spark, words)
+    store, fold = fold_for(spark)
+    for e, (lo, hi) in enumerate([(0, 40), (40, 41), (41, 300)]):
+        fold(df.where((F.col("uid").cast("int") >= lo) & (F.col("uid").cast("int") < hi)), e)
+    _, meta = fold.meta_before(2)
+    streamed = {r["keyword"]: r["n"] for r in fold.exact_state(meta).collect()}
+    assert streamed == {r["keyword"]: r["exact_count"] for r in ex.exact_counts(df).collect()}
+    got = [r["keyword"] for r in read_samples(store).collect()]
+    want = [r["keyword"] for r in rs.reservoir_sample(df, 2).orderBy("sample_index").collect()]
+    assert got == want
