@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trendlens.config import DEFAULT_K, DEFAULT_N, DEFAULT_SEED
+from trendlens.config import DEFAULT_K, DEFAULT_N, DEFAULT_SEED, shared_root
 from trendlens.functions.scalar import format_bytes
 from trendlens.operators import evaluate as ev
 from trendlens.operators import exact as ex
@@ -58,11 +58,17 @@ _SIZES_SELECT = """(SELECT b FROM ms) AS mg_memory_bytes, (SELECT b FROM es) AS
 
 def _parts(spark: SparkSession, sf_dir: str):
     """MG summary, exact counts and totals all come from ONE aggregation of the tokens
-    (a single shuffle, reused by every branch); the sample is one more scan."""
+    (a single shuffle, reused by every branch); the sample is one more scan.
+
+    The summary (≤ K rows) and the sample (≤ N rows) are read by several branches
+    of the metric plans; a top-N is not a reusable exchange, so both are
+    checkpointed (reliable checkpoint in the shared folder) and read from there.
+    """
+    shared_root(spark)  # make sure a checkpoint folder is set
     tokens = doc_tokens(spark, sf_dir)
     exact = ex.exact_counts(tokens)
-    summary = mg.mg_prune(exact.select("keyword", F.col("exact_count").alias("n")), K)
-    sample = rs.reservoir_sample(tokens, N, "uid", SEED)
+    summary = mg.mg_prune(exact.select("keyword", F.col("exact_count").alias("n")), K).checkpoint()
+    sample = rs.reservoir_sample(tokens, N, "uid", SEED).checkpoint()
     totals = exact.agg(F.sum("exact_count").cast("long").alias("total_processed"))
     return summary, exact, sample, totals
 

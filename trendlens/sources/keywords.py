@@ -13,8 +13,22 @@ from pyspark.sql import functions as F
 from trendlens.functions.scalar import epoch_millis
 from trendlens.schema import KEYWORD_PAYLOAD
 
-def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+def read_table(spark: SparkSession, sf_dir: str, name: str, balance: bool = True) -> DataFrame:
+    """Read a parquet table; spread it over the cluster when its scan has fewer
+    partitions than there are cores.
+
+    A file written as one row group is scanned by one task, however it is split,
+    and then tokenising and hashing would run on one core. A large table has far
+    more splits than cores, so this changes nothing there. When it does apply,
+    the round-robin exchange is shared by every consumer of the table, so the
+    file is read once.
+    """
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    if balance:
+        cores = spark.sparkContext.defaultParallelism
+        if df.rdd.getNumPartitions() < cores:
+            df = df.repartition(cores)
+    return df
 
 
 def admit_keywords(events: DataFrame, keyword_col: str = "keyword") -> DataFrame:
