@@ -15,9 +15,10 @@ Layout under a stream root::
 Epoch e of a table is the folder ``<table>/epoch=e``; a replayed epoch
 overwrites its own folder and never doubles a count, and a job never overwrites
 the folder it reads. The log row is written last: an epoch without a log row is
-not committed and is redone from the previous committed epoch. Readers look at
-the newest one or two log buckets only, so a long-running stream reads a
-bounded number of files per epoch.
+not committed and is redone from the previous committed epoch. The fold looks
+at the newest one or two log buckets only, so a long-running stream reads a
+bounded number of files per epoch; the snapshot readers (run on demand) list
+the whole log.
 
 A store belongs to one streaming checkpoint (epoch ids restart with a new one).
 """
