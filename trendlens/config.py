@@ -5,7 +5,8 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 # Fixed values that must equal the reference's behaviour.
 DEFAULT_K = 50  # Misra-Gries counters
@@ -20,6 +21,15 @@ DEFAULT_SEED = "42"
 BROADCAST_ROW_LIMIT = 1_000_000
 
 
+def bounded_broadcast(frame: DataFrame, limit: int = BROADCAST_ROW_LIMIT) -> DataFrame:
+    """Broadcast hint for a caller-supplied side, only after checking its size.
+
+    Counting the rows is one small job on a frame that is meant to be small;
+    beyond ``limit`` the frame is returned as is and Spark plans a shuffle join.
+    """
+    return F.broadcast(frame) if frame.limit(limit + 1).count() <= limit else frame
+
+
 def session(master: str = "local[*]", app: str = "trendlens", shuffle_partitions: int = 8) -> SparkSession:
     """A session with the settings the library assumes (AQE on, UTC, no UI)."""
     spark = (

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from trendlens.config import bounded_broadcast
 from trendlens.functions.scalar import freshness_seconds, round6
 from trendlens.operators.evaluate import stitch
 
@@ -92,8 +93,10 @@ def alerts(metrics: DataFrame, counters: DataFrame, sample: DataFrame, refresh_s
 
 
 def category_rollup(hot: DataFrame, dim: DataFrame, default: str = DEFAULT_CATEGORY) -> DataFrame:
-    """J3 + A11: sum of hot-topic counts per category, largest first (category on ties)."""
-    joined = hot.join(F.broadcast(dim), "keyword", "left")
+    """J3 + A11: sum of hot-topic counts per category, largest first (category on ties).
+
+    The dimension is broadcast after a size check (the default one has 20 rows)."""
+    joined = hot.join(bounded_broadcast(dim), "keyword", "left")
     return (
         joined.groupBy(F.coalesce(F.col("category"), F.lit(default)).alias("category"))
         .agg(F.sum("approx_count").cast("long").alias("count"))
