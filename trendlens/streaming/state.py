@@ -2,9 +2,9 @@
 
 Layout under a stream root::
 
-    log/bucket=b/          one row per committed epoch: the commit record *and* the
+    log/epoch=e/           one row per committed epoch: the commit record *and* the
                            epoch's scalar state (counters, k, n, reset token, where
-                           its sketch state and snapshot live); b = epoch div 1000
+                           its sketch state and snapshot live)
     state/sketch/epoch=e/  MG counters and reservoir slots after epoch e
     state/exact_delta/epoch=e/, state/exact_base/epoch=e/   exact counts
     snapshot/epoch=e/      the published snapshot (hot topics, exact top-K, samples,
@@ -15,10 +15,10 @@ Layout under a stream root::
 Epoch e of a table is the folder ``<table>/epoch=e``; a replayed epoch
 overwrites its own folder and never doubles a count, and a job never overwrites
 the folder it reads. The log row is written last: an epoch without a log row is
-not committed and is redone from the previous committed epoch. The fold looks
-at the newest one or two log buckets only, so a long-running stream reads a
-bounded number of files per epoch; the snapshot readers (run on demand) list
-the whole log.
+not committed and is redone from the previous committed epoch. The fold reads
+only the log rows of e and e - 1 (one file each), so a long-running stream
+reads a constant number of files per epoch; the snapshot readers (run on
+demand) list the whole log.
 
 A store belongs to one streaming checkpoint (epoch ids restart with a new one).
 """
@@ -32,9 +32,6 @@ from pyspark.sql.types import StructType
 
 from trendlens.schema import STREAM_LOG
 
-LOG_BUCKET = 1000
-
-
 class EpochStore:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
@@ -81,29 +78,26 @@ class EpochStore:
 
     # -- the epoch log (commit protocol) -------------------------------------------
 
-    def _bucket_path(self, bucket: int) -> str:
-        return f"{self.root}/log/bucket={bucket}"
-
-    def _log_buckets(self, buckets: list[int]) -> DataFrame | None:
-        frames = []
-        for b in buckets:
-            if b < 0:
-                continue
-            try:
-                frames.append(self.spark.read.schema(STREAM_LOG).parquet(self._bucket_path(b)))
-            except AnalysisException:
-                continue
-        if not frames:
+    def _log_row(self, epoch: int) -> Row | None:
+        if epoch < 0:
+            return None
+        try:
+            return self.spark.read.schema(STREAM_LOG).parquet(self.epoch_path("log", epoch)).first()
+        except AnalysisException:
             return None
-        out = frames[0]
-        for f in frames[1:]:
-            out = out.unionByName(f)
-        return out
 
     def last_entry(self, upto: int) -> Row | None:
-        """The newest committed log row with epoch ≤ ``upto`` (one row to the driver)."""
-        b = int(upto) // LOG_BUCKET
-        log = self._log_buckets([b, b - 1])
+        """The newest committed log row with epoch ≤ ``upto`` (one row to the driver).
+
+        Micro-batch ids are consecutive, so this is normally the row of ``upto``
+        itself (already committed) or of ``upto - 1``: one or two one-file reads.
+        Only when neither exists (a first epoch, or a gap) is the whole log scanned.
+        """
+        for e in (int(upto), int(upto) - 1):
+            row = self._log_row(e)
+            if row is not None:
+                return row
+        log = self.log()
         if log is None:
             return None
         return log.where(F.col("epoch") <= int(upto)).orderBy(F.col("epoch").desc()).limit(1).first()
@@ -115,15 +109,14 @@ class EpochStore:
         return log.orderBy(F.col("epoch").desc()).limit(1).first()
 
     def commit(self, row: tuple) -> None:
-        """Append the epoch's log row; this is the commit point of the epoch."""
-        epoch = int(row[0])
+        """Write the epoch's log row; this is the commit point of the epoch."""
         frame = self.spark.createDataFrame([row], STREAM_LOG)
-        frame.coalesce(1).write.mode("append").parquet(self._bucket_path(epoch // LOG_BUCKET))
+        frame.coalesce(1).write.mode("overwrite").parquet(self.epoch_path("log", int(row[0])))
 
     def log(self) -> DataFrame | None:
-        """All committed log rows (one per epoch; a replay that re-wrote a row is deduplicated)."""
+        """All committed log rows, one per epoch."""
         try:
-            log = self.spark.read.option("basePath", f"{self.root}/log").parquet(f"{self.root}/log/bucket=*")
+            log = self.spark.read.option("basePath", f"{self.root}/log").parquet(f"{self.root}/log/epoch=*")
         except AnalysisException:
             return None
-        return log.select(*STREAM_LOG.fieldNames()).dropDuplicates(["epoch"])
+        return log.select(*STREAM_LOG.fieldNames())
