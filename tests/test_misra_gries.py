@@ -3,6 +3,8 @@ from collections import Counter
 
 import pytest
 
+from pyspark.sql import functions as F
+
 from conftest import words_df
 from trendlens.operators import misra_gries as mg
 
@@ -104,3 +106,35 @@ def test_ties_at_the_cut_are_all_removed(spark):
     assert as_dict(mg.misra_gries(words_df(spark, list("aaabbcc")), 2)) == {"a": 1}
     # non-ASCII keywords are ordinary keys
     assert as_dict(mg.misra_gries(words_df(spark, ["热词", "热词", "é"]), 3)) == {"热词": 2, "é": 1}
+
+
+def model_update(state, batch, k):
+    """Pure-Python model of the mergeable rule, for brute-force comparison."""
+    merged = Counter(state)
+    merged.update(batch)
+    if len(merged) <= k:
+        return dict(merged)
+    cut = sorted(merged.values(), reverse=True)[k]
+    return {w: c - cut for w, c in merged.items() if c > cut}
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_chain_equals_model(spark, seed):
+    rnd = random.Random(100 + seed)
+    k = rnd.choice([2, 4, 8])
+    state_model, state = {}, None
+    for b in range(4):
+        batch = rnd.choices([f"w{i}" for i in range(25)], weights=[1 / (i + 1) for i in range(25)], k=rnd.randint(0, 120))
+        state_model = model_update(state_model, batch, k)
+        df = words_df(spark, batch).withColumn("uid", F.concat(F.lit(f"{b}:"), "uid"))
+        state = mg.mg_update(state, df, k)
+    assert as_dict(state) == state_model
+
+
+def test_merge_of_separate_summaries_keeps_the_bound(spark):
+    rnd = random.Random(11)
+    a = rnd.choices([f"w{i}" for i in range(40)], weights=[1 / (i + 1) for i in range(40)], k=800)
+    b = rnd.choices([f"w{i}" for i in range(40)], weights=[1 / (40 - i) for i in range(40)], k=500)
+    k = 5
+    merged = mg.mg_merge([mg.misra_gries(words_df(spark, a), k), mg.misra_gries(words_df(spark, b), k)], k)
+    check_bound(as_dict(merged), a + b, k)
