@@ -144,3 +144,23 @@ def test_processing_time_trigger(spark):
 
     want = [r["keyword"] for r in rs.reservoir_sample(df, 2).orderBy("sample_index").collect()]
     assert [r["keyword"] for r in read_samples(store).collect()] == want
+
+
+def test_plain_payloads_without_uid(spark):
+    """The plain {"keyword", "timestamp"} payload (no occurrence id) streams through the fold."""
+    from trendlens.operators.synth import to_payload
+    from trendlens.sources.keywords import source_keywords
+    from trendlens.sources.snapshot import read_samples
+    from trendlens.streaming import start_stream
+
+    root = new_work_dir(spark, "test-plain")
+    df = words_df(spark, [f"w{i % 5}" for i in range(60)]).withColumn("timestamp", F.lit(7).cast("long"))
+    to_payload(df, with_uid=False).write.text(f"{root}/src")
+    store = EpochStore(spark, f"{root}/store")
+    q = start_stream(source_keywords(spark, "text", f"{root}/src"), store, f"{root}/chk", k=3, n=4,
+                     trigger={"availableNow": True}, clock=lambda: 9)
+    q.awaitTermination()
+    assert counters(store) == (60, 60, 9)
+    samples = [r["keyword"] for r in read_samples(store).collect()]
+    assert len(samples) == 4 and set(samples) <= {f"w{i}" for i in range(5)}
+    assert {r["keyword"]: r["approx_count"] for r in read_hot_topics(store).collect()} == {}  # 5 keys × 12, K=3

@@ -110,8 +110,8 @@ def as_sketch(mg_state: DataFrame, slots: DataFrame) -> DataFrame:
 class EpochFold:
     """``foreachBatch`` body: ``fold(batch_df, epoch_id)``.
 
-    ``batch_df`` must already be parsed and admitted, with columns ``keyword``
-    and ``uid`` (one id per occurrence).
+    ``batch_df`` must already be parsed and admitted, with a ``keyword`` column
+    and, where the source has one, a ``uid`` per occurrence.
     """
 
     def __init__(
@@ -191,7 +191,12 @@ class EpochFold:
             changed = True
 
         # 3. rows; the batch is re-evaluated per action, so keep it for this epoch.
-        batch = batch.select("keyword", F.col("uid").cast("string").alias("uid")).persist(StorageLevel.MEMORY_AND_DISK)
+        # A message without an occurrence id (a plain {"keyword", "timestamp"}
+        # payload) gets "e<epoch>:<row id>": unique across epochs, and the same when
+        # the epoch is replayed over the same files.
+        uid = F.col("uid").cast("string") if "uid" in batch.columns else F.lit(None).cast("string")
+        fallback = F.concat(F.lit(f"e{e}:"), F.monotonically_increasing_id().cast("string"))
+        batch = batch.select("keyword", F.coalesce(uid, fallback).alias("uid")).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             batch_count = batch.count()
             meta = replace(meta, epoch=e, batch_count=batch_count)
