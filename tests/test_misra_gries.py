@@ -138,3 +138,13 @@ def test_merge_of_separate_summaries_keeps_the_bound(spark):
     k = 5
     merged = mg.mg_merge([mg.misra_gries(words_df(spark, a), k), mg.misra_gries(words_df(spark, b), k)], k)
     check_bound(as_dict(merged), a + b, k)
+
+
+@pytest.mark.parametrize("partitions", [1, 5])
+def test_skewed_key_sketch_and_verified(spark, partitions):
+    words = ["hot"] * 1500 + [f"t{i % 900}" for i in range(3000)]
+    df = words_df(spark, words, partitions)
+    k = 4
+    check_bound(as_dict(mg.mg_sketch(df, k)), words, k)
+    verified = {r["keyword"]: r["exact_count"] for r in mg.mg_verified(df, k).collect()}
+    assert verified == {"hot": 1500}

@@ -1,7 +1,9 @@
 """Registered streaming queries: fixed micro-batch replays through the real Structured
 Streaming fold (file source -> parse -> ``foreachBatch``), read back from the epoch store.
 
-Scenarios (each replay runs once per session and data folder; several keys read it):
+Scenarios (each replay runs once per session and data folder; several keys read it).
+Batches split a table by ``doc_id % m`` or by phase: every row is in exactly one
+batch, so each replay processes the whole table.
 
 - plain:       document tokens in 3 batches (``doc_id % 3``), then a batch of junk
                messages (document lines, none valid JSON) that admits no row
