@@ -58,17 +58,20 @@ def shared_root(spark: SparkSession) -> str:
     absent (local tests) do we create a folder and register it as the
     checkpoint dir.
     """
-    root = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
-    if not root:
-        try:
-            root = spark.conf.get("spark.checkpoint.dir")
-        except Exception:  # noqa: BLE001 - key absent
-            root = None
-    if not root:
-        root = spark.sparkContext.getCheckpointDir()
+    try:
+        root = spark.conf.get("spark.checkpoint.dir")
+    except Exception:  # noqa: BLE001 - key absent
+        root = None
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - a Spark Connect session has no SparkContext
+        sc = None
+    if not root and sc is not None:
+        root = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not root:
         root = tempfile.mkdtemp(prefix="trendlens-")
-        spark.sparkContext.setCheckpointDir(root)
+        if sc is not None:
+            sc.setCheckpointDir(root)
     return root.rstrip("/")
 
 

@@ -25,8 +25,12 @@ def read_table(spark: SparkSession, sf_dir: str, name: str, balance: bool = True
     """
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
     if balance:
-        cores = spark.sparkContext.defaultParallelism
-        if df.rdd.getNumPartitions() < cores:
+        try:
+            cores = spark.sparkContext.defaultParallelism
+            parts = df.rdd.getNumPartitions()
+        except Exception:  # noqa: BLE001 - e.g. a Spark Connect session has no RDD view
+            return df
+        if parts < cores:
             df = df.repartition(cores)
     return df
 
