@@ -46,3 +46,19 @@ def test_category_rollup_default(spark):
     hot = spark.createDataFrame([("AI", 5), ("Agent", 2), ("zzz", 4)], "keyword string, approx_count long")
     rows = [tuple(r) for r in ops.category_rollup(hot, ops.category_dimension(spark)).collect()]
     assert rows == [("AI/模型", 7), ("其他", 4)]
+
+
+def test_exact_top_smaller_than_k(spark):
+    # 3 distinct keywords, K = 10: recall divides by the 3 exact keywords, not by K.
+    mg, exact, sample, totals = frames(spark, [("a", 4), ("b", 1)], [("a", 4), ("b", 1), ("c", 1)], ["a", "b"], 6)
+    row = ev.evaluate(mg, exact, sample, totals, 10).first()
+    assert row["overlap_count"] == 2
+    assert row["topk_recall_at_k"] == round(2 / 3, 6)
+    assert row["top1_match"] == 1
+
+
+def test_no_data_gives_defaults(spark):
+    mg, exact, sample, totals = frames(spark, [], [], [], 0)
+    row = ev.evaluate(mg, exact, sample, totals, 5).first()
+    assert (row["topk_recall_at_k"], row["top1_match"], row["overlap_count"], row["reservoir_tvd"]) == (0.0, 0, 0, 1.0)
+    assert row["reservoir_similarity"] == 0.0 and row["memory_saved_percent"] == 0.0
