@@ -19,17 +19,20 @@ from trendlens.sources.keywords import read_table
 
 K, N, SEED = DEFAULT_K, DEFAULT_N, DEFAULT_SEED
 
-# Shared CTEs: tokens, MG summary, exact counts and top-K, sample, totals.
-def base_ctes(mg_ctes: list[str] | None = None) -> list[str]:
-    """``mg_ctes`` must define a CTE named ``mg``; default: one-batch MG of all tokens."""
-    mg_part = mg_ctes if mg_ctes is not None else [S.counts_cte("c", "doc_tok"), S.mg_prune_cte("mg", "c", K)]
+# Shared CTEs: stream, MG summary, exact counts and top-K, sample, totals.
+def base_ctes(mg_ctes: list[str] | None = None, source: str = "doc_tok", source_ctes: list[str] | None = None) -> list[str]:
+    """CTEs over a keyword stream CTE ``source`` (default: the document tokens).
+
+    ``mg_ctes`` must define a CTE named ``mg``; default: the one-batch MG of the stream.
+    """
+    mg_part = mg_ctes if mg_ctes is not None else [S.counts_cte("c", source), S.mg_prune_cte("mg", "c", K)]
     return [
-        S.DOC_TOK,
+        *(source_ctes if source_ctes is not None else [S.DOC_TOK]),
         *mg_part,
-        "ex AS (SELECT keyword, count(*) AS exact_count FROM doc_tok GROUP BY keyword)",
+        f"ex AS (SELECT keyword, count(*) AS exact_count FROM {source} GROUP BY keyword)",
         f"et AS (SELECT keyword, exact_count FROM ex ORDER BY exact_count DESC, keyword LIMIT {K})",
-        S.reservoir_cte("r", "doc_tok", N, SEED),
-        "tot AS (SELECT count(*) AS t FROM doc_tok)",
+        S.reservoir_cte("r", source, N, SEED),
+        f"tot AS (SELECT count(*) AS t FROM {source})",
     ]
 
 

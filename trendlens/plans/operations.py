@@ -187,3 +187,30 @@ def q_burst_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ops.operational_metrics(hot, sample, ops.batch_counters(bursts), AS_OF).select(
         "top1_ratio", "sample_diversity"
     )
+
+
+def _search_eval_sql() -> str:
+    from trendlens.plans.evaluation import base_ctes, eval_sql
+
+    return eval_sql(base_ctes(source="srch", source_ctes=list(_SEARCH)))
+
+
+@register("search_eval_metrics", _search_eval_sql())
+def q_search_eval_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K7 on the search traffic model: head words are heavy hitters, the 10,000-word tail is noise.
+
+    The MG summary and the exact counts come from one aggregation; the summary
+    and the sample (both bounded) are checkpointed because several metric
+    branches read them.
+    """
+    from trendlens.config import shared_root
+    from trendlens.operators import evaluate as ev
+    from trendlens.operators import exact as ex
+
+    shared_root(spark)
+    stream = search(spark, sf_dir)
+    exact = ex.exact_counts(stream)
+    summary = mg.mg_prune(exact.select("keyword", F.col("exact_count").alias("n")), K).checkpoint()
+    sample = rs.reservoir_sample(stream, N, "uid", SEED).checkpoint()
+    totals = exact.agg(F.sum("exact_count").cast("long").alias("total_processed"))
+    return ev.evaluate(summary, exact, sample, totals, K)

@@ -260,3 +260,16 @@ def q_stream_burst_decay(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The burst word's MG count per epoch -- it rises in the burst and decays after."""
     return read_mg_history(run(spark, sf_dir, "burst"), synth.BURST_WORD)
 
+
+
+def _burst_eval_sql() -> str:
+    batches = [f"(SELECT keyword FROM burst WHERE phase = {p})" for p in range(len(PHASE_SIZES))]
+    ctes, final = S.mg_chain_ctes("z", batches, K)
+    sources = [*S.search_ctes(SEED), _phase_sql()]
+    return eval_sql(base_ctes(ctes + [f"mg AS (SELECT * FROM {final})"], source="burst", source_ctes=sources))
+
+
+@register("stream_burst_eval_metrics", _burst_eval_sql())
+def q_stream_burst_eval_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K7 + K10: the metrics published after the normal -> burst -> normal replay."""
+    return read_eval_metrics(run(spark, sf_dir, "burst"))
