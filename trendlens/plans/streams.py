@@ -24,7 +24,12 @@ from trendlens.operators import synth
 from trendlens.plans import sql as S
 from trendlens.plans.catalog import doc_tokens
 from trendlens.plans.evaluation import base_ctes, eval_sql
-from trendlens.plans.operations import PHASE_SIZES, _phase_sql, phased_bursts
+from trendlens.operators import export as xp
+from trendlens.operators import operations as ops
+from trendlens.plans.datasets import EXPORTED_AT, PREFIX, _records_sql
+from trendlens.plans.operations import AS_OF, PHASE_SIZES, REFRESH_SECONDS, _phase_sql, phased_bursts
+from trendlens.sinks.dataset import write_dataset
+from trendlens.sources.dataset import load_dataset
 from trendlens.plans.registry import register
 from trendlens.sources.keywords import read_table
 from trendlens.sources.snapshot import (
@@ -273,3 +278,87 @@ def _burst_eval_sql() -> str:
 def q_stream_burst_eval_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K7 + K10: the metrics published after the normal -> burst -> normal replay."""
     return read_eval_metrics(run(spark, sf_dir, "burst"))
+
+
+# -- the dashboard and the exporter, reading the published snapshot -----------------
+
+
+def _burst_snapshot_sql() -> list[str]:
+    batches = [f"(SELECT keyword FROM burst WHERE phase = {p})" for p in range(len(PHASE_SIZES))]
+    ctes, final = S.mg_chain_ctes("z", batches, K)
+    last = len(PHASE_SIZES) - 1
+    return [
+        *S.search_ctes(SEED),
+        _phase_sql(),
+        *ctes,
+        f"mg AS (SELECT * FROM {final})",
+        S.reservoir_cte("r", "burst", N, SEED),
+        f"""cnt AS (SELECT count(*) AS total_processed,
+          count(*) FILTER (WHERE phase = {last}) AS last_batch_count,
+          CAST({CLOCK} AS BIGINT) AS last_update_epoch FROM burst)""",
+    ]
+
+
+def _stream_ops_sql() -> list[str]:
+    return [
+        *_burst_snapshot_sql(),
+        f"""om AS (SELECT
+  round(CASE WHEN (SELECT sum(approx_count) FROM mg) > 0
+        THEN (SELECT max(approx_count) FROM mg)::DOUBLE / (SELECT sum(approx_count) FROM mg) ELSE 0.0 END, 6) AS top1_ratio,
+  round(CASE WHEN (SELECT count(*) FROM r) > 0
+        THEN (SELECT count(DISTINCT keyword) FROM r)::DOUBLE / (SELECT count(*) FROM r) ELSE 0.0 END, 6) AS sample_diversity,
+  CAST(CASE WHEN coalesce((SELECT last_update_epoch FROM cnt), 0) = 0 THEN -1
+       ELSE greatest({AS_OF} - (SELECT last_update_epoch FROM cnt), 0) END AS BIGINT) AS data_freshness_seconds)""",
+    ]
+
+
+def _published(spark: SparkSession, sf_dir: str, scenario: str):
+    store = run(spark, sf_dir, scenario)
+    return read_hot_topics(store), read_samples(store), read_counters(store)
+
+
+@register("stream_operational_metrics", S.with_(*_stream_ops_sql()) + "SELECT * FROM om")
+def q_stream_operational_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K9 as the dashboard computes it: from the snapshot published after the burst replay."""
+    hot, samples, counters = _published(spark, sf_dir, "burst")
+    return ops.operational_metrics(hot, samples, counters, AS_OF)
+
+
+@register(
+    "stream_alerts",
+    S.with_(*_stream_ops_sql())
+    + f"""SELECT CAST(data_freshness_seconds >= {max(6, 3 * REFRESH_SECONDS)} AS INTEGER) AS alert_freshness,
+  CAST(top1_ratio >= 0.85 AND (SELECT total_processed FROM cnt) > 1000 AS INTEGER) AS alert_concentration,
+  CAST(sample_diversity <= 0.35 AND (SELECT count(*) FROM r) >= 10 AS INTEGER) AS alert_diversity,
+  CAST(NOT (data_freshness_seconds >= {max(6, 3 * REFRESH_SECONDS)}
+            OR (top1_ratio >= 0.85 AND (SELECT total_processed FROM cnt) > 1000)
+            OR (sample_diversity <= 0.35 AND (SELECT count(*) FROM r) >= 10)) AS INTEGER) AS healthy
+FROM om""",
+)
+def q_stream_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P9 from the published burst-replay snapshot."""
+    hot, samples, counters = _published(spark, sf_dir, "burst")
+    metrics = ops.operational_metrics(hot, samples, counters, AS_OF)
+    return ops.alerts(metrics, counters, samples, REFRESH_SECONDS)
+
+
+def _plain_records_sql() -> str:
+    ctes = [
+        S.DOC_TOK,
+        *_plain_mg(),
+        S.reservoir_cte("r", "doc_tok", N, SEED),
+        f"""cnt AS (SELECT count(*) AS total_processed,
+          count(*) FILTER (WHERE doc_id % 3 = 2) AS last_batch_count,
+          CAST({CLOCK} AS BIGINT) AS last_update_epoch FROM doc_tok)""",
+    ]
+    return S.with_(*ctes) + _records_sql("mg", "r", "cnt", EXPORTED_AT)
+
+
+@register("stream_export_records", _plain_records_sql())
+def q_stream_export_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P7 + S12 + S9 as the exporter runs: the live snapshot of the plain replay, written as
+    JSONL and read back."""
+    hot, samples, counters = _published(spark, sf_dir, "plain")
+    records = xp.export_records(hot, samples, counters, EXPORTED_AT)
+    export = write_dataset(records, new_work_dir(spark, "stream-export"), PREFIX, EXPORTED_AT)
+    return load_dataset(spark, export.jsonl_path)
