@@ -60,3 +60,13 @@ def test_parse_with_default(spark):
 @pytest.mark.parametrize("text, expected", [("10", 10), ("abc", 50), ("0", 50), ("-3", 50), (None, 50), (" 7 ", 7)])
 def test_control_setting_rule(text, expected):
     assert parse_setting(text, 50) == expected
+
+
+def test_stamp_is_utc_in_any_session_zone(spark):
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+        got = spark.range(1).select(fx.stamp(F.lit(1_735_689_600)).alias("s")).first()["s"]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert got == fx.stamp_text(1_735_689_600) == "20250101_000000"

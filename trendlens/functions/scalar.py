@@ -83,8 +83,9 @@ def stamp_text(epoch_seconds: int) -> str:
 
 
 def stamp(epoch_seconds: Column | str) -> Column:
-    """F8 as a column: ``yyyyMMdd_HHmmss`` in the session time zone (UTC)."""
-    return F.date_format(F.timestamp_seconds(_col(epoch_seconds)), "yyyyMMdd_HHmmss")
+    """F8 as a column: ``yyyyMMdd_HHmmss`` in UTC, whatever the session time zone."""
+    utc_wall_clock = F.timestamp_add("SECOND", _col(epoch_seconds), F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'"))
+    return F.date_format(utc_wall_clock, "yyyyMMdd_HHmmss")
 
 
 def freshness_seconds(last_update_epoch: Column | str, as_of: Column | int) -> Column:
