@@ -51,9 +51,17 @@ def search_records(spark: SparkSession, sf_dir: str, exported_at: int = EXPORTED
     return xp.export_records(hot, sample, ops.batch_counters(stream), exported_at)
 
 
+_EXPORTS: dict[tuple, tuple] = {}
+
+
 def _exported(spark: SparkSession, sf_dir: str):
-    root = new_work_dir(spark, "export")
-    return root, write_dataset(search_records(spark, sf_dir), root, PREFIX, EXPORTED_AT)
+    """The search-stream snapshot written as a dataset; once per session and data folder,
+    shared by the dataset view keys."""
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    if key not in _EXPORTS:
+        root = new_work_dir(spark, "export")
+        _EXPORTS[key] = (root, write_dataset(search_records(spark, sf_dir), root, PREFIX, EXPORTED_AT))
+    return _EXPORTS[key]
 
 
 @register("export_records", _RECORDS + "SELECT * FROM rec")

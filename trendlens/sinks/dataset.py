@@ -15,7 +15,6 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from trendlens.functions.scalar import clean_prefix_text, stamp_text
 from trendlens.operators.export import export_meta
@@ -52,6 +51,3 @@ def write_dataset(records: DataFrame, root: str, prefix: str, exported_at: int)
     ).parquet(f"{root}/_index")
     return Export(jsonl_path, meta_path, jsonl_file, int(meta_row["record_count"]))
 
-
-def index_frame(records_root: str, spark) -> DataFrame:
-    return spark.read.parquet(f"{records_root.rstrip('/')}/_index").select("jsonl_file", F.col("exported_at"))
