@@ -24,11 +24,10 @@ from trendlens.operators import synth
 from trendlens.plans import sql as S
 from trendlens.plans.catalog import doc_tokens
 from trendlens.plans.evaluation import base_ctes, eval_sql
-from trendlens.operators import export as xp
 from trendlens.operators import operations as ops
 from trendlens.plans.datasets import EXPORTED_AT, PREFIX, _records_sql
 from trendlens.plans.operations import AS_OF, PHASE_SIZES, REFRESH_SECONDS, _phase_sql, phased_bursts
-from trendlens.sinks.dataset import write_dataset
+from trendlens.sinks.dataset import export_snapshot
 from trendlens.sources.dataset import load_dataset
 from trendlens.plans.registry import register
 from trendlens.sources.keywords import read_table
@@ -358,7 +357,6 @@ def _plain_records_sql() -> str:
 def q_stream_export_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """P7 + S12 + S9 as the exporter runs: the live snapshot of the plain replay, written as
     JSONL and read back."""
-    hot, samples, counters = _published(spark, sf_dir, "plain")
-    records = xp.export_records(hot, samples, counters, EXPORTED_AT)
-    export = write_dataset(records, new_work_dir(spark, "stream-export"), PREFIX, EXPORTED_AT)
+    store = run(spark, sf_dir, "plain")
+    export = export_snapshot(store, new_work_dir(spark, "stream-export"), PREFIX, EXPORTED_AT)
     return load_dataset(spark, export.jsonl_path)

@@ -51,3 +51,16 @@ def write_dataset(records: DataFrame, root: str, prefix: str, exported_at: int)
     ).parquet(f"{root}/_index")
     return Export(jsonl_path, meta_path, jsonl_file, int(meta_row["record_count"]))
 
+
+
+def export_snapshot(store, root: str, prefix: str, exported_at: int) -> Export:
+    """Export the stream's current published snapshot (hot topics, samples, counters of one
+    committed epoch) as a JSONL dataset with its metadata; returns the paths and record count."""
+    from trendlens.operators.export import export_records
+    from trendlens.sources.snapshot import published_epoch, read_counters, read_hot_topics, read_samples
+
+    epoch = published_epoch(store)  # one epoch for all three reads
+    records = export_records(
+        read_hot_topics(store, epoch), read_samples(store, epoch), read_counters(store, epoch), exported_at
+    )
+    return write_dataset(records, root, prefix, exported_at)
