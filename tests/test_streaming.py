@@ -164,3 +164,17 @@ def test_plain_payloads_without_uid(spark):
     samples = [r["keyword"] for r in read_samples(store).collect()]
     assert len(samples) == 4 and set(samples) <= {f"w{i}" for i in range(5)}
     assert {r["keyword"]: r["approx_count"] for r in read_hot_topics(store).collect()} == {}  # 5 keys × 12, K=3
+
+
+def test_dashboard_from_snapshot(spark):
+    from trendlens.operators.operations import dashboard
+
+    store, fold = fold_for(spark)
+    empty = dashboard(store, as_of=200).first()
+    assert empty["data_freshness_seconds"] == -1 and empty["healthy"] == 1 and empty["top1_ratio"] == 0.0
+    fold(words_df(spark, list("aaaaab")), 0)
+    row = dashboard(store, as_of=200).first()
+    # clock = 123, hot topics a:5 b:1 (K=3), sample of 2 slots
+    assert row["data_freshness_seconds"] == 77 and row["alert_freshness"] == 1
+    assert row["top1_ratio"] == round(5 / 6, 6)
+    assert row["exact_memory_text"] == "18.00 B" and row["mg_memory_text"] == "18.00 B"

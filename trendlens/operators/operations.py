@@ -133,3 +133,35 @@ def batch_counters(stream: DataFrame) -> DataFrame:
         F.count(F.lit(1)).cast("long").alias("last_batch_count"),
         F.coalesce(F.floor(F.max("timestamp") / F.lit(1000)), F.lit(0)).cast("long").alias("last_update_epoch"),
     )
+
+
+def dashboard(store, as_of: int, refresh_seconds: int = 2, k: int | None = None) -> DataFrame:
+    """One dashboard refresh from a stream's current published snapshot, in one row:
+    memory texts (A13/A14), concentration, diversity, freshness (K9) and alerts (P9).
+
+    ``k`` is the counter budget shown for the size estimate when the exact baseline
+    is off; by default the K in force at the snapshot's epoch.
+    """
+    from trendlens.operators.evaluate import memory_display
+    from trendlens.sources.snapshot import (
+        published_epoch,
+        read_counters,
+        read_eval_metrics,
+        read_hot_topics,
+        read_samples,
+    )
+
+    epoch = published_epoch(store)  # one epoch for every read
+    hot, samples, counters = read_hot_topics(store, epoch), read_samples(store, epoch), read_counters(store, epoch)
+    if k is None:
+        entry = store.latest_entry()
+        k = int(entry["k"]) if entry is not None else 0
+    metrics = read_eval_metrics(store, epoch)
+    if epoch is None:  # nothing published yet: the reader's defaults
+        metrics = store.spark.createDataFrame([(0, 0, 0.0)], "exact_memory_bytes long, mg_memory_bytes long, memory_saved_percent double")
+    ops_row = operational_metrics(hot, samples, counters, as_of)
+    return stitch(
+        memory_display(metrics, counters, k),
+        ops_row,
+        alerts(ops_row, counters, samples, refresh_seconds),
+    )

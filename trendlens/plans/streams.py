@@ -360,3 +360,29 @@ def q_stream_export_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     store = run(spark, sf_dir, "plain")
     export = export_snapshot(store, new_work_dir(spark, "stream-export"), PREFIX, EXPORTED_AT)
     return load_dataset(spark, export.jsonl_path)
+
+
+@register(
+    "stream_dashboard",
+    S.with_(
+        *_stream_ops_sql(),
+        "ms AS (SELECT CAST(coalesce(sum(strlen(keyword) + 8), 0) AS BIGINT) AS b FROM mg)",
+        "es AS (SELECT CAST(coalesce(sum(strlen(keyword) + 8), 0) AS BIGINT) AS b FROM "
+        "(SELECT keyword FROM burst GROUP BY keyword))",
+    )
+    + f"""SELECT {S.format_bytes_sql("(SELECT b FROM es)")} AS exact_memory_text,
+  {S.format_bytes_sql("(SELECT b FROM ms)")} AS mg_memory_text,
+  round(greatest(least(round(((SELECT b FROM es) - (SELECT b FROM ms))::DOUBLE / (SELECT b FROM es) * 100.0, 6),
+        99.99), -999.0), 6) AS saved_percent,
+  top1_ratio, sample_diversity, data_freshness_seconds,
+  CAST(data_freshness_seconds >= {max(6, 3 * REFRESH_SECONDS)} AS INTEGER) AS alert_freshness,
+  CAST(top1_ratio >= 0.85 AND (SELECT total_processed FROM cnt) > 1000 AS INTEGER) AS alert_concentration,
+  CAST(sample_diversity <= 0.35 AND (SELECT count(*) FROM r) >= 10 AS INTEGER) AS alert_diversity,
+  CAST(NOT (data_freshness_seconds >= {max(6, 3 * REFRESH_SECONDS)}
+            OR (top1_ratio >= 0.85 AND (SELECT total_processed FROM cnt) > 1000)
+            OR (sample_diversity <= 0.35 AND (SELECT count(*) FROM r) >= 10)) AS INTEGER) AS healthy
+FROM om""",
+)
+def q_stream_dashboard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One dashboard refresh (memory texts, K9 metrics, P9 alerts) over the burst replay's snapshot."""
+    return ops.dashboard(run(spark, sf_dir, "burst"), AS_OF, REFRESH_SECONDS)
