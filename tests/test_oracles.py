@@ -45,3 +45,14 @@ def test_rows_only(spark, name):
 
 def test_no_data_written_into_repo():
     assert not os.path.exists(os.path.join(os.path.dirname(os.path.dirname(__file__)), "spark-warehouse"))
+
+
+SPARK_TO_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN"}
+
+
+@pytest.mark.parametrize("name", sorted(E.oracle_sql()))
+def test_oracle_types(spark, con, name):
+    spark_types = {f.name: SPARK_TO_DUCK.get(f.dataType.simpleString(), f.dataType.simpleString())
+                   for f in E.queries()[name](spark, SF001).schema.fields}
+    rel = con.sql(E.oracle_sql()[name])
+    assert spark_types == {c: str(t) for c, t in zip(rel.columns, rel.types)}

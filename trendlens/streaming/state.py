@@ -119,4 +119,7 @@ class EpochStore:
             log = self.spark.read.option("basePath", f"{self.root}/log").parquet(f"{self.root}/log/epoch=*")
         except AnalysisException:
             return None
-        return log.select(*STREAM_LOG.fieldNames())
+        # the folder name ``epoch=e`` is discovered as an int column: keep the declared long
+        return log.select(
+            F.col("epoch").cast("long").alias("epoch"), *[n for n in STREAM_LOG.fieldNames() if n != "epoch"]
+        )
