@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -80,6 +82,38 @@ def new_work_dir(spark: SparkSession, name: str) -> str:
     return f"{shared_root(spark)}/trendlens/{name}-{uuid.uuid4().hex[:12]}"
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make this package importable by the executors' Python workers, once per application.
+
+    Operators that run Python on the executors (the Arrow sketch) need it there;
+    the package is zipped into the shared folder and added with ``addPyFile``.
+    """
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - no SparkContext (Spark Connect): the server ships code
+        return
+    if sc.applicationId in _SHIPPED:
+        return
+    package_dir = os.path.dirname(os.path.abspath(__file__))
+    target = new_work_dir(spark, "pyfiles")
+    local = target[len("file:"):] if target.startswith("file:") else target
+    if "://" in local:  # a remote shared store: build the zip locally, Spark uploads it
+        local = tempfile.mkdtemp(prefix="trendlens-pyfiles-")
+    os.makedirs(local, exist_ok=True)
+    zip_path = os.path.join(local, "trendlens.zip")
+    with zipfile.ZipFile(zip_path, "w", zipfile.ZIP_DEFLATED) as z:
+        for root, _, files in os.walk(package_dir):
+            for name in files:
+                if name.endswith(".py"):
+                    full = os.path.join(root, name)
+                    z.write(full, os.path.relpath(full, os.path.dirname(package_dir)))
+    sc.addPyFile(zip_path)
+    _SHIPPED.add(sc.applicationId)
+
+
 def check_k(k: int) -> int:
     if not isinstance(k, int) or isinstance(k, bool) or k <= 0:
         raise ValueError(f"k must be a positive integer, got {k!r}")

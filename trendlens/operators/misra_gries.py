@@ -21,7 +21,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from trendlens.config import BROADCAST_ROW_LIMIT, check_k
+from trendlens.config import BROADCAST_ROW_LIMIT, check_k, ship_package
 
 
 def mg_prune(counts: DataFrame, k: int, count_col: str = "n") -> DataFrame:
@@ -148,6 +148,7 @@ def mg_sketch(events: DataFrame, k: int, keyword_col: str = "keyword", budget: i
     depends on the partitioning and on the budget.
     """
     check_k(k)
+    ship_package(events.sparkSession)  # the per-task function runs in the executors' Python
     local = events.select(F.col(keyword_col).alias("keyword")).mapInArrow(
         _partition_sketch(k, budget), "keyword string, n long"
     )
