@@ -178,3 +178,19 @@ def test_dashboard_from_snapshot(spark):
     assert row["data_freshness_seconds"] == 77 and row["alert_freshness"] == 1
     assert row["top1_ratio"] == round(5 / 6, 6)
     assert row["exact_memory_text"] == "18.00 B" and row["mg_memory_text"] == "18.00 B"
+
+
+def test_live_rate_stream_through_the_fold(spark):
+    """G4 + K8: the rate source with weighted draws and a burst, folded like the live demo."""
+    from trendlens.operators.synth import BURST_WORD, rate_stream
+    from trendlens.streaming import start_stream
+
+    root = new_work_dir(spark, "test-rate")
+    store = EpochStore(spark, f"{root}/store")
+    q = start_stream(rate_stream(spark, 2000, burst_target=BURST_WORD), store, f"{root}/chk", k=10, n=5,
+                     trigger={"once": True}, clock=lambda: 1)
+    q.awaitTermination(120)
+    q.stop()
+    assert counters(store)[:2] == (2000, 2000)
+    hot = [r["keyword"] for r in read_hot_topics(store).collect()]
+    assert hot[0] == BURST_WORD  # 90 % of the traffic

@@ -116,3 +116,25 @@ def to_payload(stream: DataFrame, with_uid: bool = True) -> DataFrame:
     """The D1 JSON payload ``{"keyword": ..., "timestamp": ...}`` as ``value``."""
     fields = [F.col("keyword"), F.col("timestamp")] + ([F.col("uid")] if with_uid else [])
     return stream.select(F.to_json(F.struct(*fields)).alias("value"))
+
+
+def rate_stream(
+    spark: SparkSession,
+    rows_per_batch: int,
+    vocab: DataFrame | None = None,
+    seed: str = DEFAULT_SEED,
+    burst_target: str | None = None,
+    percent: int = BURST_PERCENT,
+) -> DataFrame:
+    """A live search stream of ``rows_per_batch`` messages per micro-batch.
+
+    Spark's ``rate-micro-batch`` source numbers the messages; each gets a weighted
+    vocabulary draw (uid = its number), and with ``burst_target`` set, ``percent`` %
+    of them carry that word. The mode is fixed per query; restart it to switch.
+    """
+    raw = spark.readStream.format("rate-micro-batch").option("rowsPerBatch", int(rows_per_batch)).load()
+    rows = raw.select(F.col("value").cast("string").alias("uid"), F.unix_millis("timestamp").alias("timestamp"))
+    stream = assign_keywords(rows, vocab if vocab is not None else vocabulary(spark), "uid", seed)
+    if burst_target:
+        stream = burst_mixture(stream, F.lit(True), burst_target, percent, "uid", seed)
+    return stream.select("keyword", "timestamp", "uid")
