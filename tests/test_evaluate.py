@@ -62,3 +62,13 @@ def test_no_data_gives_defaults(spark):
     row = ev.evaluate(mg, exact, sample, totals, 5).first()
     assert (row["topk_recall_at_k"], row["top1_match"], row["overlap_count"], row["reservoir_tvd"]) == (0.0, 0, 0, 1.0)
     assert row["reservoir_similarity"] == 0.0 and row["memory_saved_percent"] == 0.0
+
+
+def test_bounded_broadcast_checks_the_size(spark):
+    from trendlens.config import bounded_broadcast
+
+    small = spark.range(5)
+    big = spark.range(50)
+    plan = lambda df: df._jdf.queryExecution().logical().toString()
+    assert "broadcast" in plan(bounded_broadcast(small, limit=10)).lower()
+    assert "broadcast" not in plan(bounded_broadcast(big, limit=10)).lower()
