@@ -70,3 +70,13 @@ def test_stamp_is_utc_in_any_session_zone(spark):
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
     assert got == fx.stamp_text(1_735_689_600) == "20250101_000000"
+
+
+def test_format_bytes_many_sizes_and_ties(spark):
+    import random
+
+    rnd = random.Random(5)
+    sizes = [rnd.randrange(0, 1024 ** rnd.randint(1, 5) * 3) for _ in range(2000)]
+    sizes += [k * 1024**e // 8 for k in range(1, 800, 7) for e in range(1, 5)]  # exact halves and eighths
+    df = spark.createDataFrame([(s,) for s in sizes], "s long").select("s", fx.format_bytes(F.col("s")).alias("t"))
+    assert [r["t"] for r in df.orderBy("s").collect()] == [py_format_bytes(float(s)) for s in sorted(sizes)]
