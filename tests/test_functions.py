@@ -80,3 +80,14 @@ def test_format_bytes_many_sizes_and_ties(spark):
     sizes += [k * 1024**e // 8 for k in range(1, 800, 7) for e in range(1, 5)]  # exact halves and eighths
     df = spark.createDataFrame([(s,) for s in sizes], "s long").select("s", fx.format_bytes(F.col("s")).alias("t"))
     assert [r["t"] for r in df.orderBy("s").collect()] == [py_format_bytes(float(s)) for s in sorted(sizes)]
+
+
+def test_clean_prefix_matches_the_rule_on_table_text(spark):
+    from conftest import SF001
+
+    pages = spark.read.parquet(f"{SF001}/pages.parquet").select(F.col("url").alias("p"))
+    docs = spark.read.parquet(f"{SF001}/documents.parquet").select(F.substring("text", 1, 40).alias("p"))
+    rows = pages.unionByName(docs).select("p", fx.clean_prefix(F.col("p")).alias("c")).collect()
+    assert len(rows) > 100
+    for r in rows:
+        assert r["c"] == fx.clean_prefix_text(r["p"]), r["p"]
