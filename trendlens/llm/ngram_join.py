@@ -1,10 +1,12 @@
 """N-gram Jaccard join with prefix filters under several global token orders.
 
-A document's set holds the hashes of its distinct 5-word shingles. Sets with
-Jaccard similarity of at least 0.8 share a token among the first
-|x| - ceil(0.8 |x|) + 1 of either set under every global order of the tokens, so
-a candidate must pass the filter of each order before both whole sets are
-compared. An order ranks tokens by how frequent their hash bucket is over the
+A document's set holds the hashes of its distinct 5-word shingles. Its prefix
+under a global order of the tokens is its first |x| - ceil(0.8 |x|) + 1 tokens.
+Sets with Jaccard similarity of at least 0.8 share ceil(0.8 (|x| + |y|) / 1.8)
+tokens or more, and of these only as many as one set has outside its prefix can
+be missing from both prefixes. So under every order the prefixes share at least
+the difference, which is 1 or more; a candidate must pass this for each order
+before both whole sets are compared. An order ranks tokens by how frequent their hash bucket is over the
 whole corpus (a table of fixed size), then by a hash of the order's own. Rare
 tokens come first, so passages that many documents share seldom reach a prefix.
 
@@ -16,8 +18,9 @@ comparisons a document, and no link between components is lost. A document and
 all that it is compared with meet in one stream; a document with many partners
 is copied to several.
 
-Components come from contracting links round by round (every document joins the
-neighbour with the least hash of the round), which needs about log(n) rounds.
+Components come from contracting links round by round: every document joins the
+neighbour with the most links, by a hash of the round among equals, so a star is
+one round and a chain about log(n).
 
 Defined cases: words are runs of characters other than ASCII white space, A-Z
 lower-cased; fewer than five words make one shingle; null or empty texts have no
@@ -37,7 +40,7 @@ from pyspark.sql import functions as F
 
 from trendlens.llm import rolling
 from trendlens.llm.bounded import chunked, fold, narrowed
-from trendlens.llm.common import ship, stored
+from trendlens.llm.common import ship, stored, unskewed_join
 
 WORDS = 5
 PERCENT = 80
@@ -96,6 +99,12 @@ def prefix_size(n: np.ndarray | int):
     return n - (PERCENT * n + 99) // 100 + 1
 
 
+def overlap_needed(a, b, most):
+    """Tokens that the prefixes of similar sets of a and b tokens share at least; ``most`` is the larger-of function."""
+    alpha = (PERCENT * (a + b) + 99 + PERCENT) // (100 + PERCENT)
+    return alpha - most(a - prefix_size(a), b - prefix_size(b))
+
+
 def similar(shared: int, a: int, b: int) -> bool:
     return 100 * shared >= PERCENT * (a + b - shared)
 
@@ -176,10 +185,12 @@ def linked(pairs: DataFrame, docs: DataFrame, frequency) -> DataFrame:
 
     ``a`` and its partners meet sorted, ``a`` first; only its set is held.
     """
-    groups = pairs.groupBy("a").agg((F.floor(F.count("*") / PARTNERS) + 1).alias("copies"))
-    pairs = stored(pairs.join(groups, "a"), "ngram-pairs")
+    pairs = stored(pairs, "ngram-pairs")
+    groups = pairs.groupBy("a").agg(F.count("*").alias("partners")).withColumn("copies", F.floor(F.col("partners") / PARTNERS) + 1)
+    groups = stored(groups, "ngram-heads")
+    heads = groups.select(F.col("a").alias("doc_id"), "a", F.explode(F.sequence(F.lit(0).cast("long"), F.col("copies") - 1)).alias("spot"), F.lit(0).alias("role"))
+    pairs = unskewed_join(pairs, groups, ["a"], "partners", pairs.count())
     spread = F.pmod(F.xxhash64("b"), F.col("copies"))
-    heads = pairs.select(F.col("a").alias("doc_id"), "a", F.explode(F.sequence(F.lit(0).cast("long"), F.col("copies") - 1)).alias("spot"), F.lit(0).alias("role")).distinct()
     wants = heads.unionByName(pairs.select(F.col("b").alias("doc_id"), "a", spread.alias("spot"), F.lit(1).alias("role")))
     wants = stored(wants, "ngram-wants")
     texts = narrowed(docs, "doc_id", wants.select("doc_id").distinct())
@@ -212,7 +223,8 @@ def linked(pairs: DataFrame, docs: DataFrame, frequency) -> DataFrame:
                     if 100 * small < PERCENT * large:
                         continue
                     first = first or prefixes(own)
-                    if not all(np.isin(x, y).any() for x, y in zip(first, heads_)):
+                    need = overlap_needed(len(own), len(other), max)
+                    if not all(np.isin(x, y).sum() >= need for x, y in zip(first, heads_)):
                         continue
                     shared = len(np.intersect1d(own, other, assume_unique=True))
                     if similar(shared, len(own), len(other)):
@@ -230,10 +242,12 @@ def components(links: DataFrame) -> DataFrame:
     maps = []
     while not edges.isEmpty():
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        seed = F.lit(len(maps))
-        best = both.groupBy("a").agg(F.min(F.struct(F.xxhash64("b", seed).alias("h"), F.col("b").alias("node"))).alias("best"))
-        own = F.struct(F.xxhash64("a", seed).alias("h"), F.col("a").alias("node"))
-        step = stored(best.select(F.col("a").alias("node"), F.least(F.col("best"), own)["node"].alias("root")), "roots")
+        degree = stored(both.groupBy("a").agg((-F.count("*")).alias("d"), F.count("*").alias("c")), "degrees")
+        # a hub's links are split: every neighbour's degree is looked up under the skew-safe join
+        near = unskewed_join(both, degree.select(F.col("a").alias("b"), "d", "c"), ["b"], "c", 2 * edges.count())
+        rank = lambda node: F.struct(F.col("d"), F.xxhash64(node, F.lit(len(maps))).alias("h"), F.col(node).alias("node"))
+        best = near.groupBy("a").agg(F.min(rank("b")).alias("best")).join(degree, "a")
+        step = stored(best.select(F.col("a").alias("node"), F.least(F.col("best"), rank("a"))["node"].alias("root")), "roots")
         maps.append(step)
         for end in ("a", "b"):
             edges = edges.join(step.select(F.col("node").alias(end), F.col("root").alias("r")), end).drop(end).withColumnRenamed("r", end)
@@ -248,6 +262,11 @@ def components(links: DataFrame) -> DataFrame:
     return stored(whole.join(least, "root").select(F.col("node").alias("doc_id"), "component_id"), "components")
 
 
+#: Sizes that similar sets can have, and ``overlap_needed`` in SQL.
+FIT = f"a_n * 100 >= b_n * {PERCENT} AND b_n * 100 >= a_n * {PERCENT}"
+NEED = f"({PERCENT} * (a_n + b_n) + {99 + PERCENT}) div {100 + PERCENT} - greatest(({PERCENT} * a_n + 99) div 100, ({PERCENT} * b_n + 99) div 100) + 1"
+
+
 def find_links(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(summaries, links of the first round and of the join, components) of documents (doc_id, text)."""
     spark = docs.sparkSession
@@ -257,25 +276,28 @@ def find_links(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     named = docs.where("doc_id IS NOT NULL").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     full = rows.where("n > 0 AND doc_id IS NOT NULL")
 
-    same = full.groupBy("digest_a", "digest_b", "n").agg(F.min("doc_id").alias("a"))
-    copies = full.join(same, ["digest_a", "digest_b", "n"]).where("a <> doc_id").select("a", F.col("doc_id").alias("b"))
-    single = full.groupBy("digest_a", "digest_b", "n").agg(F.min("doc_id").alias("doc_id"), *[F.first(f"least_{k}").alias(f"least_{k}") for k in range(STARS)])
+    equal, total = ["digest_a", "digest_b", "n"], rows.count()
+    same = full.groupBy(*equal).agg(F.min("doc_id").alias("a"), F.count("*").alias("c")).where("c > 1")
+    copies = unskewed_join(full, same, equal, "c", total).where("a <> doc_id").select("a", F.col("doc_id").alias("b"))
+    single = full.groupBy(*equal).agg(F.min("doc_id").alias("doc_id"), *[F.first(f"least_{k}").alias(f"least_{k}") for k in range(STARS)])
     least = F.explode(F.array(*[F.struct(F.lit(k).alias("k"), F.col(f"least_{k}").alias("token")) for k in range(STARS)]))
-    least = single.select("doc_id", least.alias("l")).select("doc_id", "l.k", "l.token")
-    center = least.groupBy("k", "token").agg(F.min("doc_id").alias("a"), F.count("*").alias("c")).where("c > 1").drop("c")
-    stars = least.join(center, ["k", "token"]).where("a <> doc_id").select("a", F.col("doc_id").alias("b")).distinct()
+    least = stored(single.select("doc_id", "n", least.alias("l")).select("doc_id", "n", "l.k", "l.token"), "ngram-least")
+    center = least.groupBy("k", "token").agg(F.min(F.struct("doc_id", "n")).alias("center"), F.count("*").alias("c")).where("c > 1")
+    stars = unskewed_join(least, center, ["k", "token"], "c", STARS * total).select(F.col("center.doc_id").alias("a"), F.col("center.n").alias("a_n"), F.col("doc_id").alias("b"), F.col("n").alias("b_n"))
+    stars = stars.where((F.col("a") != F.col("b")) & F.expr(FIT)).select("a", "b").distinct()
     known = stored(linked(stars, named, frequency).unionByName(copies), "ngram-known")
     parts = components(known)
 
-    post = postings(named, frequency).repartition("token").dropDuplicates(["token", "doc_id"])
+    post = postings(named, frequency).repartition("token").dropDuplicates()
     post = post.withColumn("many", F.count("*").over(Window.partitionBy("token"))).where("many > 1").drop("many")
     post = stored(post, "ngram-postings")
     post = post.join(parts, "doc_id", "left").withColumn("part", F.coalesce("component_id", "doc_id")).drop("component_id")
     mixed = post.groupBy("token").agg(F.min("part").alias("lo"), F.max("part").alias("hi")).where("lo < hi").select("token")
     post = stored(post.join(mixed, "token"), "ngram-mixed")
     a, b = post.toDF("a_token", "a", "a_n", "a_part"), post.toDF("token", "b", "b_n", "b_part")
-    fit = (F.col("a_n") * 100 >= F.col("b_n") * PERCENT) & (F.col("b_n") * 100 >= F.col("a_n") * PERCENT)
-    pairs = a.join(b, (F.col("a_token") == F.col("token")) & (F.col("a") < F.col("b")) & (F.col("a_part") != F.col("b_part")) & fit)
+    pairs = a.join(b, (F.col("a_token") == F.col("token")) & (F.col("a") < F.col("b")) & (F.col("a_part") != F.col("b_part")) & F.expr(FIT))
+    pairs = pairs.groupBy("a", "b", "a_n", "b_n").agg(F.count("*").alias("shared"))
+    pairs = pairs.where(F.col("shared") >= F.expr(NEED))
     found = linked(pairs.select("a", "b").distinct(), named, frequency)
     links = stored(known.unionByName(found), "ngram-links")
     return rows, links, components(links)
