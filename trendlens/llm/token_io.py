@@ -35,6 +35,7 @@ from trendlens.llm import words
 from trendlens.llm.common import ship
 
 BLOCK_IDS = 2_000_000
+MAX_COUNTED = 1 << 22
 HEADER = struct.Struct("<4sIQIQ")
 MAGIC = b"TKB1"
 #: Byte counts of the four ids that a control byte describes.
@@ -60,11 +61,18 @@ def _codes(path: str) -> words.ChunkCodes:
 def pack(doc_ids: list, ids: list[np.ndarray]) -> bytes:
     """One block of documents and their ids."""
     flat = np.concatenate([*ids, np.zeros(0, np.uint32)]).astype(np.uint32)
-    values, where, counts = np.unique(flat, return_inverse=True, return_counts=True)
+    top = int(flat.max()) + 1 if len(flat) else 0
+    if top <= MAX_COUNTED:  # ids of a vocabulary are counted in an array
+        counts = np.bincount(flat, minlength=top)
+        values, place = np.flatnonzero(counts).astype(np.uint32), flat
+        counts = counts[values]
+    else:
+        values, place, counts = np.unique(flat, return_inverse=True, return_counts=True)
+        place, top = place.ravel(), len(values)
     order = np.argsort(-counts, kind="stable")
-    rank = np.empty(len(values), np.uint32)
-    rank[order] = np.arange(len(values), dtype=np.uint32)
-    ranks = rank[where.ravel()] if len(values) else flat
+    rank = np.zeros(top, np.uint32)
+    rank[values[order] if place is flat else order] = np.arange(len(values), dtype=np.uint32)
+    ranks = rank[place] if len(flat) else flat
     sizes = (1 + (ranks > 0xFF) + (ranks > 0xFFFF) + (ranks > 0xFFFFFF)).astype(np.uint8)
     data = ranks.astype("<u4").view(np.uint8).reshape(-1, 4)[np.arange(4) < sizes[:, None]]
     quads = np.zeros(-(-len(sizes) // 4) * 4, np.uint8)

@@ -1,9 +1,11 @@
 """Texts as codes of repeated chunks, so that a tokenizer sees each distinct chunk once a task.
 
-A chunk is a run of spaces and newlines with the characters up to the next such
-run. A byte-level pattern always ends a match before white space that follows
-other characters, so encoding chunk by chunk gives the ids of the whole text. A
-text with any other white space is one chunk of its own.
+A chunk is a run of spaces and newlines with the letters after it, if an ASCII
+character other than a letter follows them, or else with all characters up to
+the next such run. A byte-level pattern always ends a match between a letter and
+a character that is none, and before white space that follows other characters,
+so encoding chunk by chunk gives the ids of the whole text. A text with any
+other white space is one chunk of its own.
 """
 
 from __future__ import annotations
@@ -13,9 +15,9 @@ from collections.abc import Callable
 
 import numpy as np
 
-CHUNK = re.compile(r"[ \n]*[^ \n]+|[ \n]+")
+CHUNK = re.compile(r"[ \n]*(?:[A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u024F]+(?=[\x00-@\[-`{-\x7f]|\Z)|[^ \n]+)|[ \n]+")
 OTHER_SPACE = re.compile(r"[^\S \n]")
-KEEP_CHUNKS = 400_000  # the cache starts anew beyond so many chunks or ids; this bounds a worker's memory
+KEEP_CHUNKS = 600_000  # the cache starts anew beyond so many chunks or ids; this bounds a worker's memory
 KEEP_IDS = 8_000_000
 
 
@@ -44,7 +46,7 @@ class ChunkCodes:
         if len(self.code) > KEEP_CHUNKS or self.used > KEEP_IDS:
             self._clear()
         split = [chunks(t) for t in texts]
-        new = sorted(set().union(*split).difference(self.code)) if split else []
+        new = list(set().union(*split).difference(self.code))
         if new:
             self._add(new, self.encode(new))
         get = self.code.__getitem__
