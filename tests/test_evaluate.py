@@ -72,3 +72,11 @@ def test_bounded_broadcast_checks_the_size(spark):
     plan = lambda df: df._jdf.queryExecution().logical().toString()
     assert "broadcast" in plan(bounded_broadcast(small, limit=10)).lower()
     assert "broadcast" not in plan(bounded_broadcast(big, limit=10)).lower()
+
+
+def test_tvd_where_the_baseline_is_smaller_than_the_total(spark):
+    """p = c / total even if the counts don't add up to the total: 0.5 * (|5/20 - 1| + 5/20)."""
+    exact = spark.createDataFrame([("a", 5), ("b", 5)], "keyword string, exact_count long")
+    sample = spark.createDataFrame([(0, "a")], "sample_index int, keyword string")
+    totals = spark.createDataFrame([(20,)], "total_processed long")
+    assert ev.reservoir_tvd(exact, sample, totals).first()["reservoir_tvd"] == 0.5

@@ -58,3 +58,25 @@ def test_jsonl_keeps_nulls_and_unicode(spark):
     assert back.where(F.col("record_type") == "sample").first()["approx_count"] is None
     write_dataset(xp.export_records(hot, sample, counters, 2000), root, "my prefix!", 2000)
     assert load_latest(spark, root).first()["snapshot_exported_at"] == 2000
+
+
+def test_kafka_rate_options():
+    from trendlens.sources.keywords import kafka_options
+
+    assert kafka_options("h:1", "t", max_offsets_per_trigger=500, fail_on_data_loss=False) == {
+        "kafka.bootstrap.servers": "h:1", "subscribe": "t", "startingOffsets": "latest", "failOnDataLoss": "false", "maxOffsetsPerTrigger": "500",
+    }
+    assert "maxOffsetsPerTrigger" not in kafka_options("h:1", "t")
+
+
+def test_missing_state_folder_raises(spark, tmp_path):
+    import pytest
+    from pyspark.errors import AnalysisException
+
+    from trendlens.schema import EXACT_STATE
+    from trendlens.streaming.state import EpochStore
+
+    store = EpochStore(spark, str(tmp_path))
+    assert store.read("state/exact_base", -1, EXACT_STATE).count() == 0
+    with pytest.raises(AnalysisException):
+        store.read("state/exact_base", 3, EXACT_STATE).count()

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 import zipfile
@@ -57,8 +58,8 @@ def shared_root(spark: SparkSession) -> str:
 
     Written tables (stream state, exports, lineage cuts) live under it so that
     any executor can read them after a node is lost. Only when the setting is
-    absent (local tests) do we create a folder and register it as the
-    checkpoint dir.
+    absent and the session is local (tests) do we create a folder and register
+    it as the checkpoint dir; on a cluster a missing setting raises.
     """
     try:
         root = spark.conf.get("spark.checkpoint.dir")
@@ -71,6 +72,9 @@ def shared_root(spark: SparkSession) -> str:
     if not root and sc is not None:
         root = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not root:
+        master = sc.master if sc is not None else ""
+        if not re.fullmatch(r"local(\[.*\])?", master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         root = tempfile.mkdtemp(prefix="trendlens-")
         if sc is not None:
             sc.setCheckpointDir(root)

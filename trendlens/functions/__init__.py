@@ -1,13 +1,10 @@
 from trendlens.functions.scalar import (
     clean_prefix,
-    clean_prefix_text,
     format_bytes,
     freshness_seconds,
     parse_double,
-    parse_int,
     parse_long,
     payload_bytes,
-    positive_or,
     round6,
     safe_ratio,
     stamp,
@@ -16,14 +13,11 @@ from trendlens.functions.scalar import (
 
 __all__ = [
     "clean_prefix",
-    "clean_prefix_text",
     "format_bytes",
     "freshness_seconds",
     "parse_double",
-    "parse_int",
     "parse_long",
     "payload_bytes",
-    "positive_or",
     "round6",
     "safe_ratio",
     "stamp",

@@ -22,22 +22,11 @@ def parse_long(c: Column | str, default: int | None = 0) -> Column:
     return v if default is None else F.coalesce(v, F.lit(default).cast("bigint"))
 
 
-def parse_int(c: Column | str, default: int | None = 0) -> Column:
-    v = _col(c).try_cast("int")
-    return v if default is None else F.coalesce(v, F.lit(default).cast("int"))
-
-
 def parse_double(c: Column | str, default: float | None = 0.0) -> Column:
     v = _col(c).try_cast("double")
     return v if default is None else F.coalesce(v, F.lit(default).cast("double"))
 
 
-def positive_or(c: Column | str, current: Column) -> Column:
-    """A control value is applied only if it parses as an integer > 0."""
-    v = _col(c).try_cast("int")
-    return F.when(v.isNotNull() & (v > 0), v).otherwise(current)
-
-
 def round6(c: Column | str) -> Column:
     """six decimals, as published."""
     return F.round(_col(c).cast("double"), 6)
@@ -71,12 +60,6 @@ def clean_prefix(prefix: Column | str) -> Column:
     return F.coalesce(F.nullif(stripped, F.lit("")), F.lit("snapshot"))
 
 
-def clean_prefix_text(prefix: str) -> str:
-    """F7 for a path built on the driver from a user-supplied prefix string."""
-    cleaned = "".join(ch if ch.isalnum() or ch in "-_" else "_" for ch in prefix).strip("_")
-    return cleaned or "snapshot"
-
-
 def stamp_text(epoch_seconds: int) -> str:
     """F8: ``YYYYmmdd_HHMMSS`` (UTC) of an epoch second, for file names."""
     return datetime.fromtimestamp(epoch_seconds, tz=timezone.utc).strftime("%Y%m%d_%H%M%S")

@@ -57,17 +57,19 @@ def _exact_side(exact: DataFrame, sample: DataFrame) -> DataFrame:
     return joined.agg(
         F.count(F.lit(1)).cast("long").alias("exact_unique"),
         F.coalesce(F.sum(payload_bytes("keyword")), F.lit(0)).cast("long").alias("exact_memory_bytes"),
+        F.sum(F.col("exact_count").cast("double")).alias("_exact_sum"),
         F.collect_list(F.when(F.col("s").isNotNull(), hit)).alias("_hits"),
     )
 
 
-def _tvd(total: Column, size: Column, exact_rows: Column, hits: Column) -> Column:
-    """A7 from the sampled keywords only: Σ_w |p_w - q_w| = (T - Σ_S c)/T + Σ_S |c/T - s/|S||,
-    since every keyword outside the sample contributes its p_w. Not defined -> 1.0."""
+def _tvd(total: Column, size: Column, exact_rows: Column, exact_sum: Column, hits: Column) -> Column:
+    """A7 from the sampled keywords only: Σ_w |p_w - q_w| = (Σ c - Σ_S c)/T + Σ_S |c/T - s/|S||,
+    since every exact keyword outside the sample contributes its p_w = c/T. Σ c may differ
+    from T (a baseline that doesn't cover the whole stream). Not defined -> 1.0."""
     sum_c = F.aggregate(hits, F.lit(0.0), lambda acc, h: acc + h["c"])
     sum_term = F.aggregate(hits, F.lit(0.0), lambda acc, h: acc + F.abs(h["c"] / total - h["s"] / size))
     valid = (size > 0) & (total > 0) & (exact_rows > 0)
-    return F.when(valid, F.lit(0.5) * ((total - sum_c) / total + sum_term)).otherwise(F.lit(1.0))
+    return F.when(valid, F.lit(0.5) * ((exact_sum - sum_c) / total + sum_term)).otherwise(F.lit(1.0))
 
 
 def reservoir_tvd(exact: DataFrame, sample: DataFrame, totals: DataFrame) -> DataFrame:
@@ -79,7 +81,7 @@ def reservoir_tvd(exact: DataFrame, sample: DataFrame, totals: DataFrame) -> Dat
         _sample_side(sample),
         totals.agg(F.max("total_processed").cast("double").alias("_t")),
     )
-    tvd = _tvd(F.col("_t"), F.col("_size"), F.col("exact_unique"), F.col("_hits"))
+    tvd = _tvd(F.col("_t"), F.col("_size"), F.col("exact_unique"), F.col("_exact_sum"), F.col("_hits"))
     return row.select(
         round6(tvd).alias("reservoir_tvd"),
         round6(F.greatest(F.lit(0.0), F.lit(1.0) - tvd)).alias("reservoir_similarity"),
@@ -174,7 +176,7 @@ def evaluate(
         _sample_side(sample),
         totals.agg(F.max("total_processed").cast("double").alias("_t")),
     )
-    tvd = _tvd(F.col("_t"), F.col("_size"), F.col("exact_unique"), F.col("_hits"))
+    tvd = _tvd(F.col("_t"), F.col("_size"), F.col("exact_unique"), F.col("_exact_sum"), F.col("_hits"))
     has_top = F.col("_top_size") > 0
     saved = F.when(
         F.col("exact_memory_bytes") > 0,

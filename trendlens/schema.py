@@ -100,6 +100,7 @@ SKETCH_STATE = StructType(
     ]
 )
 
+# Fixed names: the published counters' fields must equal the reference's.
 COUNTERS = StructType(
     [
         StructField("total_processed", LongType(), False),
@@ -108,6 +109,7 @@ COUNTERS = StructType(
     ]
 )
 
+# Fixed names and defaults: the published metrics' fields must equal the reference's.
 EVAL_METRICS_FIELDS = [
     ("topk_recall_at_k", DoubleType(), 0.0),
     ("top1_match", IntegerType(), 0),
@@ -137,7 +139,7 @@ SNAPSHOT = StructType(
     + EVAL_METRICS.fields
 )
 
-# One exported record; a tagged union on record_type.
+# Fixed names. D10: one exported record; a tagged union on record_type.
 EXPORT_RECORD = StructType(
     [
         StructField("record_type", StringType(), True),
@@ -152,7 +154,7 @@ EXPORT_RECORD = StructType(
     ]
 )
 
-# Export metadata.
+# Fixed names. D11: export metadata.
 EXPORT_META = StructType(
     [
         StructField("exported_at", LongType(), True),

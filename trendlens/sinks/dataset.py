@@ -15,8 +15,9 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from trendlens.functions.scalar import clean_prefix_text, stamp_text
+from trendlens.functions.scalar import clean_prefix, stamp_text
 from trendlens.operators.export import export_meta
 
 
@@ -36,11 +37,12 @@ def write_jsonl(frame: DataFrame, path: str, single_file: bool = True) -> None:
 def write_dataset(records: DataFrame, root: str, prefix: str, exported_at: int) -> Export:
     """Write the records, then the metadata, then register the export in the index."""
     root = root.rstrip("/")
-    name = f"{clean_prefix_text(prefix)}_{stamp_text(exported_at)}"
+    spark = records.sparkSession
+    cleaned = spark.range(1).select(clean_prefix(F.lit(prefix))).first()[0]
+    name = f"{cleaned}_{stamp_text(exported_at)}"
     jsonl_file = f"{name}.jsonl"
     jsonl_path, meta_path = f"{root}/{jsonl_file}", f"{root}/{name}.meta.json"
     write_jsonl(records, jsonl_path)
-    spark = records.sparkSession
     from trendlens.sources.dataset import load_dataset
 
     meta = export_meta(load_dataset(spark, jsonl_path), jsonl_file, exported_at)

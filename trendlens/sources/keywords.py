@@ -13,26 +13,10 @@ from pyspark.sql import functions as F
 from trendlens.functions.scalar import epoch_millis
 from trendlens.schema import KEYWORD_PAYLOAD
 
-def read_table(spark: SparkSession, sf_dir: str, name: str, balance: bool = True) -> DataFrame:
-    """Read a parquet table; spread it over the cluster when its scan has fewer
-    partitions than there are cores.
-
-    A file written as one row group is scanned by one task, however it is split,
-    and then tokenising and hashing would run on one core. A large table has far
-    more splits than cores, so this changes nothing there. When it does apply,
-    the round-robin exchange is shared by every consumer of the table, so the
-    file is read once.
-    """
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    if balance:
-        try:
-            cores = spark.sparkContext.defaultParallelism
-            parts = df.rdd.getNumPartitions()
-        except Exception:  # noqa: BLE001 - e.g. a Spark Connect session has no RDD view
-            return df
-        if parts < cores:
-            df = df.repartition(cores)
-    return df
+
+def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """Read a parquet table; how it is split is left to the file reader."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def admit_keywords(events: DataFrame, keyword_col: str = "keyword") -> DataFrame:
@@ -64,6 +48,17 @@ def parse_keywords(raw: DataFrame, value_col: str = "value", uid: Column | None
     return admit_keywords(flat)
 
 
+def kafka_options(servers: str, topic: str, starting_offsets: str = "latest", max_offsets_per_trigger: int | None = None, fail_on_data_loss: bool = True) -> dict[str, str]:
+    """Options of the Kafka source; ``max_offsets_per_trigger`` bounds a micro-batch after downtime."""
+    options = {
+        "kafka.bootstrap.servers": servers,
+        "subscribe": topic,
+        "startingOffsets": starting_offsets,
+        "failOnDataLoss": str(fail_on_data_loss).lower(),
+    }
+    return options | ({"maxOffsetsPerTrigger": str(max_offsets_per_trigger)} if max_offsets_per_trigger else {})
+
+
 def source_keywords(
     spark: SparkSession,
     fmt: str,
@@ -72,6 +67,8 @@ def source_keywords(
     topic: str | None = None,
     starting_offsets: str = "latest",
     max_files_per_trigger: int | None = None,
+    max_offsets_per_trigger: int | None = None,
+    fail_on_data_loss: bool = True,
 ) -> DataFrame:
     """A streaming keyword source, parsed and admitted before ``writeStream``.
 
@@ -83,13 +80,8 @@ def source_keywords(
     if fmt == "kafka":
         if not bootstrap_servers or not topic:
             raise ValueError("kafka source needs bootstrap_servers and topic")
-        raw = (
-            spark.readStream.format("kafka")
-            .option("kafka.bootstrap.servers", bootstrap_servers)
-            .option("subscribe", topic)
-            .option("startingOffsets", starting_offsets)
-            .load()
-        )
+        options = kafka_options(bootstrap_servers, topic, starting_offsets, max_offsets_per_trigger, fail_on_data_loss)
+        raw = spark.readStream.format("kafka").options(**options).load()
         uid = F.concat_ws(":", F.col("topic"), F.col("partition").cast("string"), F.col("offset").cast("string"))
         return parse_keywords(raw, "value", uid)
     if fmt == "text":

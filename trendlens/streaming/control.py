@@ -58,12 +58,16 @@ def request_reset(store: EpochStore) -> Control:
     return _append(store, prev.k if prev else None, prev.n if prev else None, (prev.reset_token if prev else 0) + 1)
 
 
+#: Settings are logged as 32-bit integers, and a limit of one more must fit too.
+MAX_SETTING = 2**31 - 2
+
+
 def parse_setting(text: str | None, current: int) -> int:
-    """The reference's rule: an integer > 0 replaces the current value; anything else is ignored."""
+    """An integer > 0 that the log can hold replaces the current value; anything else is ignored."""
     if text is None:
         return current
     try:
         value = int(text)
     except (TypeError, ValueError):
         return current
-    return value if value > 0 else current
+    return value if 0 < value <= MAX_SETTING else current

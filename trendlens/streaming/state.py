@@ -52,13 +52,14 @@ class EpochStore:
         out.write.mode("overwrite").parquet(self.epoch_path(name, epoch))
 
     def read(self, name: str, epoch: int | None, schema: StructType) -> DataFrame:
-        """Table ``name`` as of epoch e (empty if absent)."""
+        """Table ``name`` as of epoch e; empty before the first epoch (e < 0).
+
+        A folder that a log row points at and that isn't there raises: state that
+        was removed must not be taken for no state.
+        """
         if epoch is None or epoch < 0:
             return self.spark.createDataFrame([], schema)
-        try:
-            return self.spark.read.schema(schema).parquet(self.epoch_path(name, epoch))
-        except AnalysisException:
-            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).parquet(self.epoch_path(name, epoch))
 
     def read_epochs(self, name: str, epochs: list[int], schema: StructType) -> DataFrame:
         if not epochs:
