@@ -9,7 +9,7 @@ import __spark_entry__ as E
 from conftest import SF001
 from trendlens.plans.compare import compare_frames
 
-TABLES = ("events", "documents", "pages", "part")
+TABLES = ("events", "documents", "pages", "part", "labels", "conversations")
 
 
 @pytest.fixture(scope="module")
