@@ -194,3 +194,74 @@ def test_live_rate_stream_through_the_fold(spark):
     assert counters(store)[:2] == (2000, 2000)
     hot = [r["keyword"] for r in read_hot_topics(store).collect()]
     assert hot[0] == BURST_WORD  # 90 % of the traffic
+
+
+def test_sample_after_a_grow_past_the_state_holds_what_was_never_dropped(spark):
+    from trendlens.operators import reservoir as rs
+    from trendlens.sources.snapshot import read_samples
+
+    words = words_df(spark, [f"w{i}" for i in range(1200)])
+    early, late = words.where(F.col("uid").cast("int") < 600), words.where(F.col("uid").cast("int") >= 600)
+    store, fold = fold_for(spark, min_slots=5)
+    fold(early, 0)
+    set_control(store, n=400)
+    fold(late, 1)
+    ranked = [(r["priority"], r["keyword"]) for r in rs.with_priority(early).orderBy("priority").collect()]
+    mark = ranked[5][0]
+    everything = rs.with_priority(words).orderBy("priority").collect()
+    want = [r["keyword"] for r in everything if r["priority"] < mark]
+    assert [r["keyword"] for r in read_samples(store).orderBy("sample_index").collect()] == want
+    set_control(store, n=3)  # shrinks the state to 5 slots: what is dropped now stays out
+    fold(words_df(spark, ["x"]).withColumn("uid", F.lit("x")), 2)
+    assert read_samples(store).count() == 3
+    set_control(store, n=400)
+    fold(words_df(spark, []), 3)
+    fold(early.withColumn("uid", F.concat(F.lit("again"), "uid")), 4)
+    again = rs.with_priority(early.withColumn("uid", F.concat(F.lit("again"), "uid"))).collect()
+    x = rs.with_priority(words_df(spark, ["x"]).withColumn("uid", F.lit("x"))).collect()
+    kept = sorted([(r["priority"], r["keyword"]) for r in everything if r["priority"] < mark] + [(r["priority"], "x") for r in x if r["priority"] < mark])
+    cut = kept[5][0] if len(kept) > 5 else mark
+    want = sorted([p for p in kept if p[0] < cut] + [(r["priority"], r["keyword"]) for r in again if r["priority"] < cut])
+    assert [r["keyword"] for r in read_samples(store).orderBy("sample_index").collect()] == [w for _, w in want]
+
+
+def test_exact_baseline_with_a_gap_is_not_published(spark):
+    from trendlens.sources.snapshot import read_eval_metrics, read_exact_topics
+
+    store, off = fold_for(spark, enable_exact=False)
+    on = EpochFold(store, k=3, n=2, clock=lambda: 123)
+    off(words_df(spark, list("aaabbc")), 0)
+    on(words_df(spark, list("ab")).withColumn("uid", F.concat(F.lit("1:"), "uid")), 1)
+    m = read_eval_metrics(store).first()
+    assert (m["exact_baseline_enabled"], m["exact_unique"], m["reservoir_tvd"]) == (0, 0, 1.0)
+    assert read_exact_topics(store).count() == 0
+    request_reset(store)
+    on(words_df(spark, list("zzy")).withColumn("uid", F.concat(F.lit("2:"), "uid")), 2)
+    m = read_eval_metrics(store).first()
+    assert (m["exact_baseline_enabled"], m["exact_unique"]) == (1, 2)
+    assert {r["keyword"]: r["exact_count"] for r in read_exact_topics(store).collect()} == {"z": 2, "y": 1}
+
+
+def test_control_value_beyond_the_log_range_is_ignored(spark):
+    store, fold = fold_for(spark)
+    fold(words_df(spark, list("aab")), 0)
+    set_control(store, k=3_000_000_000, n=3_000_000_000)
+    fold(words_df(spark, list("a")).withColumn("uid", F.lit("y")), 1)
+    assert {(r["k"], r["n"]) for r in read_epoch_log(store).collect()} == {(3, 2)}
+
+
+def test_mg_history_of_an_empty_store(spark):
+    from trendlens.sources.snapshot import read_mg_history
+
+    assert read_mg_history(EpochStore(spark, new_work_dir(spark, "empty")), "a").count() == 0
+
+
+def test_state_folder_that_is_gone_raises(spark):
+    import pytest
+    from pyspark.errors import AnalysisException
+
+    from trendlens.schema import SKETCH_STATE
+
+    store, _ = fold_for(spark)
+    with pytest.raises(AnalysisException):
+        store.read("state/sketch", 7, SKETCH_STATE).count()

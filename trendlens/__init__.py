@@ -17,6 +17,6 @@ Layout
 Every operator is ``DataFrame -> DataFrame``; nothing event-sized is collected.
 """
 
-from trendlens.config import DEFAULT_K, DEFAULT_N, DEFAULT_SEED, RESERVOIR_MAX
+from trendlens.config import DEFAULT_K, DEFAULT_N, DEFAULT_SEED, RESERVOIR_SLOTS
 
-__all__ = ["DEFAULT_K", "DEFAULT_N", "DEFAULT_SEED", "RESERVOIR_MAX"]
+__all__ = ["DEFAULT_K", "DEFAULT_N", "DEFAULT_SEED", "RESERVOIR_SLOTS"]

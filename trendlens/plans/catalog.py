@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trendlens.config import DEFAULT_K, DEFAULT_N, DEFAULT_SEED, RESERVOIR_MAX
+from trendlens.config import DEFAULT_K, DEFAULT_N, DEFAULT_SEED, RESERVOIR_SLOTS
 from trendlens.operators import exact as ex
 from trendlens.operators import misra_gries as mg
 from trendlens.operators import reservoir as rs
@@ -171,12 +171,12 @@ def q_reservoir_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register(
     "reservoir_resize",
-    S.with_(S.DOC_TOK, S.reservoir_cte("r", "doc_tok", RESERVOIR_MAX, SEED))
+    S.with_(S.DOC_TOK, S.reservoir_cte("r", "doc_tok", RESERVOIR_SLOTS, SEED))
     + "SELECT sample_index, keyword FROM r WHERE sample_index < 5",
 )
 def q_reservoir_resize(spark: SparkSession, sf_dir: str) -> DataFrame:
     """T4: a 200-slot reservoir state shown with N shrunk to 5."""
-    state = rs.reservoir_update(None, doc_tokens(spark, sf_dir), "uid", SEED, RESERVOIR_MAX)
+    state = rs.reservoir_update(None, doc_tokens(spark, sf_dir), "uid", SEED, RESERVOIR_SLOTS)
     return rs.reservoir_resize(state, 5)
 
 

@@ -11,6 +11,8 @@ batch, so each replay processes the whole table.
                batch 2 k="abc", n="0" (ignored); before batch 3 K=100, N=50
 - reset:       tokens in 3 batches with a reset before batch 2
 - reset_empty: tokens in 2 batches (``doc_id % 2``), then a reset and a junk batch
+- grow:        tokens in 2 batches (``doc_id % 2``); N grows from 20 to 1000 before batch 1
+- toggle:      tokens in 3 batches (``doc_id % 3``), the exact baseline off in the second
 - burst:       the search stream in 8 phases (normal, normal, burst, burst, 4 × normal)
 """
 
@@ -19,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trendlens.config import DEFAULT_K, DEFAULT_N, DEFAULT_SEED, new_work_dir
+from trendlens.config import DEFAULT_K, DEFAULT_N, DEFAULT_SEED, RESERVOIR_SLOTS, new_work_dir
 from trendlens.operators import synth
 from trendlens.plans import sql as S
 from trendlens.plans.catalog import doc_tokens
@@ -63,6 +65,10 @@ def _steps(spark: SparkSession, sf_dir: str, scenario: str) -> list[Step]:
     if scenario == "resize":
         b = [tok.where(F.col("doc_id") % 4 == i) for i in range(4)]
         return [Step(b[0]), Step(b[1], k=10, n=5), Step(b[2], k="abc", n="0"), Step(b[3], k=100, n=50)]
+    if scenario == "grow":
+        return [Step(tok.where(F.col("doc_id") % 2 == 0)), Step(tok.where(F.col("doc_id") % 2 == 1), n=1000)]
+    if scenario == "toggle":
+        return [Step(tok.where(F.col("doc_id") % 3 == b), enable_exact=b != 1) for b in range(3)]
     if scenario == "reset":
         return [Step(tok.where(F.col("doc_id") % 3 == b), reset=(b == 2)) for b in range(3)]
     if scenario == "reset_empty":
@@ -196,6 +202,45 @@ def q_stream_resize_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_samples(run(spark, sf_dir, "resize"))
 
 
+def _grown_sql() -> str:
+    first = "(SELECT * FROM doc_tok WHERE doc_id % 2 = 0)"
+    return S.with_(
+        S.DOC_TOK,
+        S.reservoir_cte("f", first, RESERVOIR_SLOTS + 1, SEED),
+        f"tau AS (SELECT priority FROM f WHERE sample_index = {RESERVOIR_SLOTS})",
+        f"""open AS (SELECT * FROM doc_tok
+          WHERE md5('{SEED}:' || uid) < coalesce((SELECT priority FROM tau), 'g'))""",
+        S.reservoir_cte("r", "open", 1000, SEED),
+    )
+
+
+@register("stream_grown_samples", _grown_sql() + "SELECT sample_index, keyword FROM r")
+def q_stream_grown_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K2 + K5: N 20 -> 1000, past what the state kept: the sample holds the smallest priorities of all
+    tokens below the smallest one dropped before the grow."""
+    return read_samples(run(spark, sf_dir, "grow"))
+
+
+@register(
+    "stream_toggled_exact",
+    S.with_(
+        S.DOC_TOK,
+        *_plain_mg(),
+        S.reservoir_cte("r", "doc_tok", N, SEED),
+    )
+    + """SELECT 0.0::DOUBLE AS topk_recall_at_k, 0::INTEGER AS top1_match, 0::BIGINT AS overlap_count,
+  1.0::DOUBLE AS reservoir_tvd, 0.0::DOUBLE AS reservoir_similarity,
+  (SELECT count(*) FROM mg) AS mg_unique, 0::BIGINT AS exact_unique,
+  (SELECT coalesce(sum(strlen(keyword) + 8), 0)::BIGINT FROM mg) AS mg_memory_bytes,
+  0::BIGINT AS exact_memory_bytes,
+  (SELECT coalesce(sum(strlen(keyword) + 8), 0)::BIGINT FROM r) AS reservoir_memory_bytes,
+  0.0::DOUBLE AS memory_saved_percent, 0::INTEGER AS exact_baseline_enabled""",
+)
+def q_stream_toggled_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K3 + K7: exact baseline on, off, on: a baseline with a gap is never published."""
+    return read_eval_metrics(run(spark, sf_dir, "toggle"))
+
+
 @register(
     "control_effective",
     S.with_(S.DOC_TOK)

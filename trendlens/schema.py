@@ -2,6 +2,7 @@
 
 from pyspark.sql.types import (
     ArrayType,
+    BooleanType,
     DoubleType,
     IntegerType,
     LongType,
@@ -30,12 +31,13 @@ MG_STATE = StructType(
     ]
 )
 
-# Reservoir state: every kept occurrence with its hash priority.
+# Reservoir state: every kept occurrence with its hash priority, and the smallest one ever dropped.
 RESERVOIR_STATE = StructType(
     [
         StructField("priority", StringType(), False),
         StructField("uid", StringType(), False),
         StructField("keyword", StringType(), False),
+        StructField("dropped", BooleanType(), False),
     ]
 )
 
@@ -86,10 +88,12 @@ STREAM_LOG = StructType(
         StructField("exact_epochs", ArrayType(LongType(), False), False),
         StructField("state_epoch", LongType(), False),
         StructField("snapshot_epoch", LongType(), False),
+        StructField("exact_total", LongType(), False),
     ]
 )
 
-# Sketch state of one epoch: MG counters (kind 'mg') and reservoir slots (kind 'slot').
+# Sketch state of one epoch: MG counters (kind 'mg'), reservoir slots (kind 'slot')
+# and the smallest occurrence that the reservoir ever dropped (kind 'dropped').
 SKETCH_STATE = StructType(
     [
         StructField("kind", StringType(), False),

@@ -81,6 +81,8 @@ def read_epoch_log(store: EpochStore) -> DataFrame:
 def read_mg_history(store: EpochStore, keyword: str) -> DataFrame:
     """The count of one keyword in the MG state after every committed epoch (0 when absent)."""
     log = store.log()
+    if log is None:
+        return store.spark.createDataFrame([], "epoch long, approx_count long")
     schema = StructType(SKETCH_STATE.fields + [StructField("epoch", LongType(), True)])
     sketch = store.spark.read.schema(schema).parquet(store.path("state/sketch"))
     hits = sketch.where((F.col("kind") == "mg") & (F.col("keyword") == F.lit(keyword))).select(

@@ -19,7 +19,9 @@ counters (those keys were never cleared by a reset). An epoch with nothing to
 change writes only its log row, which points at the earlier state.
 
 Exact counts are per-epoch deltas plus a base compacted every ``compact_every``
-epochs, so an epoch writes only the keywords of its own batch.
+epochs, so an epoch writes only the keywords of its own batch. They are kept and
+published only while they cover every occurrence since the start or the last
+reset; otherwise the metrics are those of a stream without the baseline.
 """
 
 from __future__ import annotations
@@ -32,7 +34,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trendlens.config import DEFAULT_K, DEFAULT_N, DEFAULT_SEED, RESERVOIR_MAX
+from trendlens.config import DEFAULT_K, DEFAULT_N, DEFAULT_SEED, RESERVOIR_SLOTS
 from trendlens.operators import evaluate as ev
 from trendlens.operators import exact as ex
 from trendlens.operators import misra_gries as mg
@@ -58,6 +60,7 @@ class Meta:
     exact_epochs: tuple[int, ...] = ()
     state_epoch: int = -1  # epoch whose sketch state is current (-1: empty)
     snapshot_epoch: int = -1  # epoch whose snapshot is published (-1: none)
+    exact_total: int = 0  # occurrences that the exact counts cover
 
     def row(self) -> tuple:
         return (
@@ -73,6 +76,7 @@ class Meta:
             list(self.exact_epochs),
             self.state_epoch,
             self.snapshot_epoch,
+            self.exact_total,
         )
 
     @staticmethod
@@ -90,6 +94,7 @@ class Meta:
             tuple(int(e) for e in r["exact_epochs"]),
             int(r["state_epoch"]),
             int(r["snapshot_epoch"]),
+            int(r["exact_total"]),
         )
 
 
@@ -98,12 +103,14 @@ def mg_of(sketch: DataFrame) -> DataFrame:
 
 
 def slots_of(sketch: DataFrame) -> DataFrame:
-    return sketch.where(F.col("kind") == "slot").select("priority", "uid", "keyword")
+    mark = F.col("kind") == "dropped"
+    return sketch.where((F.col("kind") == "slot") | mark).select("priority", "uid", "keyword", mark.alias("dropped"))
 
 
 def as_sketch(mg_state: DataFrame, slots: DataFrame) -> DataFrame:
     return mg_state.select(F.lit("mg").alias("kind"), "keyword", "approx_count").unionByName(
-        slots.select(F.lit("slot").alias("kind"), "keyword", "priority", "uid"), allowMissingColumns=True
+        slots.select(F.when(F.col("dropped"), "dropped").otherwise("slot").alias("kind"), "keyword", "priority", "uid"),
+        allowMissingColumns=True,
     )
 
 
@@ -121,7 +128,7 @@ class EpochFold:
         n: int = DEFAULT_N,
         enable_exact: bool = True,
         seed: str = DEFAULT_SEED,
-        n_max: int = RESERVOIR_MAX,
+        min_slots: int = RESERVOIR_SLOTS,
         compact_every: int = 8,
         clock: Callable[[], int] | None = None,
     ):
@@ -129,7 +136,7 @@ class EpochFold:
         self.k0, self.n0 = k, n
         self.enable_exact = enable_exact
         self.seed = seed
-        self.n_max = n_max
+        self.min_slots = min_slots
         self.compact_every = max(1, compact_every)
         self.clock = clock or (lambda: int(time.time()))
 
@@ -158,7 +165,15 @@ class EpochFold:
         return self.store.read("state/sketch", meta.state_epoch, SKETCH_STATE)
 
     def slots_kept(self, n: int) -> int:
-        return max(self.n_max, n)
+        return max(self.min_slots, n)
+
+    def keeps_exact(self, meta: Meta) -> bool:
+        """Whether the exact baseline is on and covers all that was processed.
+
+        A stream that ran without it for a while can't make up for the batches it
+        did not count, so the baseline stays off until a reset.
+        """
+        return self.enable_exact and meta.exact_total == meta.total_processed
 
     # -- the fold ------------------------------------------------------------------
 
@@ -180,14 +195,14 @@ class EpochFold:
                 meta, changed = replace(meta, k=new_k), True
             new_n = parse_setting(ctl.n, meta.n)
             if new_n != meta.n:
-                slots = slots.orderBy("priority", "uid").limit(self.slots_kept(new_n))
+                slots = rs.reservoir_trim(slots, self.slots_kept(new_n))
                 meta, changed = replace(meta, n=new_n), True
         # 2. reset (K6)
         reset = ctl is not None and ctl.reset_token > meta.reset_token
         if reset:
             mg_state = spark.createDataFrame([], MG_STATE)
             slots = spark.createDataFrame([], RESERVOIR_STATE)
-            meta = replace(meta, total_processed=0, reset_token=ctl.reset_token, exact_base_epoch=-1, exact_epochs=())
+            meta = replace(meta, total_processed=0, exact_total=0, reset_token=ctl.reset_token, exact_base_epoch=-1, exact_epochs=())
             changed = True
 
         # 3. rows; the batch is re-evaluated per action, so keep it for this epoch.
@@ -203,12 +218,13 @@ class EpochFold:
             if batch_count == 0:
                 self._empty_epoch(meta, mg_state, slots, changed, reset)
                 return
-            if self.enable_exact:
+            exact = self.keeps_exact(meta)
+            if exact:
                 counts = ex.exact_counts(batch).select("keyword", F.col("exact_count").alias("n"))
                 store.write("state/exact_delta", counts, e)
                 delta = store.read("state/exact_delta", e, EXACT_STATE)
                 new_mg = mg.mg_merge_counts(mg_state, delta, meta.k)
-                meta = replace(meta, exact_epochs=meta.exact_epochs + (e,))
+                meta = replace(meta, exact_epochs=meta.exact_epochs + (e,), exact_total=meta.exact_total + batch_count)
             else:
                 new_mg = mg.mg_update(mg_state, batch, meta.k)
             new_slots = rs.reservoir_update(slots, batch, "uid", self.seed, self.slots_kept(meta.n))
@@ -217,7 +233,7 @@ class EpochFold:
             batch.unpersist()
         meta = replace(meta, state_epoch=e)
 
-        if self.enable_exact and len(meta.exact_epochs) >= self.compact_every:
+        if exact and len(meta.exact_epochs) >= self.compact_every:
             store.write("state/exact_base", self.exact_state(meta), e)
             meta = replace(meta, exact_base_epoch=e, exact_epochs=())
 
@@ -250,7 +266,7 @@ class EpochFold:
         store, spark, e = self.store, self.store.spark, meta.epoch
         sketch = store.read("state/sketch", e, SKETCH_STATE)
         hot = mg_of(sketch)
-        samples = rs.reservoir_view(slots_of(sketch), meta.n, self.slots_kept(meta.n))
+        samples = rs.reservoir_view(slots_of(sketch), meta.n)
         counters = spark.createDataFrame(
             [(meta.total_processed, meta.last_batch_count, meta.last_update_epoch)],
             "total_processed long, last_batch_count long, last_update_epoch long",
@@ -261,7 +277,7 @@ class EpochFold:
             samples.select(F.lit("sample").alias("record_type"), "keyword", "sample_index"),
             counters.select(F.lit("counters").alias("record_type"), "*"),
         ]
-        if self.enable_exact:
+        if self.keeps_exact(meta):
             exact = self.exact_state(meta).select("keyword", F.col("n").alias("exact_count"))
             exact = exact.persist(StorageLevel.MEMORY_AND_DISK)  # read by the top-K and every metric
             parts.append(

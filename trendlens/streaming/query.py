@@ -58,6 +58,7 @@ class Step:
     k: object = None
     n: object = None
     reset: bool = False
+    enable_exact: bool | None = None  # None: as the replay
 
 
 def replay(
@@ -87,7 +88,7 @@ def replay(
             checkpoint,
             k,
             n,
-            enable_exact,
+            enable_exact if step.enable_exact is None else step.enable_exact,
             seed,
             trigger={"availableNow": True},
             clock=clock,
