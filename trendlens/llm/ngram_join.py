@@ -6,7 +6,10 @@ Sets with Jaccard similarity of at least 0.8 share ceil(0.8 (|x| + |y|) / 1.8)
 tokens or more, and of these only as many as one set has outside its prefix can
 be missing from both prefixes. So under every order the prefixes share at least
 the difference, which is 1 or more; a candidate must pass this for each order
-before both whole sets are compared. An order ranks tokens by how frequent their hash bucket is over the
+before both whole sets are compared. Texts are fetched only for candidates whose
+sets can be that similar by their parity sketches: a bit for each hash of a
+token, flipped by every token of the set, so the bits in which two sketches
+differ are at most as many as the tokens in only one set. An order ranks tokens by how frequent their hash bucket is over the
 whole corpus (a table of fixed size), then by a hash of the order's own. Rare
 tokens come first, so passages that many documents share seldom reach a prefix.
 
@@ -14,7 +17,8 @@ Documents that a first round proves linked need not meet again pair by pair:
 equal sets are linked by their digest, and documents whose least token under a
 plain hash order agrees are compared with one of them only. The join then pairs
 only documents of different components, so a group of near copies costs a few
-comparisons a document, and no link between components is lost. A document and
+comparisons a document, and no link between components is lost. Of the components
+that a token meets, the one with most of its documents is on one side of the join only. A document and
 all that it is compared with meet in one stream; a document with many partners
 is copied to several.
 
@@ -47,6 +51,7 @@ PERCENT = 80
 ORDERS = 3
 STARS = 3  # hash orders of the first round
 FREQUENCY_BITS = 20  # buckets of the frequency table; 4 MB in all
+SKETCH_BITS = 64  # of the smallest sketch
 PARTNERS = 500  # a document is copied once for so many partners
 
 SPACE = np.zeros(256, bool)
@@ -109,6 +114,24 @@ def similar(shared: int, a: int, b: int) -> bool:
     return 100 * shared >= PERCENT * (a + b - shared)
 
 
+def sketches(owner: np.ndarray, hashes: np.ndarray, n: np.ndarray) -> list[bytes]:
+    """Parity sketches of n..2n bits: every token flips one bit of its text's sketch."""
+    bits = np.maximum(SKETCH_BITS, 1 << np.ceil(np.log2(np.maximum(n, 1))).astype(np.int64))
+    first = np.cumsum(bits) - bits
+    at = first[owner] + (seeded(hashes, 20).view(np.int64) & (bits[owner] - 1))
+    packed = np.packbits(np.bincount(at, minlength=int(bits.sum())) & 1 == 1)
+    return [packed[f // 8 : (f + b) // 8].tobytes() for f, b in zip(first.tolist(), bits.tolist())]
+
+
+def apart(x: bytes, y: bytes) -> int:
+    """Tokens that are in only one of two sets, at least; the longer sketch is folded to the shorter."""
+    a, b = sorted((np.frombuffer(x, np.uint8), np.frombuffer(y, np.uint8)), key=len)
+    while len(b) > len(a):
+        half = len(b) // 2
+        b = b[:half] ^ b[half:]
+    return int(np.bitwise_count(a ^ b).sum())
+
+
 def batches_of(frames: Iterator[pd.DataFrame], size: int = 2_000_000) -> Iterator[tuple[pd.DataFrame, list[str]]]:
     """Arrow batches cut into runs of texts of about ``size`` characters."""
     from trendlens.llm import words
@@ -120,7 +143,7 @@ def batches_of(frames: Iterator[pd.DataFrame], size: int = 2_000_000) -> Iterato
 
 
 def summaries(docs: DataFrame) -> tuple[DataFrame, np.ndarray]:
-    """(doc_id, n, digest_a, digest_b, least tokens) of every document, and the frequency table."""
+    """(doc_id, n, digest_a, digest_b, least tokens, sketch) of every document, and the frequency table."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         table = np.zeros(1 << FREQUENCY_BITS, np.uint32)
@@ -141,12 +164,12 @@ def summaries(docs: DataFrame) -> tuple[DataFrame, np.ndarray]:
                 if len(full):
                     least[full] = np.minimum.reduceat(seeded(hashes, k), at)
                 out[f"least_{k}"] = least.view(np.int64)
-            yield out.assign(chunk=-1, body=None)
+            yield out.assign(sketch=sketches(owner, hashes, n), chunk=-1, body=None)
         if table.any():
             part = chunked(table)
-            yield part.assign(doc_id=pd.array([None] * len(part), "Int64"), n=0, digest_a=0, digest_b=0, **{f"least_{k}": 0 for k in range(STARS)})[[*ROW, "chunk", "body"]]
+            yield part.assign(doc_id=pd.array([None] * len(part), "Int64"), n=0, digest_a=0, digest_b=0, **{f"least_{k}": 0 for k in range(STARS)}, sketch=None)[[*ROW, "sketch", "chunk", "body"]]
 
-    schema = ", ".join(f"{c} long" for c in ROW) + ", chunk int, body binary"
+    schema = ", ".join(f"{c} long" for c in ROW) + ", sketch binary, chunk int, body binary"
     rows = stored(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInPandas(run, schema), "ngram-summaries")
     frequency = fold(rows.where("chunk >= 0"), "u4", np.add)
     return rows.where("chunk < 0").drop("chunk", "body"), frequency if len(frequency) else np.zeros(1 << FREQUENCY_BITS, np.uint32)
@@ -180,6 +203,29 @@ def postings(docs: DataFrame, frequency) -> DataFrame:
     return docs.mapInPandas(run, "token long, doc_id long, n long")
 
 
+def crossing(post: DataFrame) -> DataFrame:
+    """The postings of tokens that several parts share, with ``largest``, the part that holds most of a token's."""
+    by_token = Window.partitionBy("token")
+    post = post.repartition("token").withColumn("held", F.count("*").over(Window.partitionBy("token", "part")))
+    post = post.withColumn("largest", F.max(F.struct("held", "part")).over(by_token)["part"]).withColumn("all", F.count("*").over(by_token))
+    return post.withColumn("most", F.max("held").over(by_token)).where(F.col("most") < F.col("all")).select("token", "doc_id", "n", "part", "largest")
+
+
+def near(pairs: DataFrame, rows: DataFrame) -> DataFrame:
+    """The pairs (a, b) of ``pairs`` (a, b, a_n, b_n) whose sketches leave room for similar sets."""
+    ids = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
+    sketch = stored(narrowed(rows.select("doc_id", "n", "sketch"), "doc_id", ids), "ngram-sketches")
+    for end in ("a", "b"):
+        pairs = pairs.join(sketch.toDF(end, f"{end}_n", f"{end}_sketch"), [end, f"{end}_n"])
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for f in frames:
+            room = [(100 + PERCENT) * apart(x, y) <= (100 - PERCENT) * n for x, y, n in zip(f["a_sketch"], f["b_sketch"], (f["a_n"] + f["b_n"]).tolist())]
+            yield f.loc[np.array(room, bool), ["a", "b"]]
+
+    return pairs.select("a", "b", "a_n", "b_n", "a_sketch", "b_sketch").mapInPandas(run, "a long, b long").distinct()
+
+
 def linked(pairs: DataFrame, docs: DataFrame, frequency) -> DataFrame:
     """The pairs (a, b) that are similar: filtered under every order, then compared whole.
 
@@ -290,15 +336,16 @@ def find_links(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
 
     post = postings(named, frequency).repartition("token").dropDuplicates()
     post = post.withColumn("many", F.count("*").over(Window.partitionBy("token"))).where("many > 1").drop("many")
-    post = stored(post, "ngram-postings")
     post = post.join(parts, "doc_id", "left").withColumn("part", F.coalesce("component_id", "doc_id")).drop("component_id")
-    mixed = post.groupBy("token").agg(F.min("part").alias("lo"), F.max("part").alias("hi")).where("lo < hi").select("token")
-    post = stored(post.join(mixed, "token"), "ngram-mixed")
-    a, b = post.toDF("a_token", "a", "a_n", "a_part"), post.toDF("token", "b", "b_n", "b_part")
-    pairs = a.join(b, (F.col("a_token") == F.col("token")) & (F.col("a") < F.col("b")) & (F.col("a_part") != F.col("b_part")) & F.expr(FIT))
+    post = stored(crossing(post), "ngram-postings")
+    few = post.where("part <> largest").select(F.col("token").alias("few_token"), F.col("doc_id").alias("x"), F.col("n").alias("a_n"), F.col("part").alias("x_part"))
+    once = (F.col("part") == F.col("largest")) | (F.col("x") < F.col("doc_id"))
+    pairs = few.join(post.withColumnRenamed("n", "b_n"), (F.col("few_token") == F.col("token")) & (F.col("x_part") != F.col("part")) & once & F.expr(FIT))
+    ends = F.array_sort(F.array(F.struct(F.col("x").alias("id"), F.col("a_n").alias("n")), F.struct(F.col("doc_id").alias("id"), F.col("b_n").alias("n"))))
+    pairs = pairs.select(ends.alias("e")).selectExpr("e[0].id AS a", "e[1].id AS b", "e[0].n AS a_n", "e[1].n AS b_n")
     pairs = pairs.groupBy("a", "b", "a_n", "b_n").agg(F.count("*").alias("shared"))
     pairs = pairs.where(F.col("shared") >= F.expr(NEED))
-    found = linked(pairs.select("a", "b").distinct(), named, frequency)
+    found = linked(near(stored(pairs, "ngram-candidates"), full), named, frequency)
     links = stored(known.unionByName(found), "ngram-links")
     return rows, links, components(links)
 
