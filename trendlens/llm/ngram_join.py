@@ -6,7 +6,8 @@ Sets with Jaccard similarity of at least 0.8 share ceil(0.8 (|x| + |y|) / 1.8)
 tokens or more, and of these only as many as one set has outside its prefix can
 be missing from both prefixes. So under every order the prefixes share at least
 the difference, which is 1 or more; a candidate must pass this for each order
-before both whole sets are compared. Texts are fetched only for candidates whose
+before both whole sets are compared. Tokens that no other prefix holds can't be
+shared, so documents with too few others don't meet under the first order. Texts are fetched only for candidates whose
 sets can be that similar by their parity sketches: a bit for each hash of a
 token, flipped by every token of the set, so the bits in which two sketches
 differ are at most as many as the tokens in only one set. An order ranks tokens by how frequent their hash bucket is over the
@@ -208,7 +209,7 @@ def crossing(post: DataFrame) -> DataFrame:
     by_token = Window.partitionBy("token")
     post = post.repartition("token").withColumn("held", F.count("*").over(Window.partitionBy("token", "part")))
     post = post.withColumn("largest", F.max(F.struct("held", "part")).over(by_token)["part"]).withColumn("all", F.count("*").over(by_token))
-    return post.withColumn("most", F.max("held").over(by_token)).where(F.col("most") < F.col("all")).select("token", "doc_id", "n", "part", "largest")
+    return post.withColumn("most", F.max("held").over(by_token)).where(F.col("most") < F.col("all")).select("token", "doc_id", "n", "part", "kept", "largest")
 
 
 def near(pairs: DataFrame, rows: DataFrame) -> DataFrame:
@@ -337,10 +338,11 @@ def find_links(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     post = postings(named, frequency).repartition("token").dropDuplicates()
     post = post.withColumn("many", F.count("*").over(Window.partitionBy("token"))).where("many > 1").drop("many")
     post = post.join(parts, "doc_id", "left").withColumn("part", F.coalesce("component_id", "doc_id")).drop("component_id")
+    post = post.withColumn("kept", F.count("*").over(Window.partitionBy("doc_id")))
     post = stored(crossing(post), "ngram-postings")
-    few = post.where("part <> largest").select(F.col("token").alias("few_token"), F.col("doc_id").alias("x"), F.col("n").alias("a_n"), F.col("part").alias("x_part"))
+    few = post.where("part <> largest").select(F.col("token").alias("few_token"), F.col("doc_id").alias("x"), F.col("n").alias("a_n"), F.col("part").alias("x_part"), F.col("kept").alias("x_kept"))
     once = (F.col("part") == F.col("largest")) | (F.col("x") < F.col("doc_id"))
-    pairs = few.join(post.withColumnRenamed("n", "b_n"), (F.col("few_token") == F.col("token")) & (F.col("x_part") != F.col("part")) & once & F.expr(FIT))
+    pairs = few.join(post.withColumnRenamed("n", "b_n"), (F.col("few_token") == F.col("token")) & (F.col("x_part") != F.col("part")) & once & F.expr(FIT) & (F.least("x_kept", "kept") >= F.expr(NEED)))
     ends = F.array_sort(F.array(F.struct(F.col("x").alias("id"), F.col("a_n").alias("n")), F.struct(F.col("doc_id").alias("id"), F.col("b_n").alias("n"))))
     pairs = pairs.select(ends.alias("e")).selectExpr("e[0].id AS a", "e[1].id AS b", "e[0].n AS a_n", "e[1].n AS b_n")
     pairs = pairs.groupBy("a", "b", "a_n", "b_n").agg(F.count("*").alias("shared"))
