@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trendlens.llm import bpe, chat_format, exact_dedup, fingerprints, mixing, ngram_join, sharding, suffix_dedup, token_io, toxicity
+from trendlens.llm import bpe, chat_format, exact_dedup, fingerprints, line_dedup, mixing, ngram_join, sharding, spelling, suffix_dedup, token_align, token_io, toxicity
 from trendlens.llm.common import table
 
 SHARDS = 24
@@ -88,5 +88,29 @@ def op6_rendezvous_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")
 
 
-QUERIES = {f.__name__: f for f in (op1_mix_sources, op2_exact_dedup, op3_chat_format, op4_suffix_dedup, op5_token_files, op6_rendezvous_shards, op7_toxicity_crf, op8_byte_bpe, op9_fingerprints, op10_ngram_jaccard)}
-ORACLES = {"op1_mix_sources": mixing.ORACLE, "op2_exact_dedup": exact_dedup.ORACLE, "op3_chat_format": chat_format.ORACLE}
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of all documents with their near words, forms and roots."""
+    return spelling.spelling_groups(table(spark, sf_dir, "documents"))
+
+
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Byte-level BPE tokens of all documents aligned with sentencepiece tokens."""
+    return token_align.alignments(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), vocabulary("piece_bpe_32k.model"))
+
+
+def op13_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines that three documents share, dropped from all but the last."""
+    out = line_dedup.line_report(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_mix_sources, op2_exact_dedup, op3_chat_format, op4_suffix_dedup, op5_token_files, op6_rendezvous_shards, op7_toxicity_crf, op8_byte_bpe, op9_fingerprints, op10_ngram_jaccard,
+        op11_spelling_variants, op12_token_alignment, op13_line_dedup,
+    )
+}
+ORACLES = {
+    "op1_mix_sources": mixing.ORACLE, "op2_exact_dedup": exact_dedup.ORACLE, "op3_chat_format": chat_format.ORACLE, "op11_spelling_variants": spelling.ORACLE, "op13_line_dedup": line_dedup.ORACLE,
+}
