@@ -36,7 +36,8 @@ from trendlens.llm import words
 from trendlens.llm.common import ship, stored, unskewed_join
 
 BLOCK_CHARS = 4_000_000
-KEEP_CHUNKS = 300_000  # the chunks' cache starts anew beyond so many, or so many characters
+SLICE_CHARS = 1_000_000
+KEEP_CHUNKS = 600_000  # the chunks' cache starts anew beyond so many, or so many characters
 KEEP_CHARS = 30_000_000
 #: Runs of spaces and newlines with the characters after them; white space at the end goes with the last run.
 CHUNK = re.compile(r"[ \n]*[^ \n]+(?:[ \n]+\Z)?|[ \n]+")
@@ -77,11 +78,17 @@ class Aligner:
         self.b_len = np.array([len(x) for x in self.b_bytes], np.int64)
         # a piece has its space mark in front, or is spaces only, and no newline
         self.cuts = all(SPACE_MARK not in (p := self.b.id_to_piece(i)).lstrip(SPACE_MARK) and "\n" not in p for i in range(self.b.vocab_size()))
+        # a token in a group string, with the separator that follows it: inside its part, at its end
+        self.names = np.array([f"{i}{end}" for ends, n in ((",|", len(self.a_len)), (",;", len(self.b_len))) for i in range(n) for end in ends], object)
+        self.name_len = np.array([len(x) for x in self.names], np.int64)
         self._clear()
 
     def _clear(self) -> None:
         self.code: dict[str, int] = {}
-        self.found: list[tuple[int, int, str, np.ndarray] | None] = []
+        self.bad: set[int] = set()  # chunks whose tokens don't spell them
+        self.groups: list[str] = []
+        self.sizes = np.zeros((0, 3), np.int64)  # of each chunk: A tokens, B tokens, links
+        self.links = np.zeros(0, np.int64)  # of all chunks, as a << 32 | b
         self.chars = 0
 
     def chunks(self, text: str) -> list[str]:
@@ -94,41 +101,64 @@ class Aligner:
         ids = self.b.encode([c[1:] if c[0] == " " else c for c in chunks], num_threads=1)
         return [x if c[0] == " " else x[1:] for c, x in zip(chunks, ids)]
 
-    def _align(self, chunks: list[str]) -> None:
+    def _spelled(self, chunks: list[str], a: list[list[int]], b: list[list[int]]) -> list[bool]:
+        """Whether a chunk's tokens of both kinds are its bytes."""
+        sides = ((self.a_bytes, a), (self.b_bytes, b))
+        return [all(b"".join(map(x.__getitem__, ids[k])) == c.encode() for x, ids in sides) for k, c in enumerate(chunks)]
+
+    def _add(self, chunks: list[str]) -> None:
+        """Tokenise and align new chunks, all of them in one run of array operations."""
         a = [e.ids for e in self.a.encode_batch_fast(chunks, add_special_tokens=False)]
-        for chunk, x, y in zip(chunks, a, self._encode_b(chunks)):
-            body = chunk.encode()
-            same = b"".join(map(self.a_bytes.__getitem__, x)) == body == b"".join(map(self.b_bytes.__getitem__, y))
-            self.found.append(self._link(np.array(x, np.int64), np.array(y, np.int64)) if same else None)
-            self.code[chunk] = len(self.found) - 1
-            self.chars += len(chunk)
-
-    def _link(self, x: np.ndarray, y: np.ndarray) -> tuple[int, int, str, np.ndarray]:
-        """(A tokens, B tokens, groups, links as a << 32 | b) of one chunk."""
-        _, i, j = np.intersect1d(np.cumsum(self.a_len[x]), np.cumsum(self.b_len[y]), assume_unique=True, return_indices=True)
-        links, xs, ys = x[i] << 32 | y[j], x.tolist(), y.tolist()
-        p = q = 0
-        groups = []
-        for u, v in zip((i + 1).tolist(), (j + 1).tolist()):
-            groups.append(",".join(map(str, xs[p:u])) + "|" + ",".join(map(str, ys[q:v])))
-            p, q = u, v
-        return len(xs), len(ys), ";".join(groups), links
-
-    def codes(self, text: str) -> list[int] | None:
-        """The codes of a text's chunks in ``found``; None if its tokens don't spell it."""
-        if SPACE_MARK in text:  # as a token it is a space
-            return None
-        split = self.chunks(text)
-        new = [c for c in dict.fromkeys(split) if c not in self.code]
+        b = self._encode_b(chunks)
+        body, first = "".join(chunks).encode(), len(self.code)
+        # bytes per chunk first: a part of one chunk's bytes in the next one's tokens would go unseen in the whole
+        lengths = np.fromiter((len(c.encode()) for c in chunks), np.int64, len(chunks))
+        x, n_a = _flat(a)
+        y, n_b = _flat(b)
+        whole = all(
+            (np.add.reduceat(np.append(size[ids], 0), np.cumsum(n) - n) * (n > 0) == lengths).all() and b"".join(map(table.__getitem__, ids.tolist())) == body
+            for size, table, ids, n in ((self.a_len, self.a_bytes, x, n_a), (self.b_len, self.b_bytes, y, n_b))
+        )
+        if not whole:
+            good = self._spelled(chunks, a, b)
+            self.bad.update(first + k for k, ok in enumerate(good) if not ok)
+            (x, n_a), (y, n_b) = _flat([ids if ok else [] for ids, ok in zip(a, good)]), _flat([ids if ok else [] for ids, ok in zip(b, good)])
+        end_a, end_b = np.cumsum(self.a_len[x]), np.cumsum(self.b_len[y])
+        marks = np.zeros((2, int(end_a[-1]) + 1 if len(end_a) else 1), bool)
+        marks[0, end_a], marks[1, end_b] = True, True
+        last_a, last_b = marks[1, end_a], marks[0, end_b]  # the tokens that end a group
+        n_links = np.bincount(np.repeat(np.arange(len(chunks)), n_a)[last_a], minlength=len(chunks))
+        names = np.concatenate([2 * x + last_a, 2 * (len(self.a_len) + y) + last_b])
+        place = np.concatenate([2 * (np.cumsum(last_a) - last_a), 2 * (np.cumsum(last_b) - last_b) + 1])
+        names = names[np.argsort(place, kind="stable")]
+        text = "".join(self.names[names].tolist())
+        n = n_a + n_b
+        cut = np.concatenate([[0], np.cumsum(self.name_len[names])])[np.concatenate([[0], np.cumsum(n)])].tolist()
+        self.groups += [text[s : e - 1] if e > s else "" for s, e in zip(cut, cut[1:])]
+        self.sizes = np.concatenate([self.sizes, np.stack([n_a, n_b, n_links], 1)])
+        self.links = np.concatenate([self.links, x[last_a] << 32 | y[last_b]])
+        self.code.update(zip(chunks, range(first, first + len(chunks))))
+        self.chars += len(body)
+
+    def codes(self, texts: list[str]) -> list[np.ndarray | None]:
+        """The codes of the chunks of each text; None if its tokens don't spell it."""
+        split = [[] if SPACE_MARK in t else self.chunks(t) for t in texts]  # that character as a token is a space
+        new = list(set().union(*split).difference(self.code))
         if new:
-            self._align(new)
-        out = [self.code[c] for c in split]
-        return None if any(self.found[k] is None for k in set(out)) else out
+            self._add(new)
+        get = self.code.__getitem__
+        out = [list(map(get, s)) for s in split]
+        return [np.array(c, np.int64) if c and (not self.bad or self.bad.isdisjoint(c)) else None for c in out]
 
     def full(self) -> bool:
         return len(self.code) > KEEP_CHUNKS or self.chars > KEEP_CHARS
 
 
+def _flat(lists: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
+    n = np.fromiter(map(len, lists), np.int64, len(lists))
+    return np.fromiter((i for x in lists for i in x), np.int64, int(n.sum())), n
+
+
 _ALIGNERS: dict = {}
 
 
@@ -138,40 +168,23 @@ def aligner(byte_bpe: str, pieces: str) -> Aligner:
     return _ALIGNERS[byte_bpe, pieces]
 
 
-class Block:
-    """Texts of a block and their distinct chunks."""
-
-    def __init__(self, found: list):
-        self.found, self.size = found, 0
-        self.texts, self.codes = [], []
-
-    def add(self, digest: bytes, copies: int, codes: list[int], size: int) -> None:
-        self.texts.append((digest, copies))
-        self.codes.append(codes)
-        self.size += size
-
-    def row(self, name: int) -> dict:
-        """One stored row: pairs with their weights, links of each chunk as places among the pairs, chunks of each text."""
-        found = self.found
-        n = np.fromiter(map(len, self.codes), np.int64, len(self.codes))
-        flat = np.fromiter((k for c in self.codes for k in c), np.int64, int(n.sum()))
-        used, place = np.unique(flat, return_inverse=True)
-        copies = np.array([c for _, c in self.texts], np.int64)
-        times = np.zeros(len(used), np.int64)
-        np.add.at(times, place, np.repeat(copies, n))
-        own = [found[k] for k in used.tolist()]
-        links = np.array([len(x[3]) for x in own], np.int64)
-        pairs, at = np.unique(np.concatenate([x[3] for x in own]), return_inverse=True)
-        weights = np.zeros(len(pairs), np.int64)
-        np.add.at(weights, at, np.repeat(times, links))
-        groups = [x[2] for x in own]
-        place_of, starts = place.tolist(), (np.cumsum(n) - n).tolist()
-        shas = [hashlib.sha256(";".join([groups[k] for k in place_of[s : s + size]]).encode()).hexdigest() for s, size in zip(starts, n.tolist())]
-        return {
-            "block": name, "digests": [d for d, _ in self.texts], "copies": copies.tolist(), "groups": shas, "n_chunks": n.astype("<u4").tobytes(), "chunks": place.astype("<u4").tobytes(),
-            "chunk_a": np.array([x[0] for x in own], "<u4").tobytes(), "chunk_b": np.array([x[1] for x in own], "<u4").tobytes(), "chunk_links": links.astype("<u4").tobytes(), "links": at.astype("<u4").tobytes(),
-            "pairs": pairs.tolist(), "weights": weights.tolist(),
-        }
+def block_row(name: int, both: Aligner, texts: list[tuple[bytes, int, np.ndarray]]) -> dict:
+    """One stored row of texts (digest, copies, codes): pairs with their weights, links of each chunk as places among the pairs, chunks of each text."""
+    n = np.array([len(c) for _, _, c in texts], np.int64)
+    copies = np.array([c for _, c, _ in texts], np.int64)
+    used, place = np.unique(np.concatenate([c for _, _, c in texts]), return_inverse=True)
+    times = np.bincount(place, np.repeat(copies, n)).astype(np.int64)
+    n_a, n_b, n_links = both.sizes[used].T
+    start = (np.cumsum(both.sizes[:, 2]) - both.sizes[:, 2])[used]
+    links = both.links[np.repeat(start - np.cumsum(n_links) + n_links, n_links) + np.arange(n_links.sum())]
+    pairs, at = np.unique(links, return_inverse=True)
+    weights = np.bincount(at, np.repeat(times, n_links)).astype(np.int64)
+    groups = [both.groups[k] for k in used.tolist()]
+    ends, own = np.cumsum(n).tolist(), place.tolist()
+    shas = [hashlib.sha256(";".join([groups[k] for k in own[e - len(c) : e]]).encode()).hexdigest() for e, (_, _, c) in zip(ends, texts)]
+    packed = {"n_chunks": n, "chunks": place, "chunk_a": n_a, "chunk_b": n_b, "chunk_links": n_links, "links": at}
+    head = {"block": name, "digests": [d for d, _, _ in texts], "copies": copies.tolist(), "groups": shas}
+    return head | {k: v.astype("<u4").tobytes() for k, v in packed.items()} | {"pairs": pairs.tolist(), "weights": weights.tolist()}
 
 
 BLOCK_SCHEMA = "block long, digests array<binary>, copies array<long>, groups array<string>, n_chunks binary, chunks binary, chunk_a binary, chunk_b binary, chunk_links binary, links binary, pairs array<long>, weights array<long>"
@@ -184,22 +197,21 @@ def align_texts(docs: DataFrame, byte_bpe: str, pieces: str) -> DataFrame:
     texts = texts.select("text", "copies", F.unhex(F.sha2("text", 256)).alias("digest"))
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        both, part, n = aligner(byte_bpe, pieces), TaskContext.get().partitionId(), 0
-        block = Block(both.found)
+        both, part, n, held, size = aligner(byte_bpe, pieces), TaskContext.get().partitionId(), 0, [], 0
         for frame in frames:
-            for text, copies, digest in zip(frame["text"].tolist(), frame["copies"].tolist(), frame["digest"].tolist()):
-                codes = both.codes(text)
-                if codes is not None:
-                    block.add(digest, copies, codes, len(text))
-                if block.size >= BLOCK_CHARS or both.full():
-                    if block.texts:
-                        yield pd.DataFrame([block.row(part << 32 | n)])
+            texts, copies, digests = (frame[c].tolist() for c in ("text", "copies", "digest"))
+            for s in words.slices(texts, SLICE_CHARS):
+                held += [(d, c, codes) for d, c, codes in zip(digests[s], copies[s], both.codes(texts[s])) if codes is not None]
+                size += sum(map(len, texts[s]))
+                if size >= BLOCK_CHARS or both.full():
+                    if held:
+                        yield pd.DataFrame([block_row(part << 32 | n, both, held)])
                         n += 1
+                    held, size = [], 0
                     if both.full():
                         both._clear()
-                    block = Block(both.found)
-        if block.texts:
-            yield pd.DataFrame([block.row(part << 32 | n)])
+        if held:
+            yield pd.DataFrame([block_row(part << 32 | n, both, held)])
 
     return stored(texts.mapInPandas(run, BLOCK_SCHEMA), "aligned")
 
