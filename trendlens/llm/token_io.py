@@ -15,7 +15,9 @@ payload), written by Spark's committer, so a retried task leaves no half file.
 
 Defined cases: a null text is empty (one end id), a null doc_id sorts first, rows
 with the same doc_id are ordered by a hash of their text, an empty table gives
-no blocks; other columns are not read.
+no blocks; very long texts are encoded whole; a special token's string in a text
+is that token, as in the library's own call; doc_ids are integers (others fail to
+cast); other columns are not read.
 """
 
 from __future__ import annotations
@@ -23,6 +25,7 @@ from __future__ import annotations
 import struct
 import zlib
 from collections.abc import Iterator
+from itertools import chain, islice
 
 import numpy as np
 import pandas as pd
@@ -35,6 +38,8 @@ from trendlens.llm import words
 from trendlens.llm.common import ship
 
 BLOCK_IDS = 2_000_000
+KEEP_CHUNKS = 1_200_000  # the cache starts anew beyond so many chunks
+JOINED = 2000  # chunks that are encoded as one string
 MAX_COUNTED = 1 << 22
 HEADER = struct.Struct("<4sIQIQ")
 MAGIC = b"TKB1"
@@ -44,7 +49,85 @@ LENGTHS = ((np.arange(256)[:, None] >> np.array([0, 2, 4, 6])) & 3).astype(np.in
 _TOKENIZERS: dict = {}
 
 
-def _codes(path: str) -> words.ChunkCodes:
+class _Numbers(dict):
+    """Numbers its keys as they are first asked for."""
+
+    def __missing__(self, key: str) -> int:
+        self[key] = n = len(self)
+        return n
+
+
+class TokenCodes(words.ChunkCodes):
+    """Chunk codes of a byte-level tokenizer of the tokenizers library.
+
+    New chunks that start with white space, and hold none at the end, are encoded
+    many to a string, as no token crosses their ends, and cut by the tokens' bytes.
+    """
+
+    def __init__(self, tokenizer):
+        vocabulary = tokenizer.get_vocab(with_added_tokens=True)
+        self.bytes = np.zeros(max(vocabulary.values(), default=0) + 1, np.int64)
+        self.bytes[list(vocabulary.values())] = list(map(len, vocabulary))  # a character of a token is a byte
+        self.tokenizer = tokenizer
+        super().__init__(self._each)
+
+    def _clear(self) -> None:
+        super()._clear()
+        self.code = _Numbers()
+
+    def _each(self, chunks: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.tokenizer.encode_batch_fast(chunks, add_special_tokens=False)]
+
+    def codes(self, texts: list[str]) -> list[list[int]]:
+        if len(self.code) > KEEP_CHUNKS or self.used > words.KEEP_IDS:
+            self._clear()
+        first, get = len(self.code), self.code.__getitem__
+        whole = {t for t in texts if words.OTHER_SPACE.search(t)}  # one chunk each
+        out = [[get(t)] if t in whole else list(map(get, words.CHUNK.findall(t))) for t in texts]
+        new = list(islice(self.code, first, None))
+        if new:
+            self._store(first, *self._encoded(new, whole))
+        return out
+
+    def _encoded(self, new: list[str], whole: set[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all chunks, and the number of each."""
+        plain = [c[0] in " \n" and c[-1] not in " \n" and c not in whole for c in new]
+        parts, n = [], np.zeros(len(new), np.int64)
+        own = np.flatnonzero(plain)
+        for k in range(0, len(own), JOINED):
+            some = own[k : k + JOINED]
+            chunks = [new[i] for i in some.tolist()]
+            ids = np.array(self._each(["".join(chunks)])[0], np.uint32)
+            ends = np.cumsum(np.fromiter((len(c.encode()) for c in chunks), np.int64, len(chunks)))
+            at = np.cumsum(self.bytes[ids])
+            cut = np.searchsorted(at, ends)
+            if not (len(at) and at[-1] == ends[-1] and (at[cut] == ends).all()):
+                lists = self._each(chunks)
+                ids, cut = np.fromiter(chain.from_iterable(lists), np.uint32), np.cumsum(list(map(len, lists))) - 1
+            n[some] = np.diff(cut, prepend=-1)
+            parts.append((some, ids))
+        own = np.flatnonzero(~np.array(plain, bool))
+        if len(own):
+            lists = self._each([new[i] for i in own.tolist()])
+            n[own] = list(map(len, lists))
+            parts.append((own, np.fromiter(chain.from_iterable(lists), np.uint32)))
+        flat, start = np.zeros(int(n.sum()), np.uint32), np.cumsum(n) - n
+        for some, ids in parts:
+            size = n[some]
+            flat[np.repeat(start[some] - np.cumsum(size) + size, size) + np.arange(len(ids))] = ids
+        return flat, n
+
+    def _store(self, first: int, flat: np.ndarray, n: np.ndarray) -> None:
+        last, total = first + len(n), len(flat)
+        self.flat = words._room(self.flat, self.used + total)
+        self.start, self.length = words._room(self.start, last), words._room(self.length, last)
+        self.flat[self.used : self.used + total] = flat
+        self.start[first:last] = self.used + np.cumsum(n) - n
+        self.length[first:last] = n
+        self.used += total
+
+
+def _codes(path: str) -> TokenCodes:
     """One tokenizer and chunk cache a worker."""
     if path not in _TOKENIZERS:
         import os
@@ -52,9 +135,7 @@ def _codes(path: str) -> words.ChunkCodes:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
-        tokenizer = Tokenizer.from_file(path)
-        tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-        _TOKENIZERS[path] = words.ChunkCodes(lambda new: [e.ids for e in tokenizer.encode_batch_fast(new, add_special_tokens=False)])
+        _TOKENIZERS[path] = TokenCodes(Tokenizer.from_file(path))
     return _TOKENIZERS[path]
 
 

@@ -1,7 +1,10 @@
 """Toxicity by a linear-chain conditional random field over tokens.
 
 Learning is bounded: at most MAX_TOXIC and MAX_CLEAN labelled texts of at most
-MAX_CHARS characters, those of the least id hash. Their documents' labels give
+MAX_CHARS characters, those of the least id hash. The ids are picked from narrow
+rows, so that only these texts move; they are tokenised and counted on the
+executors, and the driver gets the chosen features, windows of feature sets and
+one row of sums a text. Their documents' labels give
 weak token labels: in toxic documents a token is toxic when one of its features
 (the word, its prefixes) is significantly more frequent in toxic documents.
 The field has two states, emissions from those features and a transition
@@ -11,11 +14,12 @@ gives the document score.
 
 Scoring reads whole texts and nothing but the text. Tokens without a known
 feature share one matrix, so a run of them is one matrix power: marginals are
-exact without a step for each. Spans are the tokens with marginal >= 0.5.
+exact without a step for each, however long the run. Spans are the tokens with marginal >= 0.5.
 
 Defined cases: null text is empty and scores like any text without a hit; null
 ids and labels are never learned from; repeated rows score equally; without
-labels of both kinds every score is 0; an empty table gives an empty result;
+labels of both kinds every score is 0; of rows that share a doc_id one text is
+learned from; very long texts are scored whole; an empty table gives an empty result;
 extra columns are kept by ``with_scores`` and otherwise not read.
 """
 
@@ -30,7 +34,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from trendlens.llm.common import ship
+from trendlens.llm.common import ship, stored
 
 MAX_TOXIC, MAX_CLEAN, MAX_CHARS = 2500, 5000, 20_000  # the sample that the model is fitted on
 MAX_FEATURES = 20_000
@@ -45,14 +49,17 @@ def held_out(doc_id: Column) -> Column:
     return F.pmod(F.crc32(doc_id.cast("string").cast("binary")), F.lit(3)) == 1
 
 
-def training_rows(docs: DataFrame, labels: DataFrame) -> pd.DataFrame:
-    """The bounded sample (text, toxic); held-out documents are never in it."""
+def training_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The bounded sample (text, toxic), each text once; held-out documents are never in it."""
     named = labels.where("doc_id IS NOT NULL AND toxic IS NOT NULL").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     named = named.where(~held_out(F.col("doc_id")))
-    rows = docs.where(F.length("text").between(1, MAX_CHARS)).select("doc_id", "text").join(named, "doc_id")
-    order = F.xxhash64("doc_id")
-    parts = [rows.where(F.col("toxic") == y).orderBy(order, "doc_id").limit(n) for y, n in ((1, MAX_TOXIC), (0, MAX_CLEAN))]
-    return parts[0].unionByName(parts[1]).select("text", "toxic").toPandas().drop_duplicates("text")
+    fit_for = docs.where(F.length("text").between(1, MAX_CHARS))
+    ids = fit_for.select("doc_id").join(named, "doc_id").distinct()
+    parts = [ids.where(F.col("toxic") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(n) for y, n in ((1, MAX_TOXIC), (0, MAX_CLEAN))]
+    chosen = stored(parts[0].unionByName(parts[1]), "toxic-ids")  # at most MAX_TOXIC + MAX_CLEAN ids
+    rows = fit_for.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+    one = rows.groupBy("doc_id", "toxic").agg(F.min(F.struct(F.xxhash64("text"), "text")).alias("t"))
+    return one.groupBy("t.text").agg(F.max("toxic").alias("toxic"))
 
 
 def features(word: str) -> list[str]:
@@ -66,27 +73,38 @@ class Model:
         self.weights, self.trans, self.bias = weights, trans, bias
         self.score = np.zeros(0)
         a = np.exp(trans) * np.array([1.0, np.exp(bias)])  # a step to a token without features
-        self.power = np.empty((256, 2, 2))
-        self.power[0] = np.eye(2)
-        for k in range(1, 256):  # scaled; it converges long before the last
-            self.power[k] = self.power[k - 1] @ a
-            self.power[k] /= self.power[k].sum()
+        self.power = [np.eye(2)]
+        for _ in range(255):
+            self.power.append(_scaled(self.power[-1] @ a))
+        self.squares = [_scaled(self.power[255] @ a)]  # of 256, 512, 1024 ... steps
+        for _ in range(55):
+            self.squares.append(_scaled(self.squares[-1] @ self.squares[-1]))
         self.known: dict[str, float] = {}
 
+    def run(self, n: int) -> np.ndarray:
+        """The matrix of ``n`` tokens without features, up to a factor."""
+        out, n, k = self.power[n & 255], n >> 8, 0
+        while n:
+            if n & 1:
+                out = _scaled(out @ self.squares[k])
+            n, k = n >> 1, k + 1
+        return out
+
     def emission(self, word: str) -> float:
         """The log weight of the toxic state at a word, over the bias; 0 without a known feature."""
         e = self.known.get(word)
         if e is None:
             if len(self.known) > 400_000:
                 self.known = {}
-            e = self.known[word] = sum(self.weights.get(f, 0.0) for f in features(word))
+            e = self.known[word] = sum(self.weights.get(f, 0.0) for f in features(word.lower()))
         return e
 
     def marginals(self, text: str) -> list[tuple[int, float]]:
         """(token number, marginal of the toxic state) of every token with a known feature."""
-        get = self.emission
-        words = WORD.findall(text.lower())
-        hits = [(i, e) for i, e in enumerate(map(get, words)) if e]
+        return self._marginals(WORD.findall(text))
+
+    def _marginals(self, words: list[str]) -> list[tuple[int, float]]:
+        hits = [(i, e) for i, e in enumerate(map(self.emission, words)) if e]
         if not hits:
             return []
         step = np.exp(self.trans)
@@ -95,14 +113,14 @@ class Model:
         ahead, f = [], np.ones(2)
         before = -1
         for i, e in zip(at, emit):
-            f = f @ self.power[min(i - before - 1, 255)]
+            f = f @ self.run(i - before - 1)
             f = ((f @ step) if i else f) * e
             f /= f.sum()
             ahead.append(f)
             before = i
         back, b, after = [], np.ones(2), len(words)
         for i, e in zip(reversed(at), reversed(emit)):
-            b = self.power[min(after - i - 1, 255)] @ b
+            b = self.run(after - i - 1) @ b
             b /= b.sum()
             back.append(b)
             b = step @ (e * b)
@@ -114,8 +132,9 @@ class Model:
         return out
 
     def summary(self, text: str) -> np.ndarray:
-        p = np.array([m for _, m in self.marginals(text)])
-        n = max(1, len(WORD.findall(text)))
+        words = WORD.findall(text)
+        p = np.array([m for _, m in self._marginals(words)])
+        n = max(1, len(words))
         top = np.sort(p)[::-1][:3]
         return np.array([1.0, np.log1p(p.sum()), min(1.0, 20 * p.sum() / n), *np.pad(top, (0, 3 - len(top)))])
 
@@ -127,62 +146,81 @@ class Model:
     def spans(self, text: str) -> list[tuple[int, int, float]]:
         """(start, end, marginal) in code points of every offending token."""
         hot = {i: p for i, p in self.marginals(text) if p >= 0.5}
-        # lower-casing may change a text's length, so offsets are taken from the text itself
         return [(m.start(), m.end(), hot[i]) for i, m in enumerate(WORD.finditer(text)) if i in hot] if hot else []
 
 
-def select_features(texts: list[list[str]], toxic: np.ndarray) -> dict[str, float]:
-    """Features that are significantly more frequent in toxic documents, with their log odds."""
+def _scaled(x: np.ndarray) -> np.ndarray:
+    return x / x.sum()
+
+
+def feature_counts(texts: list[str], toxic: list[int]) -> pd.DataFrame:
+    """(feature, toxic, clean): in how many texts of either kind a feature is."""
     counts = [Counter(), Counter()]
-    for words, y in zip(texts, toxic):
-        counts[int(y)].update({f for w in set(words) for f in features(w)})
-    n = [int((toxic == 0).sum()), int((toxic == 1).sum())]
-    least = max(3, round(0.01 * n[1]))
-    found = {}
-    for f, t in counts[1].items():
-        if t >= least:
-            c = counts[0][f]
-            odds = np.log((t + 0.5) / (n[1] + 1)) - np.log((c + 0.5) / (n[0] + 1))
-            if odds >= 1.5 and odds / np.sqrt(1 / (t + 0.5) + 1 / (c + 0.5)) >= 3:
-                found[f] = float(odds)
-    return dict(sorted(found.items(), key=lambda x: (-x[1], x[0]))[:MAX_FEATURES])
+    for text, y in zip(texts, toxic):
+        counts[int(y)].update({f for w in {w.lower() for w in WORD.findall(text)} for f in features(w)})
+    names = list(counts[0] | counts[1])
+    return pd.DataFrame({"feature": names, "toxic": [counts[1][f] for f in names], "clean": [counts[0][f] for f in names]})
+
+
+def windows(texts: list[str], toxic: list[int], chosen: set[str]) -> pd.DataFrame:
+    """(tokens, toxic): of every window with a chosen feature, and of a text's first, each token's features as a number in ``kinds``."""
+    kind_of: dict[str, str] = {}
+    rows = []
+    for text, y in zip(texts, toxic):
+        words = [w.lower() for w in WORD.findall(text)]
+        for w in words:
+            if w not in kind_of:
+                kind_of[w] = " ".join(f for f in features(w) if f in chosen)
+        kinds = [kind_of[w] for w in words]
+        for k in range(0, len(kinds), WINDOW):
+            part = kinds[k : k + WINDOW]
+            if k == 0 or any(part):
+                rows.append((part, int(y)))
+    return pd.DataFrame(rows, columns=["tokens", "toxic"])
+
+
+def significant(counts: DataFrame | pd.DataFrame, n_clean: int, n_toxic: int) -> pd.DataFrame:
+    """(feature, odds) of the features that are significantly more frequent in toxic texts, at most MAX_FEATURES."""
+    least = max(3, round(0.01 * n_toxic))
+    odds = f"ln((toxic + 0.5D) / {n_toxic + 1}) - ln((clean + 0.5D) / {n_clean + 1})"
+    if isinstance(counts, DataFrame):
+        found = counts.groupBy("feature").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean")).where(F.col("toxic") >= least)
+        found = found.selectExpr("feature", f"{odds} AS odds", "sqrt(1 / (toxic + 0.5D) + 1 / (clean + 0.5D)) AS error")
+        return found.where("odds >= 1.5 AND odds / error >= 3").orderBy(F.col("odds").desc(), "feature").limit(MAX_FEATURES).select("feature", "odds").toPandas()
+    t, c = counts["toxic"] + 0.5, counts["clean"] + 0.5
+    found = counts.assign(odds=np.log(t / (n_toxic + 1)) - np.log(c / (n_clean + 1)), error=np.sqrt(1 / t + 1 / c))
+    found = found[(found["toxic"] >= least) & (found["odds"] >= 1.5) & (found["odds"] / found["error"] >= 3)]
+    return found.sort_values(["odds", "feature"], ascending=[False, True])[["feature", "odds"]].head(MAX_FEATURES)
+
+
+def _field(chosen: pd.DataFrame, parts: pd.DataFrame) -> Model:
+    """The field fitted to windows (tokens, toxic)."""
+    names = {f: k for k, f in enumerate(chosen["feature"])}
+    odds = chosen["odds"].to_numpy(np.float64)
+    parts = sorted((y, tuple(t)) for t, y in zip(parts["tokens"], parts["toxic"]))  # the order of rows decides no rounding
+    kinds = {"": 0}  # a token is the set of its known features
+    x = np.full((len(parts), WINDOW), -1, np.int32)
+    for k, (_, tokens) in enumerate(parts):
+        x[k, : len(tokens)] = [kinds.setdefault(t, len(kinds)) for t in tokens]
+    sets = [[names[f] for f in fs.split(" ")] if fs else [] for fs in kinds]
+    best = np.array([max((odds[f] for f in fs), default=0.0) for fs in sets])
+    gold = ((best[x] >= 2.0) & (x >= 0) & (np.array([y for y, _ in parts])[:, None] == 1)).astype(np.int64)
+    kind, feature = (np.array(c, np.int64) for c in zip(*[(k, f) for k, fs in enumerate(sets) for f in fs]))
+    weights, trans, bias = _ascend(x, gold, kind, feature, len(kinds), len(names))
+    return Model({f: float(weights[k]) for f, k in names.items()}, trans, bias)
 
 
 def fit(sample: pd.DataFrame) -> Model:
-    """Fit the field and the document score to a sample (text, toxic)."""
-    toxic = sample["toxic"].to_numpy(np.int64) if len(sample) else np.zeros(0, np.int64)
+    """Fit the field and the document score to a local sample (text, toxic)."""
+    texts, toxic = sample["text"].tolist(), sample["toxic"].to_numpy(np.int64)
     none = Model({}, np.zeros((2, 2)), 0.0)
     if not (toxic == 1).any() or not (toxic == 0).any():
         return none
-    words = [WORD.findall(t.lower()) for t in sample["text"]]
-    chosen = select_features(words, toxic)
-    if not chosen:
+    chosen = significant(feature_counts(texts, toxic), int((toxic == 0).sum()), int((toxic == 1).sum()))
+    if not len(chosen):
         return none
-    names = {f: k for k, f in enumerate(chosen)}
-    odds = np.array(list(chosen.values()))
-    kinds: dict[tuple[int, ...], int] = {(): 0}  # a token is the set of its known features
-    kind_of: dict[str, int] = {}
-    rows, marks = [], []
-    for doc, y in zip(words, toxic):
-        ids = np.zeros(len(doc), np.int64)
-        for i, w in enumerate(doc):
-            if w not in kind_of:
-                kind_of[w] = kinds.setdefault(tuple(names[f] for f in features(w) if f in names), len(kinds))
-            ids[i] = kind_of[w]
-        for k in range(0, len(doc), WINDOW):
-            part = ids[k : k + WINDOW]
-            if part.any() or k == 0:
-                rows.append(np.pad(part, (0, WINDOW - len(part)), constant_values=-1))
-                marks.append(y)
-    x = np.array(rows)
-    best = np.array([max((odds[f] for f in fs), default=0.0) for fs in kinds])
-    gold = ((best[x] >= 2.0) & (x >= 0) & (np.array(marks)[:, None] == 1)).astype(np.int64)
-    pairs = [(k, f) for fs, k in kinds.items() for f in fs]
-    kind, feature = (np.array(c, np.int64) for c in zip(*pairs))
-    weights, trans, bias = _ascend(x, gold, kind, feature, len(kinds), len(names))
-    model = Model({f: float(weights[k]) for f, k in names.items()}, trans, bias)
-    table = np.array([model.summary(t) for t in sample["text"]])
-    model.score = _logistic(table, toxic)
+    model = _field(chosen, windows(texts, toxic, set(chosen["feature"])))
+    model.score = _logistic(np.array([model.summary(t) for t in texts]), toxic)
     return model
 
 
@@ -234,7 +272,38 @@ def _logistic(table: np.ndarray, y: np.ndarray) -> np.ndarray:
 
 
 def train(docs: DataFrame, labels: DataFrame) -> Model:
-    return fit(training_rows(docs, labels))
+    """The model of the bounded sample: texts are read on the executors only."""
+    spark = docs.sparkSession
+    ship(spark)
+    sample = stored(training_rows(docs, labels), "toxic-sample")
+    n = {r["toxic"]: r["n"] for r in sample.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
+    none = Model({}, np.zeros((2, 2)), 0.0)
+    if not n.get(0) or not n.get(1):
+        return none
+
+    def counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            yield feature_counts(b["text"].tolist(), b["toxic"].tolist())
+
+    chosen = significant(sample.mapInPandas(counted, "feature string, toxic long, clean long"), n[0], n[1])
+    if not len(chosen):
+        return none
+    known = set(chosen["feature"])  # at most MAX_FEATURES
+
+    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            yield windows(b["text"].tolist(), b["toxic"].tolist(), known)
+
+    model = _field(chosen, sample.mapInPandas(cut, "tokens array<string>, toxic int").toPandas())
+
+    def summed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            yield pd.DataFrame({"sums": [model.summary(t).tolist() for t in b["text"]], "toxic": b["toxic"]})
+
+    rows = sorted((*r["sums"], r["toxic"]) for r in sample.mapInPandas(summed, "sums array<double>, toxic int").collect())
+    table = np.array(rows)
+    model.score = _logistic(table[:, :-1], table[:, -1].astype(np.int64))
+    return model
 
 
 def with_scores(docs: DataFrame, model: Model, name: str = "score") -> DataFrame:
