@@ -265,3 +265,110 @@ def test_state_folder_that_is_gone_raises(spark):
     store, _ = fold_for(spark)
     with pytest.raises(AnalysisException):
         store.read("state/sketch", 7, SKETCH_STATE).count()
+
+
+def brute_fold(batches, ks):
+    """Merged MG rule, error bound and exact counts of batches, with K of each batch; a smaller K drops the smallest counters."""
+    from collections import Counter
+
+    state, bound, exact, k0 = Counter(), 0, Counter(), ks[0]
+    for words, k in zip(batches, ks):
+        ranked = sorted(state.items(), key=lambda x: (-x[1], x[0]))
+        if k < k0 and len(ranked) > k:
+            bound += ranked[k][1]
+            state = Counter(dict(ranked[:k]))
+        k0 = k
+        state.update(words)
+        exact.update(words)
+        counts = sorted(state.values(), reverse=True)
+        cut = counts[k] if len(counts) > k else 0
+        bound += cut
+        state = Counter({w: n - cut for w, n in state.items() if n > cut})
+    return state, bound, exact
+
+
+def test_bound_and_maintained_baseline_over_resizes(spark, monkeypatch):
+    """Counters, error bound, exact top-K, unique count and bytes equal brute force, over resizes and bucketed runs."""
+    import random
+
+    from trendlens.sources.snapshot import read_error_bound, read_eval_metrics, read_exact_topics
+    from trendlens.streaming import fold as fold_module
+
+    monkeypatch.setattr(fold_module, "BUCKET_ROWS", 8)
+    rng = random.Random(3)
+    ks = [3, 3, 2, 6, 6]
+    batches = [[f"w{int(rng.paretovariate(0.8)) % 40}" for _ in range(60)] for _ in ks]
+    store, fold = fold_for(spark, compact_every=2)
+    for e, (words, k) in enumerate(zip(batches, ks)):
+        if e and k != ks[e - 1]:
+            set_control(store, k=k)
+        fold(words_df(spark, words).withColumn("uid", F.concat(F.lit(f"{e}:"), "uid")), e)
+    state, bound, exact = brute_fold(batches, ks)
+    assert {r["keyword"]: r["approx_count"] for r in read_hot_topics(store).collect()} == dict(state)
+    assert read_error_bound(store).first()["mg_error_bound"] == bound
+    assert all(0 <= n - state[w] <= bound for w, n in exact.items())
+    top = sorted(exact.items(), key=lambda x: (-x[1], x[0]))[:6]
+    assert [(r["keyword"], r["exact_count"]) for r in read_exact_topics(store).collect()] == top
+    m = read_eval_metrics(store).first()
+    assert (m["exact_unique"], m["exact_memory_bytes"]) == (len(exact), sum(len(w) + 8 for w in exact))
+    meta = fold.meta_before(4)[1]
+    assert any(r.buckets > 1 for r in meta.exact_runs)
+    assert {r["keyword"]: r["n"] for r in fold.exact_state(meta).collect()} == dict(exact)
+    store.expire(1)
+    assert {r["keyword"]: r["n"] for r in fold.exact_state(meta).collect()} == dict(exact)
+    assert store.epochs("snapshot") == [4] and store.epochs("state/sketch") == [4]
+    fold(words_df(spark, ["w1"]).withColumn("uid", F.lit("last")), 5)
+    assert counters(store) == (301, 1, 123)
+
+
+def test_readers_open_few_files_however_old_the_stream_is(spark):
+    from trendlens.streaming.fold import Meta
+    from trendlens.streaming.state import LOG_HEAD
+
+    store = EpochStore(spark, new_work_dir(spark, "test-old"))
+    for e in range(50):
+        store.commit(Meta(e, e, 3, 2, total_processed=e).row())
+    assert store.latest_entry()["epoch"] == 49 and store.last_entry(20)["epoch"] == 20 and store.last_entry(3)["epoch"] == 3
+    log = store.log()
+    assert len(log.inputFiles()) <= LOG_HEAD + 1 and len(store.epochs("log")) <= 2 * LOG_HEAD + 1
+    assert sorted((r["epoch"], r["batch_count"]) for r in read_epoch_log(store).collect()) == [(e, e) for e in range(50)]
+
+
+def test_control_is_one_small_read(spark):
+    from trendlens.streaming.control import KEEP_VERSIONS, latest_control
+
+    store = EpochStore(spark, new_work_dir(spark, "test-control"))
+    assert latest_control(store) is None
+    for k in range(1, 25):
+        set_control(store, k=k)
+    assert latest_control(store).k == "24" and len(store.epochs("control")) <= KEEP_VERSIONS
+    assert latest_control(store, after=24) is None
+
+
+def test_damaged_log_is_not_taken_for_a_new_stream(spark):
+    import os
+
+    import pytest
+
+    store, fold = fold_for(spark)
+    fold(words_df(spark, list("ab")), 0)
+    folder = store.epoch_path("log", 0).removeprefix("file:")
+    for name in os.listdir(folder):
+        if name.endswith(".parquet"):
+            with open(f"{folder}/{name}", "wb") as f:
+                f.write(b"not parquet")
+        if name.endswith(".crc"):
+            os.remove(f"{folder}/{name}")
+    with pytest.raises(Exception):
+        EpochFold(store, k=3, n=2)(words_df(spark, list("ab")), 1)
+
+
+def test_certificate_sees_faults(spark):
+    from trendlens.operators import exact as ex
+    from trendlens.operators import misra_gries as mg
+
+    exact = ex.exact_counts(words_df(spark, list("aaaaabbbcd")))
+    row = lambda s: tuple(mg.mg_certificate(spark.createDataFrame(s, "keyword string, approx_count long"), exact, 2).first())
+    assert row([("a", 4), ("b", 2)]) == (10, 1, 0, 0, 0, True)
+    assert row([("b", 4), ("x", 1)]) == (10, 1, 1, 2, 1, True)
+    assert row([("a", 5), ("b", 3), ("c", 1)]) == (10, 1, 0, 0, 0, False)

@@ -27,7 +27,7 @@ def stitch(*one_row_frames: DataFrame) -> DataFrame:
     u = one_row_frames[0]
     for f in one_row_frames[1:]:
         u = u.unionByName(f, allowMissingColumns=True)
-    return u.agg(*[F.max(c).alias(c) for c in cols])
+    return u.coalesce(1).agg(*[F.max(c).alias(c) for c in cols])  # a row of each frame: no shuffle
 
 
 def eval_overlap(mg: DataFrame, exact_top: DataFrame) -> DataFrame:
@@ -149,7 +149,29 @@ def evaluate(
             F.lit(0.0).alias("memory_saved_percent"),
             F.lit(0).alias("exact_baseline_enabled"),
         )
-    top = exact_topk(exact, k)
+    return metrics_row(mg, exact_topk(exact, k), _exact_side(exact, sample), sample, totals)
+
+
+def tracked_side(tracked: DataFrame, sample: DataFrame, unique: int, size: int, total: int) -> DataFrame:
+    """The exact side of the metrics from maintained figures: the exact counts of (at least) the
+    sampled keywords ``(keyword, exact_count)``, and the baseline's keywords, bytes and sum."""
+    pairs = (
+        tracked.select("keyword", F.col("exact_count").cast("double").alias("c"))
+        .unionByName(sample.select("keyword", F.lit(1.0).alias("s")), allowMissingColumns=True)
+        .groupBy("keyword")
+        .agg(F.max("c").alias("c"), F.sum("s").alias("s"))
+    )
+    hit = F.when(F.col("c").isNotNull() & F.col("s").isNotNull(), F.struct("c", "s"))
+    return pairs.agg(F.collect_list(hit).alias("_hits")).select(
+        F.lit(unique).cast("long").alias("exact_unique"),
+        F.lit(size).cast("long").alias("exact_memory_bytes"),
+        F.lit(float(total)).alias("_exact_sum"),
+        "_hits",
+    )
+
+
+def metrics_row(mg: DataFrame, top: DataFrame, exact_side: DataFrame, sample: DataFrame, totals: DataFrame) -> DataFrame:
+    """K7 from its bounded parts: summary, exact top-K, the exact side's row, sample and totals."""
     # ≤ K MG rows and ≤ K top rows, side by side per keyword (no join).
     pairs = (
         mg.select("keyword", F.col("approx_count").alias("m"), F.lit(None).cast("long").alias("x"))
@@ -172,7 +194,7 @@ def evaluate(
     )
     row = stitch(
         pair_side,
-        _exact_side(exact, sample),
+        exact_side,
         _sample_side(sample),
         totals.agg(F.max("total_processed").cast("double").alias("_t")),
     )

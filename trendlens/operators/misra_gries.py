@@ -18,26 +18,30 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from trendlens.config import BROADCAST_ROW_LIMIT, check_k, ship_package
 
 
-def mg_prune(counts: DataFrame, k: int, count_col: str = "n") -> DataFrame:
+def mg_prune(counts: DataFrame, k: int, count_col: str = "n", cut_seen: Observation | None = None) -> DataFrame:
     """Reduce ``(keyword, count)`` rows to a K-counter summary ``(keyword, approx_count)``.
 
     cut = the (K+1)-th largest count (0 if there are at most K rows); keep
     ``count - cut`` where positive. Any row above the cut ranks within the top
-    K+1, so only those K+1 rows are materialised.
+    K+1, so only those K+1 rows are materialised. ``cut_seen`` observes the cut
+    as ``cut``: every count of the result is short by at most that much more.
     """
     check_k(k)
     top = counts.orderBy(F.col(count_col).desc(), F.col("keyword").asc()).limit(k + 1)
     # The limit leaves at most K+1 rows in one partition: a whole-frame window is cheap.
     whole = Window.partitionBy()
     cut = F.when(F.count(F.lit(1)).over(whole) > k, F.min(count_col).over(whole)).otherwise(F.lit(0))
+    top = top.withColumn("_cut", cut)
+    if cut_seen is not None:
+        top = top.observe(cut_seen, F.max("_cut").alias("cut"))
     return (
-        top.withColumn("_cut", cut)
+        top
         .where(F.col(count_col) > F.col("_cut"))
         .select("keyword", (F.col(count_col) - F.col("_cut")).cast("long").alias("approx_count"))
     )
@@ -177,3 +181,37 @@ def mg_verified(events: DataFrame, k: int, keyword_col: str = "keyword") -> Data
     return with_total.where(
         F.col("keyword").isNotNull() & (F.col("c") * F.lit(k + 1) > F.col("_total"))
     ).select("keyword", F.col("c").cast("long").alias("exact_count"))
+
+
+def mg_certificate(summary: DataFrame, exact: DataFrame, k: int) -> DataFrame:
+    """Hold a K-counter summary against exact counts ``(keyword, exact_count)``, in one row.
+
+    ``total``, the number of ``guaranteed`` keywords (share above 1/(K+1)) and how
+    many of them are missing, counts that are too high (``over_counted``, keywords
+    that don't occur included) or short by more than total/(K+1)
+    (``under_counted``), and whether the summary fits K counters. Both tables meet
+    in one aggregate by keyword; the bounds are judged on its K+1 largest rows and
+    a few maxima, so the exact counts are read once.
+    """
+    check_k(k)
+    rows = exact.select("keyword", F.col("exact_count").alias("x"), F.lit(None).cast("long").alias("a"))
+    rows = rows.unionByName(summary.select("keyword", F.lit(None).cast("long").alias("x"), F.col("approx_count").alias("a")))
+    x, a = F.coalesce(F.max("x"), F.lit(0)).alias("x"), F.max("a").alias("a")
+    both = rows.groupBy("keyword").agg(x, a)
+    whole = both.agg(
+        F.coalesce(F.sum("x"), F.lit(0)).cast("long").alias("total"),
+        F.count_if(F.col("a") > F.col("x")).cast("long").alias("over_counted"),
+        (F.count("a") <= k).alias("fits"),
+    )
+    # a keyword short by more than total/(K+1) occurs so often: it is among the K largest
+    largest = both.orderBy(F.col("x").desc(), "keyword").limit(k + 1).agg(F.collect_list(F.struct("x", "a")).alias("largest"))
+    row = whole.unionByName(largest, allowMissingColumns=True).agg(*[F.max(c).alias(c) for c in ("total", "over_counted", "fits")], F.first("largest", ignorenulls=True).alias("largest"))
+    often = lambda n: n * F.lit(k + 1) > F.col("total")
+    return row.select(
+        "total",
+        F.size(F.filter("largest", lambda r: often(r["x"]))).cast("long").alias("guaranteed"),
+        F.size(F.filter("largest", lambda r: often(r["x"]) & r["a"].isNull())).cast("long").alias("guaranteed_missing"),
+        "over_counted",
+        F.size(F.filter("largest", lambda r: often(r["x"] - F.coalesce(r["a"], F.lit(0))))).cast("long").alias("under_counted"),
+        "fits",
+    )

@@ -154,7 +154,7 @@ def dashboard(store, as_of: int, refresh_seconds: int = 2, k: int | None = None)
     epoch = published_epoch(store)  # one epoch for every read
     hot, samples, counters = read_hot_topics(store, epoch), read_samples(store, epoch), read_counters(store, epoch)
     if k is None:
-        entry = store.latest_entry()
+        entry = None if epoch is None else store.last_entry(epoch)
         k = int(entry["k"]) if entry is not None else 0
     metrics = read_eval_metrics(store, epoch)
     if epoch is None:  # nothing published yet: the reader's defaults

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from trendlens.config import DEFAULT_K, DEFAULT_N, DEFAULT_SEED, RESERVOIR_SLOTS
 from trendlens.operators import exact as ex
+from trendlens.operators.evaluate import stitch
 from trendlens.operators import misra_gries as mg
 from trendlens.operators import reservoir as rs
 from trendlens.functions.scalar import epoch_millis
@@ -45,7 +46,7 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register(
     "mg_hot_topics",
-    S.with_(S.DOC_TOK, S.counts_cte("c", "doc_tok"), S.mg_prune_cte("mg", "c", K))
+    S.with_(S.DOC_COUNTS, S.mg_prune_cte("mg", "c", K))
     + "SELECT keyword, approx_count FROM mg",
 )
 def q_mg_hot_topics(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -121,6 +122,19 @@ def q_mg_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mg.mg_sketch(doc_tokens(spark, sf_dir), K)
 
 
+@register(
+    "mg_sketch_certified",
+    S.with_(S.DOC_COUNTS)
+    + f"""SELECT sum(n)::BIGINT AS total, count(*) FILTER (WHERE n * {K + 1} > (SELECT sum(n) FROM c)) AS guaranteed,
+  0::BIGINT AS guaranteed_missing, 0::BIGINT AS over_counted, 0::BIGINT AS under_counted, true AS fits FROM c""",
+)
+def q_mg_sketch_certified(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The per-task sketch held against exact counts: no count too high, none short by more than
+    n/(K+1), no guaranteed keyword missing, at most K counters."""
+    tokens = doc_tokens(spark, sf_dir)
+    return mg.mg_certificate(mg.mg_sketch(tokens, K), ex.exact_counts(tokens), K)
+
+
 @register(
     "mg_resize",
     S.with_(S.DOC_TOK, S.counts_cte("c", "doc_tok"), S.mg_prune_cte("mg", "c", K))
@@ -214,3 +228,15 @@ def q_parse_keywords(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_exact_unique_approx(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A2 at scale: HyperLogLog++ distinct-token count (1 % relative error); rows-only check."""
     return ex.exact_unique_approx(doc_tokens(spark, sf_dir))
+
+
+@register(
+    "unique_estimate_certified",
+    S.with_(S.DOC_COUNTS) + "SELECT count(*) AS exact_unique, true AS within_bound FROM c",
+)
+def q_unique_estimate_certified(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A2: the distinct count from the merged states of three batches (``doc_id % 3``), held against the exact one."""
+    tokens = doc_tokens(spark, sf_dir)
+    merged = ex.hll_merge([ex.hll_state(tokens.where(F.col("doc_id") % 3 == b)) for b in range(3)])
+    row = stitch(ex.hll_estimate(merged), ex.exact_unique(tokens))
+    return row.select("exact_unique", (F.abs(F.col("unique_estimate") - F.col("exact_unique")) <= F.col("error_bound")).alias("within_bound"))

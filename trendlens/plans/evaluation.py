@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trendlens.config import DEFAULT_K, DEFAULT_N, DEFAULT_SEED, shared_root
+from trendlens.config import DEFAULT_K, DEFAULT_N, DEFAULT_SEED, new_work_dir
 from trendlens.functions.scalar import format_bytes
 from trendlens.operators import evaluate as ev
 from trendlens.operators import exact as ex
@@ -60,26 +60,40 @@ _SIZES_SELECT = """(SELECT b FROM ms) AS mg_memory_bytes, (SELECT b FROM es) AS
 
 
 def _parts(spark: SparkSession, sf_dir: str):
-    """MG summary, exact counts and totals all come from ONE aggregation of the tokens
-    (a single shuffle, reused by every branch); the sample is one more scan.
+    """MG summary, exact counts and totals all come from ONE aggregation of the tokens,
+    which is stored; the sample is the one other scan.
 
-    The summary (≤ K rows) and the sample (≤ N rows) are read by several branches
-    of the metric plans; a top-N is not a reusable exchange, so both are
-    checkpointed (reliable checkpoint in the shared folder) and read from there.
+    The sample (≤ N rows) is read by several branches of the metric plans and a
+    top-N is not a reusable exchange, so it is stored too (in the shared folder).
     """
-    shared_root(spark)  # make sure a checkpoint folder is set
-    tokens = doc_tokens(spark, sf_dir)
-    exact = ex.exact_counts(tokens)
-    summary = mg.mg_prune(exact.select("keyword", F.col("exact_count").alias("n")), K).checkpoint()
-    sample = rs.reservoir_sample(tokens, N, "uid", SEED).checkpoint()
+    summary, exact = _counts(spark, sf_dir)
+    path = new_work_dir(spark, "sample")
+    rs.reservoir_sample(doc_tokens(spark, sf_dir), N, "uid", SEED).write.parquet(path)
+    sample = spark.read.parquet(path)
     totals = exact.agg(F.sum("exact_count").cast("long").alias("total_processed"))
     return summary, exact, sample, totals
 
 
-@register("eval_overlap", S.with_(*_BASE) + "SELECT keyword FROM mg WHERE keyword IN (SELECT keyword FROM et)")
+def _counts(spark: SparkSession, sf_dir: str):
+    """MG summary and exact counts of the tokens, which are counted once and stored."""
+    path = new_work_dir(spark, "exact-counts")
+    ex.exact_counts(doc_tokens(spark, sf_dir)).write.parquet(path)
+    exact = spark.read.parquet(path)
+    return mg.mg_prune(exact.select("keyword", F.col("exact_count").alias("n")), K), exact
+
+
+@register(
+    "eval_overlap",
+    S.with_(
+        S.DOC_COUNTS,
+        S.mg_prune_cte("mg", "c", K),
+        f"et AS MATERIALIZED (SELECT keyword FROM c ORDER BY n DESC, keyword LIMIT {K})",
+    )
+    + "SELECT mg.keyword FROM mg JOIN et ON et.keyword = mg.keyword",
+)
 def q_eval_overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Keywords in both the MG summary and the exact top-K."""
-    summary, exact, _, _ = _parts(spark, sf_dir)
+    summary, exact = _counts(spark, sf_dir)
     return ev.eval_overlap(summary, ex.exact_topk(exact, K))
 
 
@@ -89,7 +103,7 @@ def q_eval_overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def q_eval_missed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Exact top-K keywords the summary missed (anti join)."""
-    summary, exact, _, _ = _parts(spark, sf_dir)
+    summary, exact = _counts(spark, sf_dir)
     return ev.eval_missed(summary, ex.exact_topk(exact, K))
 
 

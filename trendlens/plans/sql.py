@@ -14,6 +14,12 @@ DOC_TOK = """doc_tok AS (
         FROM (SELECT doc_id, string_split(lower(text), ' ') AS l FROM documents))
   WHERE keyword IS NOT NULL AND keyword <> '')"""
 
+#: The counts of the document tokens alone, once: for queries that need neither uids nor a sample.
+DOC_COUNTS = """c AS MATERIALIZED (
+  SELECT keyword, count(*) AS n
+  FROM (SELECT unnest(string_split(lower(text), ' ')) AS keyword FROM documents)
+  WHERE keyword IS NOT NULL AND keyword <> '' GROUP BY keyword)"""
+
 EV_TYPE = """ev_type AS (
   SELECT event_type AS keyword, (epoch_us(ts) // 1000) AS "timestamp", CAST(event_id AS VARCHAR) AS uid
   FROM events WHERE event_type IS NOT NULL AND event_type <> '')"""
@@ -47,6 +53,11 @@ def mg_prune_cte(name: str, counts: str, k: int) -> str:
     )
 
 
+def mg_cut_sql(counts: str, k: int) -> str:
+    """The (k+1)-th largest count of a ``(keyword, n)`` CTE, 0 if there are at most k."""
+    return f"coalesce((SELECT n FROM {counts} ORDER BY n DESC LIMIT 1 OFFSET {k}), 0)"
+
+
 def mg_chain_ctes(prefix: str, batch_sources: list[str], k: int, start_state: str | None = None) -> tuple[list[str], str]:
     """CTEs that fold batches one after another; returns (ctes, final state name)."""
     ctes: list[str] = []

@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trendlens.config import DEFAULT_K, DEFAULT_N, DEFAULT_SEED, RESERVOIR_SLOTS, new_work_dir
+from trendlens.operators import exact as ex
 from trendlens.operators import synth
 from trendlens.plans import sql as S
 from trendlens.plans.catalog import doc_tokens
@@ -36,6 +37,7 @@ from trendlens.sources.keywords import read_table
 from trendlens.sources.snapshot import (
     read_counters,
     read_epoch_log,
+    read_error_bound,
     read_eval_metrics,
     read_exact_topics,
     read_hot_topics,
@@ -193,6 +195,41 @@ def q_stream_resize(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_hot_topics(run(spark, sf_dir, "resize"))
 
 
+def _error_bound_sql() -> str:
+    b = _tok_batches(4)
+    first, s0 = S.mg_chain_ctes("r0", b[:1], K)
+    cut_down = f"r0t AS (SELECT * FROM {s0} ORDER BY approx_count DESC, keyword LIMIT 10)"
+    more, s2 = S.mg_chain_ctes("r1", b[1:3], 10, start_state="r0t")
+    last, _ = S.mg_chain_ctes("r3", b[3:], 100, start_state=s2)
+    dropped = f"coalesce((SELECT approx_count FROM {s0} ORDER BY approx_count DESC LIMIT 1 OFFSET 10), 0)"
+    cuts = " + ".join([S.mg_cut_sql("r0_m0", K), dropped, S.mg_cut_sql("r1_m0", 10), S.mg_cut_sql("r1_m1", 10), S.mg_cut_sql("r3_m0", 100)])
+    return S.with_(S.DOC_TOK, *first, cut_down, *more, *last) + f"SELECT CAST({cuts} AS BIGINT) AS mg_error_bound"
+
+
+@register("stream_error_bound", _error_bound_sql())
+def q_stream_error_bound(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K1 + T3: the bound published with the counters: the cuts of every batch and what the shrink to K = 10 dropped."""
+    return read_error_bound(run(spark, sf_dir, "resize"))
+
+
+@register(
+    "stream_bound_holds",
+    S.with_(S.DOC_COUNTS) + "SELECT 0::BIGINT AS over_counted, 0::BIGINT AS short_by_more, sum(n)::BIGINT AS total FROM c",
+)
+def q_stream_bound_holds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K1 + T3: the published counts of the resized stream against all its tokens: none too high, none short by more than the bound."""
+    store = run(spark, sf_dir, "resize")
+    bound = F.lit(read_error_bound(store).first()["mg_error_bound"])  # one number
+    hot = read_hot_topics(store).select("keyword", F.col("approx_count").alias("a"))
+    both = ex.exact_counts(doc_tokens(spark, sf_dir)).join(F.broadcast(hot), "keyword", "left")  # at most K rows
+    a, x = F.coalesce("a", F.lit(0)), F.col("exact_count")
+    return both.agg(
+        F.count_if(a > x).cast("long").alias("over_counted"),
+        F.count_if(x - a > bound).cast("long").alias("short_by_more"),
+        F.sum("exact_count").cast("long").alias("total"),
+    )
+
+
 @register(
     "stream_resize_samples",
     S.with_(S.DOC_TOK, S.reservoir_cte("r", "doc_tok", 50, SEED)) + "SELECT sample_index, keyword FROM r",

@@ -72,6 +72,15 @@ CONTROL = StructType(
     ]
 )
 
+# A stored part of the exact counts: the epoch that wrote it, its level and its rows at most.
+EXACT_RUN = StructType(
+    [
+        StructField("epoch", LongType(), False),
+        StructField("level", IntegerType(), False),
+        StructField("rows", LongType(), False),
+    ]
+)
+
 # Per-epoch log row (ours): the commit record of an epoch and the scalar state the
 # reference kept in process globals.
 STREAM_LOG = StructType(
@@ -84,16 +93,33 @@ STREAM_LOG = StructType(
         StructField("last_batch_count", LongType(), False),
         StructField("last_update_epoch", LongType(), False),
         StructField("reset_token", LongType(), False),
-        StructField("exact_base_epoch", LongType(), False),
-        StructField("exact_epochs", ArrayType(LongType(), False), False),
+        StructField("exact_runs", ArrayType(EXACT_RUN, False), False),
         StructField("state_epoch", LongType(), False),
         StructField("snapshot_epoch", LongType(), False),
         StructField("exact_total", LongType(), False),
+        StructField("exact_unique", LongType(), False),
+        StructField("exact_bytes", LongType(), False),
+        StructField("exact_k", IntegerType(), False),
+        StructField("mg_error_bound", LongType(), False),
+        StructField("control_version", LongType(), False),
+    ]
+)
+
+# What a batch adds: its keyword counts (kind 'count', column n) and the reservoir after it.
+BATCH_STATE = StructType(
+    [
+        StructField("keyword", StringType(), True),
+        StructField("n", LongType(), True),
+        StructField("priority", StringType(), True),
+        StructField("uid", StringType(), True),
+        StructField("kind", StringType(), True),
     ]
 )
 
-# Sketch state of one epoch: MG counters (kind 'mg'), reservoir slots (kind 'slot')
-# and the smallest occurrence that the reservoir ever dropped (kind 'dropped').
+# Sketch state of one epoch: MG counters (kind 'mg'), reservoir slots (kind 'slot'),
+# the smallest occurrence that the reservoir ever dropped (kind 'dropped') and, while
+# the exact baseline is kept, the exact counts of its top K and of the slots' keywords
+# (kind 'exact').
 SKETCH_STATE = StructType(
     [
         StructField("kind", StringType(), False),
@@ -141,6 +167,7 @@ SNAPSHOT = StructType(
     ]
     + COUNTERS.fields
     + EVAL_METRICS.fields
+    + [StructField("mg_error_bound", LongType(), True)]  # with the counters: no count is short by more
 )
 
 # Fixed names. D10: one exported record; a tagged union on record_type.

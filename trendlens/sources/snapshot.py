@@ -84,6 +84,9 @@ def read_mg_history(store: EpochStore, keyword: str) -> DataFrame:
     if log is None:
         return store.spark.createDataFrame([], "epoch long, approx_count long")
     schema = StructType(SKETCH_STATE.fields + [StructField("epoch", LongType(), True)])
+    if not store.epochs("state/sketch"):  # empty batches only
+        return log.select("epoch", F.lit(0).cast("long").alias("approx_count"))
+    # folders of epochs that aren't committed meet no log row
     sketch = store.spark.read.schema(schema).parquet(store.path("state/sketch"))
     hits = sketch.where((F.col("kind") == "mg") & (F.col("keyword") == F.lit(keyword))).select(
         F.col("epoch").alias("state_epoch"), "approx_count"
@@ -91,3 +94,9 @@ def read_mg_history(store: EpochStore, keyword: str) -> DataFrame:
     return log.select("epoch", "state_epoch").join(hits, "state_epoch", "left").select(
         "epoch", F.coalesce(F.col("approx_count"), F.lit(0)).cast("long").alias("approx_count")
     )
+
+
+def read_error_bound(store: EpochStore, epoch: int | None = None) -> DataFrame:
+    """One row ``(mg_error_bound)``: no published count, nor the 0 of a keyword without one, is short of the true count by more."""
+    rows = _records(store, "counters", epoch).select("mg_error_bound")
+    return rows.agg(F.coalesce(F.max("mg_error_bound"), F.lit(0)).cast("long").alias("mg_error_bound"))

@@ -1,17 +1,19 @@
 """Control table: runtime resize (S14) and reset requests (S15), read once per epoch.
 
-Each write appends a record with the next ``version``; the newest record holds
-the full effective control. ``k`` and ``n`` are kept as text so that bad values
-reach the stream and are ignored there, field by field, as a user would send
-them. A reset is a new ``reset_token``; the stream remembers the last token it
-applied, so replaying an epoch does not reset twice.
+Each write adds record ``version`` as a folder of its own; the newest record
+holds the full effective control. Folder names tell the newest version, so a
+reader opens one small file, and none if it has applied that version before;
+writers remove all but the last KEEP_VERSIONS. ``k`` and ``n`` are kept as text
+so that bad values reach the stream and are ignored there, field by field, as a
+user would send them. A reset is a new ``reset_token``; the stream remembers the
+last token it applied, so replaying an epoch does not reset twice.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import functions as F
+from pyspark.errors import AnalysisException
 
 from trendlens.schema import CONTROL
 from trendlens.streaming.state import EpochStore
@@ -25,22 +27,31 @@ class Control:
     reset_token: int
 
 
-def latest_control(store: EpochStore) -> Control | None:
-    """The newest control record (one row to the driver), or None."""
-    log = store.table("control")
-    if log is None:
-        return None
-    row = log.orderBy(F.col("version").desc()).limit(1).first()
-    if row is None:
-        return None
-    return Control(int(row["version"]), row["k"], row["n"], int(row["reset_token"] or 0))
+KEEP_VERSIONS = 8
+
+
+def latest_control(store: EpochStore, after: int = 0) -> Control | None:
+    """The newest control record (one row to the driver), or None if its version isn't above ``after``."""
+    for version in reversed(store.epochs("control")):
+        if version <= after:
+            return None
+        row = store.read("control", version, CONTROL).first()
+        if row is not None:  # None: the write was cut off
+            return Control(int(row["version"]), row["k"], row["n"], int(row["reset_token"] or 0))
+    return None
 
 
 def _append(store: EpochStore, k: str | None, n: str | None, reset_token: int) -> Control:
-    prev = latest_control(store)
-    version = (prev.version + 1) if prev else 1
-    rec = Control(version, k, n, reset_token)
-    store.append("control", store.spark.createDataFrame([(rec.version, rec.k, rec.n, rec.reset_token)], CONTROL))
+    """Write the next version; a writer that was faster with it makes this one fail."""
+    held = store.epochs("control")
+    rec = Control(held[-1] + 1 if held else 1, k, n, reset_token)
+    frame = store.spark.createDataFrame([(rec.version, rec.k, rec.n, rec.reset_token)], CONTROL)
+    try:
+        frame.coalesce(1).write.mode("errorifexists").parquet(store.epoch_path("control", rec.version))
+    except AnalysisException as taken:
+        raise RuntimeError(f"control version {rec.version} was written by another; read it and send again") from taken
+    for version in held[: -KEEP_VERSIONS + 1]:
+        store.remove("control", version)
     return rec
 
 

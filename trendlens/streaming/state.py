@@ -3,35 +3,41 @@
 Layout under a stream root::
 
     log/epoch=e/           one row per committed epoch: the commit record *and* the
-                           epoch's scalar state (counters, k, n, reset token, where
-                           its sketch state and snapshot live)
-    state/sketch/epoch=e/  MG counters and reservoir slots after epoch e
-    state/exact_delta/epoch=e/, state/exact_base/epoch=e/   exact counts
+                           epoch's scalar state (counters, k, n, reset token, error
+                           bound, where its sketch state and snapshot live)
+    log_head/epoch=e/      all log rows up to e in one file, every LOG_HEAD epochs
+    state/batch/epoch=e/   the batch's keyword counts and the reservoir after it
+    state/exact_base/epoch=e/   merged exact counts
+    state/sketch/epoch=e/  MG counters, reservoir slots and tracked exact counts after epoch e
     snapshot/epoch=e/      the published snapshot (hot topics, exact top-K, samples,
                            counters, metrics), written as ONE table so that a
                            snapshot appears all at once
-    control/               control records (version, k, n, reset_token)
+    control/epoch=v/       control record v (k, n, reset_token)
 
 Epoch e of a table is the folder ``<table>/epoch=e``; a replayed epoch
 overwrites its own folder and never doubles a count, and a job never overwrites
 the folder it reads. The log row is written last: an epoch without a log row is
-not committed and is redone from the previous committed epoch. The fold reads
-only the log rows of e and e - 1 (one file each), so a long-running stream
-reads a constant number of files per epoch; the snapshot readers (run on
-demand) list the whole log.
+not committed and is redone from the previous committed epoch.
+
+Folder names tell which epochs there are, so the newest row is one small file
+however old the stream is. Log folders that two heads cover are removed, and
+with ``expire`` whatever no kept log row points at.
 
 A store belongs to one streaming checkpoint (epoch ids restart with a new one).
 """
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from trendlens.schema import STREAM_LOG
 
+#: Epochs after which the log rows so far are gathered in one file.
+LOG_HEAD = 16
+
+
 class EpochStore:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
@@ -66,61 +72,89 @@ class EpochStore:
             return self.spark.createDataFrame([], schema)
         return self.spark.read.schema(schema).parquet(*[self.epoch_path(name, e) for e in epochs])
 
-    # -- append-only tables --------------------------------------------------------
+    # -- folders -------------------------------------------------------------------
 
-    def append(self, name: str, frame: DataFrame) -> None:
-        frame.coalesce(1).write.mode("append").parquet(self.path(name))
+    def _folder(self, path: str):
+        target = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        return target.getFileSystem(self.spark._jsc.hadoopConfiguration()), target
 
-    def table(self, name: str) -> DataFrame | None:
-        try:
-            return self.spark.read.parquet(self.path(name))
-        except AnalysisException:
-            return None
+    def epochs(self, name: str) -> list[int]:
+        """The epochs that table ``name`` has folders of, ascending; none if the table isn't there."""
+        fs, target = self._folder(self.path(name))
+        if not fs.exists(target):
+            return []
+        names = [status.getPath().getName() for status in fs.listStatus(target)]
+        return sorted(int(n[len("epoch="):]) for n in names if n.startswith("epoch="))
+
+    def remove(self, name: str, epoch: int) -> None:
+        fs, target = self._folder(self.epoch_path(name, epoch))
+        fs.delete(target, True)
 
     # -- the epoch log (commit protocol) -------------------------------------------
 
-    def _log_row(self, epoch: int) -> Row | None:
-        if epoch < 0:
-            return None
-        try:
-            return self.spark.read.schema(STREAM_LOG).parquet(self.epoch_path("log", epoch)).first()
-        except AnalysisException:
-            return None
+    def _head(self) -> tuple[int, DataFrame | None]:
+        """The newest complete log head: its epoch (-1 if none) and its rows."""
+        for e in reversed(self.epochs("log_head")):
+            fs, _ = self._folder(self.root)
+            if fs.exists(self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.epoch_path('log_head', e)}/_SUCCESS")):
+                return e, self.read("log_head", e, STREAM_LOG)
+        return -1, None
 
     def last_entry(self, upto: int) -> Row | None:
-        """The newest committed log row with epoch ≤ ``upto`` (one row to the driver).
-
-        Micro-batch ids are consecutive, so this is normally the row of ``upto``
-        itself (already committed) or of ``upto - 1``: one or two one-file reads.
-        Only when neither exists (a first epoch, or a gap) is the whole log scanned.
-        """
-        for e in (int(upto), int(upto) - 1):
-            row = self._log_row(e)
-            if row is not None:
+        """The newest committed log row with epoch ≤ ``upto``: one small file, normally."""
+        for e in reversed(self.epochs("log")):
+            if e <= upto and (row := self.read("log", e, STREAM_LOG).first()) is not None:  # None: the write of the row was cut off
                 return row
-        log = self.log()
-        if log is None:
-            return None
-        return log.where(F.col("epoch") <= int(upto)).orderBy(F.col("epoch").desc()).limit(1).first()
+        _, head = self._head()
+        return None if head is None else head.where(F.col("epoch") <= int(upto)).orderBy(F.col("epoch").desc()).first()
 
     def latest_entry(self) -> Row | None:
-        log = self.log()
-        if log is None:
-            return None
-        return log.orderBy(F.col("epoch").desc()).limit(1).first()
+        return self.last_entry(2**62)
 
     def commit(self, row: tuple) -> None:
         """Write the epoch's log row; this is the commit point of the epoch."""
+        epoch = int(row[0])
         frame = self.spark.createDataFrame([row], STREAM_LOG)
-        frame.coalesce(1).write.mode("overwrite").parquet(self.epoch_path("log", int(row[0])))
+        frame.coalesce(1).write.mode("overwrite").parquet(self.epoch_path("log", epoch))
+        if epoch % LOG_HEAD == LOG_HEAD - 1:
+            self._gather(epoch)
+
+    def _gather(self, epoch: int) -> None:
+        """Write the log so far as one file; then drop what the head before it covers, which readers may still hold, no earlier."""
+        before = self.epochs("log_head")
+        self.write("log_head", self.log(), epoch, bounded=True)
+        for e in self.epochs("log"):
+            if before and e <= before[-1] and e != epoch:
+                self.remove("log", e)
+        for e in before[:-1]:
+            self.remove("log_head", e)
 
     def log(self) -> DataFrame | None:
-        """All committed log rows, one per epoch."""
-        try:
-            log = self.spark.read.option("basePath", f"{self.root}/log").parquet(f"{self.root}/log/epoch=*")
-        except AnalysisException:
-            return None
-        # the folder name ``epoch=e`` is discovered as an int column: keep the declared long
-        return log.select(
-            F.col("epoch").cast("long").alias("epoch"), *[n for n in STREAM_LOG.fieldNames() if n != "epoch"]
-        )
+        """All committed log rows, one per epoch: the head's file and the few after it."""
+        upto, head = self._head()
+        tail = [e for e in self.epochs("log") if e > upto]
+        if not tail:
+            return head
+        rows = self.read_epochs("log", tail, STREAM_LOG)
+        return rows if head is None else head.unionByName(rows)
+
+    def expire(self, keep: int) -> None:
+        """Remove sketches, snapshots and exact counts that none of the last ``keep`` epochs needs (history readers see those only)."""
+        if keep < 1:
+            raise ValueError("the newest epoch is always kept")
+        log = self.log()
+        rows = [] if log is None else log.orderBy(F.col("epoch").desc()).limit(keep).collect()
+        if not rows:
+            return
+        newest = int(rows[0]["epoch"])  # later folders belong to an epoch that isn't committed yet
+        runs = {(r["level"] > 0, int(r["epoch"])) for row in rows for r in row["exact_runs"]}
+        needed = {
+            "state/sketch": {int(r["state_epoch"]) for r in rows},
+            "snapshot": {int(r["snapshot_epoch"]) for r in rows},
+            "state/batch": {e for merged, e in runs if not merged},
+            "state/exact_base": {e for merged, e in runs if merged},
+        }
+        for name, kept in needed.items():
+            for e in self.epochs(name):
+                if e <= newest and e not in kept:
+                    self.remove(name, e)
