@@ -320,6 +320,22 @@ def test_rolling_spans():
     assert a[0] == a[1] and len({int(x) for x in a}) == 3
 
 
+def test_string_hashes():
+    words = [b"", b"a", b"b", b"ab", b"abcdefgh", b"abcdefghi", b"abcdefgh" * 40, b"abcdefgh" * 39 + b"abcdefgi", b"a\0", b"a", b"abcdefgh" * 40]
+    data = np.frombuffer(b" ".join(words), np.uint8)
+    end = np.cumsum([len(w) + 1 for w in words]) - 1
+    got = rolling.string_hashes(data, end - [len(w) for w in words], end).tolist()
+    assert len(set(got)) == len(set(words)) and got[1] == got[9] and got[6] == got[10]
+
+
+def test_polynomial_twins_are_not_linked(spark):
+    """Thue-Morse words collide in every polynomial modulo a power of two; they share nothing."""
+    morse = "".join("ab"[k.bit_count() & 1] for k in range(2048))
+    rows = [(1, morse), (2, morse.translate(str.maketrans("ab", "ba"))), (3, morse)]
+    got = ngram_join.ngram_components(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r.doc_id: r.component_id for r in got} == {1: 1, 2: 2, 3: 1}
+
+
 @pytest.mark.parametrize("name", [n for n, _ in corpus_pipeline.STAGES])
 def test_stages_on_odd_rows(spark, docs, none, name):
     stage = dict(corpus_pipeline.STAGES)[name]

@@ -70,7 +70,7 @@ def shingles(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     start, end = edge[::2], edge[1::2]
     if not len(start):
         return np.zeros(0, np.int64), np.zeros(0, np.uint64)
-    word = rolling.spans(rolling.prefix(data), start, end)
+    word = rolling.string_hashes(data, start, end)
     doc = np.searchsorted(doc_start, start, side="right") - 1
     count = np.bincount(doc, minlength=len(texts))
     first = np.cumsum(count) - count

@@ -33,6 +33,23 @@ def spans(sums: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     return mix((sums[end] - sums[start]) * down[start] + (end - start).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
 
 
+def string_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Hashes of the byte spans, mixed eight bytes at a time: unlike a polynomial, not additive in the bytes."""
+    padded = np.concatenate([data, np.zeros(8, np.uint8)])
+    eight = np.ndarray((len(data) + 1,), "<u8", padded.tobytes(), 0, (1,))  # the eight bytes from every offset
+    out = mix((end - start).astype(np.uint64) + np.uint64(BASE))
+    rest, at = np.arange(len(start)), start
+    while len(rest):
+        left = end[rest] - at
+        part = eight[at]
+        short = left < 8
+        part[short] &= (np.uint64(1) << (np.uint64(8) * left[short].astype(np.uint64))) - np.uint64(1)
+        out[rest] = mix((out[rest] ^ part) * np.uint64(BASE) + (part >> np.uint64(29)))
+        more = left > 8
+        rest, at = rest[more], at[more] + 8
+    return out
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """Spread every bit over the word."""
     x = x ^ (x >> np.uint64(32))
