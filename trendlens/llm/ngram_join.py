@@ -133,7 +133,7 @@ def apart(x: bytes, y: bytes) -> int:
     return int(np.bitwise_count(a ^ b).sum())
 
 
-def batches_of(frames: Iterator[pd.DataFrame], size: int = 2_000_000) -> Iterator[tuple[pd.DataFrame, list[str]]]:
+def batches_of(frames: Iterator[pd.DataFrame], size: int = 1_000_000) -> Iterator[tuple[pd.DataFrame, list[str]]]:
     """Arrow batches cut into runs of texts of about ``size`` characters."""
     from trendlens.llm import words
 
