@@ -80,3 +80,23 @@ def test_missing_state_folder_raises(spark, tmp_path):
     assert store.read("state/exact_base", -1, EXACT_STATE).count() == 0
     with pytest.raises(AnalysisException):
         store.read("state/exact_base", 3, EXACT_STATE).count()
+
+
+def test_latest_export_is_found_by_name(spark, tmp_path):
+    import pytest
+
+    from trendlens.sources.dataset import latest_export, load_latest
+
+    root = str(tmp_path / "exports")
+    assert latest_export(spark, root) is None
+    with pytest.raises(FileNotFoundError):
+        load_latest(spark, root)
+    line = '{"record_type": "hot_topic", "keyword": "a", "approx_count": 1, "rank": 1}\n'
+    (tmp_path / "exports" / "hot_20240102_000000.jsonl").mkdir(parents=True)  # its writer has not finished
+    with pytest.raises(FileNotFoundError):
+        load_latest(spark, root)
+    (tmp_path / "exports" / "hot_20240101_000000.jsonl").write_text(line)  # written by somebody else
+    assert latest_export(spark, root).endswith("hot_20240101_000000.jsonl")
+    assert load_latest(spark, root).first()["keyword"] == "a"
+    (tmp_path / "exports" / "hot_20240102_000000.jsonl" / "_SUCCESS").touch()
+    assert latest_export(spark, root).endswith("hot_20240102_000000.jsonl")

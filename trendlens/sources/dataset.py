@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from trendlens.schema import EXPORT_META, EXPORT_RECORD
 
@@ -18,10 +17,19 @@ def load_meta(spark: SparkSession, path: str) -> DataFrame:
 
 
 def latest_export(spark: SparkSession, root: str) -> str | None:
-    """The newest export by file name (names carry the time stamp), or None."""
+    """The newest export by file name (names carry the time stamp), or None.
+
+    Whoever wrote it: ``*.jsonl`` files count, and folders of that name once their
+    writer has finished them. Only names are listed, no record is read.
+    """
     root = root.rstrip("/")
-    row = spark.read.parquet(f"{root}/_index").agg(F.max("jsonl_file").alias("f")).first()
-    return f"{root}/{row['f']}" if row and row["f"] else None
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    fs = path(root).getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(path(root)):
+        return None
+    found = [s for s in fs.listStatus(path(root)) if s.getPath().getName().endswith(".jsonl")]
+    done = [s.getPath().getName() for s in found if s.isFile() or fs.exists(path(s.getPath(), "_SUCCESS"))]
+    return f"{root}/{max(done)}" if done else None
 
 
 def load_latest(spark: SparkSession, root: str) -> DataFrame:
