@@ -305,6 +305,25 @@ def test_near_copy_group(spark):
     assert got == brute_components(dict(rows))
 
 
+@pytest.mark.parametrize("hot", [0, 8])
+def test_hot_tokens(spark, monkeypatch, hot):
+    """Tokens that many documents of different components hold: edited copies at, above and below the threshold, of several lengths."""
+    monkeypatch.setattr(ngram_join, "HOT", hot)
+    rng = np.random.default_rng(5)
+    rows = []
+    for base in range(3):
+        words = [f"b{base}_{k}" for k in range(40 + 50 * base)]
+        for k in range(70):
+            own = list(words)
+            for at in rng.choice(len(own), rng.integers(0, 2 + 2 * base + k % 3), replace=False):
+                own[at] = f"e{rng.integers(6)}"
+            cut = rng.integers(0, 1 + len(own) // 6)
+            rows.append((len(rows), " ".join(own[cut:] + [f"tail{k % 9}"] * int(rng.integers(0, 9)))))
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_join.ngram_components(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    want = brute_components(dict(rows))
+    assert got == want and 3 < len({c for _, c in want.values()}) < len(rows)
+
+
 def test_unskewed_join(spark):
     left = spark.createDataFrame([("hot", k) for k in range(50)] + [("cold", 1), ("gone", 2)], "key string, v int")
     right = spark.createDataFrame([("hot", 50, "x"), ("cold", 1, "y")], "key string, c int, w string")

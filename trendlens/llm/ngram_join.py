@@ -23,6 +23,13 @@ that a token meets, the one with most of its documents is on one side of the joi
 all that it is compared with meet in one stream; a document with many partners
 is copied to several.
 
+A token that many documents outside its largest component hold is not joined on,
+since its pairs would grow with the square of the group. The group is instead
+described by its members' differences from one of them, the center: documents
+close to the center are linked to it, and two others are similar only if their
+differences agree so far that the differences share tokens too (see ``agreeing``).
+Differences are rare where the token was not, so this second prefix join is narrow.
+
 Components come from contracting links round by round: every document joins the
 neighbour with the most links, by a hash of the round among equals, so a star is
 one round and a chain about log(n).
@@ -40,7 +47,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from trendlens.llm import rolling
@@ -54,6 +61,7 @@ STARS = 3  # hash orders of the first round
 FREQUENCY_BITS = 20  # buckets of the frequency table; 4 MB in all
 SKETCH_BITS = 64  # of the smallest sketch
 PARTNERS = 500  # a document is copied once for so many partners
+HOT = 32  # postings of a token outside its largest part that are paired directly
 
 SPACE = np.zeros(256, bool)
 SPACE[[9, 10, 11, 12, 13, 32]] = True
@@ -205,11 +213,21 @@ def postings(docs: DataFrame, frequency) -> DataFrame:
 
 
 def crossing(post: DataFrame) -> DataFrame:
-    """The postings of tokens that several parts share, with ``largest``, the part that holds most of a token's."""
-    by_token = Window.partitionBy("token")
-    post = post.repartition("token").withColumn("held", F.count("*").over(Window.partitionBy("token", "part")))
-    post = post.withColumn("largest", F.max(F.struct("held", "part")).over(by_token)["part"]).withColumn("all", F.count("*").over(by_token))
-    return post.withColumn("most", F.max("held").over(by_token)).where(F.col("most") < F.col("all")).select("token", "doc_id", "n", "part", "kept", "largest")
+    """The postings of tokens that several parts share, with ``largest``, the part that holds most of a token's.
+
+    ``hot`` marks tokens with more than HOT postings outside that part.
+    """
+    held = post.groupBy("token", "part").agg(F.count("*").alias("held"))
+    tokens = held.groupBy("token").agg(F.sum("held").alias("holders"), F.max(F.struct("held", "part")).alias("most")).where("most.held < holders")
+    tokens = stored(tokens.select("token", "holders", F.col("most.part").alias("largest"), (F.col("holders") - F.col("most.held") > HOT).alias("hot")), "ngram-tokens")
+    return unskewed_join(post, tokens, ["token"], "holders", post.count())
+
+
+def ends() -> list[Column]:
+    """The columns (a, b, a_n, b_n) of a pair (x, a_n), (doc_id, b_n), the smaller id first."""
+    swap = F.col("x") > F.col("doc_id")
+    first = lambda p, q: F.when(swap, F.col(q)).otherwise(F.col(p))
+    return [first("x", "doc_id").alias("a"), first("doc_id", "x").alias("b"), first("a_n", "b_n").alias("a_n"), first("b_n", "a_n").alias("b_n")]
 
 
 def near(pairs: DataFrame, rows: DataFrame) -> DataFrame:
@@ -227,12 +245,9 @@ def near(pairs: DataFrame, rows: DataFrame) -> DataFrame:
     return pairs.select("a", "b", "a_n", "b_n", "a_sketch", "b_sketch").mapInPandas(run, "a long, b long").distinct()
 
 
-def linked(pairs: DataFrame, docs: DataFrame, frequency) -> DataFrame:
-    """The pairs (a, b) that are similar: filtered under every order, then compared whole.
-
-    ``a`` and its partners meet sorted, ``a`` first; only its set is held.
-    """
-    pairs = stored(pairs, "ngram-pairs")
+def meetings(pairs: DataFrame, docs: DataFrame) -> DataFrame:
+    """(a, spot, role, doc_id, text): ``a`` (role 0) and its partners b (role 1), to be read in the order of these columns."""
+    pairs = stored(pairs.select("a", "b"), "ngram-pairs")
     groups = pairs.groupBy("a").agg(F.count("*").alias("partners")).withColumn("copies", F.floor(F.col("partners") / PARTNERS) + 1)
     groups = stored(groups, "ngram-heads")
     heads = groups.select(F.col("a").alias("doc_id"), "a", F.explode(F.sequence(F.lit(0).cast("long"), F.col("copies") - 1)).alias("spot"), F.lit(0).alias("role"))
@@ -242,36 +257,51 @@ def linked(pairs: DataFrame, docs: DataFrame, frequency) -> DataFrame:
     wants = stored(wants, "ngram-wants")
     texts = narrowed(docs, "doc_id", wants.select("doc_id").distinct())
     met = texts.join(wants, "doc_id").repartition("a", "spot").sortWithinPartitions("a", "spot", "role")
+    return met.select("a", "spot", "role", "doc_id", "text")
+
+
+def visits(frames: Iterator[pd.DataFrame], prepare) -> Iterator[list[tuple]]:
+    """Per run of texts: (a, partner, the partner's set, what ``prepare`` made of each set of ``a``)."""
+    head, spot, held = None, None, []
+    for frame, texts in batches_of(frames):
+        owner, hashes = shingles(texts)
+        cuts = np.searchsorted(owner, np.arange(len(texts) + 1))
+        out = []
+        for k, (a, s, role, doc) in enumerate(zip(frame["a"].tolist(), frame["spot"].tolist(), frame["role"].tolist(), frame["doc_id"].tolist())):
+            if (a, s) != (head, spot):
+                head, spot, held = a, s, []
+            own = hashes[cuts[k] : cuts[k + 1]]
+            if len(own) and role == 0:
+                held.append(prepare(own))
+            elif len(own):
+                out.append((a, doc, own, list(held)))
+        yield out
+
+
+def linked(pairs: DataFrame, docs: DataFrame, frequency) -> DataFrame:
+    """The pairs (a, b) that are similar: filtered under every order, then compared whole.
+
+    ``a`` and its partners meet sorted, ``a`` first; only its set is held.
+    """
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         table = frequency.value
 
-        def prefixes(h: np.ndarray) -> list[np.ndarray]:
+        def prefixes(h: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
             size = prefix_size(len(h))
-            return [h[np.argpartition(ranked(h, table, k), size - 1)[:size]] for k in range(ORDERS)]
+            return h, [h[np.argpartition(ranked(h, table, k), size - 1)[:size]] for k in range(ORDERS)]
 
-        head, spot, held = None, None, []
-        for frame, texts in batches_of(frames):
-            owner, hashes = shingles(texts)
-            cuts = np.searchsorted(owner, np.arange(len(texts) + 1))
+        for met in visits(frames, prefixes):
             out = []
-            for k, (a, s, role, doc) in enumerate(zip(frame["a"].tolist(), frame["spot"].tolist(), frame["role"].tolist(), frame["doc_id"].tolist())):
-                if (a, s) != (head, spot):
-                    head, spot, held = a, s, []
-                own = hashes[cuts[k] : cuts[k + 1]]
-                if not len(own):
-                    continue
-                if role == 0:
-                    held.append((own, prefixes(own)))
-                    continue
+            for a, doc, own, held in met:
                 first = None
-                for other, heads_ in held:
+                for other, heads in held:
                     small, large = sorted((len(own), len(other)))
                     if 100 * small < PERCENT * large:
                         continue
-                    first = first or prefixes(own)
+                    first = first or prefixes(own)[1]
                     need = overlap_needed(len(own), len(other), max)
-                    if not all(np.isin(x, y).sum() >= need for x, y in zip(first, heads_)):
+                    if not all(np.isin(x, y).sum() >= need for x, y in zip(first, heads)):
                         continue
                     shared = len(np.intersect1d(own, other, assume_unique=True))
                     if similar(shared, len(own), len(other)):
@@ -280,7 +310,62 @@ def linked(pairs: DataFrame, docs: DataFrame, frequency) -> DataFrame:
             if out:
                 yield pd.DataFrame(out, columns=["a", "b"])
 
-    return met.select("a", "spot", "role", "doc_id", "text").mapInPandas(run, "a long, b long")
+    return meetings(pairs, docs).mapInPandas(run, "a long, b long")
+
+
+def differences(pairs: DataFrame, docs: DataFrame, frequency) -> DataFrame:
+    """(center, shape, doc_id, n, m, delta, tokens) for every partner b of a center a.
+
+    ``tokens`` are those of only one of the two sets, the partner's own first, each
+    part by global order; ``shape`` tells apart centers of one doc_id, of m tokens.
+    """
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        table = frequency.value
+
+        def by_rank(h: np.ndarray) -> np.ndarray:
+            return h[np.lexsort((h, ranked(h, table, 0)))]
+
+        for met in visits(frames, lambda h: (h, int(seeded(h, 10).sum().view(np.int64)))):
+            out = []
+            for a, doc, own, held in met:
+                for other, shape in held:
+                    more = np.setdiff1d(own, other, assume_unique=True)
+                    less = np.setdiff1d(other, own, assume_unique=True)
+                    out.append((a, shape, doc, len(own), len(other), len(more) + len(less), np.concatenate([by_rank(more), by_rank(less)]).view(np.int64)))
+            if out:
+                yield pd.DataFrame(out, columns=["center", "shape", "doc_id", "n", "m", "delta", "tokens"])
+
+    return meetings(pairs, docs).mapInPandas(run, "center long, shape long, doc_id long, n long, m long, delta long, tokens array<long>")
+
+
+#: Sets of a and b tokens are similar if (200 - 2 PERCENT) / (100 + PERCENT) of a + b tokens at most are in only one of them.
+CLOSE = f"{100 + PERCENT} * delta <= {100 - PERCENT} * (n + m)"
+
+
+def agreeing(apart: DataFrame, parts: DataFrame) -> DataFrame:
+    """The pairs (a, b, a_n, b_n) of a center's partners, of different parts, that can be similar.
+
+    Let x and y differ from center c by the token sets X and Y. The tokens in only one
+    of x and y number |X| + |Y| - 2 |X and Y|. At Jaccard similarity t that is at most
+    r (|x| + |y|) with r = (1 - t) / (1 + t), so X and Y share at least
+    (|X| + |Y| - r (|x| + |y|)) / 2 tokens. One of x and y is not similar to c, say x:
+    then |X| > r (|x| + |c|) and they share more than (|Y| - r (|y| - |c|)) / 2, so at
+    least one, and one lies among the first |Y| + 1 - that many tokens of Y.
+    """
+    high, low = 100 + PERCENT, 100 - PERCENT
+    rows = apart.join(parts, "doc_id", "left").withColumn("part", F.coalesce("component_id", "doc_id")).drop("component_id")
+    first = F.expr(f"cast(delta - ({high} * delta - {low} * (n - m)) div {2 * high} as int)")
+    rows = rows.withColumn("far", ~F.expr(CLOSE)).where("delta > 0")
+    index = rows.select("center", "shape", "doc_id", F.col("n").alias("b_n"), F.col("delta").alias("b_delta"), "part", "far", F.posexplode(F.slice("tokens", 1, F.greatest(first, F.lit(0)))).alias("at", "token"))
+    probe = rows.where("far").select("center", "shape", F.col("doc_id").alias("x"), F.col("n").alias("a_n"), F.col("delta").alias("a_delta"), F.col("part").alias("x_part"), F.posexplode("tokens").alias("x_at", "token"))
+    share = f"({high} * (a_delta + b_delta) - {low} * (a_n + b_n) + {2 * high - 1}) div {2 * high}"
+    met = index.alias("i").join(
+        probe.alias("p"),
+        (F.col("i.center") == F.col("p.center")) & (F.col("i.shape") == F.col("p.shape")) & (F.col("i.token") == F.col("p.token"))
+        & (F.col("x_part") != F.col("part")) & (~F.col("far") | (F.col("x") < F.col("doc_id"))) & F.expr(FIT) & F.expr(f"least(a_delta - x_at, b_delta - at) >= {share}"),
+    )
+    return met.select(*ends()).distinct()
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -314,6 +399,25 @@ FIT = f"a_n * 100 >= b_n * {PERCENT} AND b_n * 100 >= a_n * {PERCENT}"
 NEED = f"({PERCENT} * (a_n + b_n) + {99 + PERCENT}) div {100 + PERCENT} - greatest(({PERCENT} * a_n + 99) div 100, ({PERCENT} * b_n + 99) div 100) + 1"
 
 
+def together(post: DataFrame) -> DataFrame:
+    """The pairs (a, b, a_n, b_n) of different parts that share enough of the tokens of ``post``."""
+    few = post.where("part <> largest").select(F.col("token").alias("few_token"), F.col("doc_id").alias("x"), F.col("n").alias("a_n"), F.col("part").alias("x_part"), F.col("kept").alias("x_kept"))
+    once = (F.col("part") == F.col("largest")) | (F.col("x") < F.col("doc_id"))
+    pairs = few.join(post.withColumnRenamed("n", "b_n"), (F.col("few_token") == F.col("token")) & (F.col("x_part") != F.col("part")) & once & F.expr(FIT) & (F.least("x_kept", "kept") >= F.expr(NEED)))
+    pairs = pairs.select(*ends()).groupBy("a", "b", "a_n", "b_n").agg(F.count("*").alias("shared"))
+    return pairs.where(F.col("shared") >= F.expr(NEED)).drop("shared")
+
+
+def centers(hot: DataFrame, known: DataFrame) -> DataFrame:
+    """(a, b): every document of a hot token with the one of them that has the most links so far."""
+    degree = known.select(F.explode(F.array("a", "b")).alias("doc_id")).groupBy("doc_id").agg(F.count("*").alias("degree"))
+    held = hot.select("token", "doc_id").join(degree, "doc_id", "left")
+    center = held.groupBy("token").agg(F.max(F.struct(F.coalesce("degree", F.lit(0)).alias("d"), (-F.col("doc_id")).alias("id"))).alias("c"), F.count("*").alias("holders"))
+    center = stored(center.select("token", "holders", (-F.col("c.id")).alias("a")), "ngram-centers")
+    pairs = unskewed_join(hot.select("token", "doc_id"), center, ["token"], "holders", hot.count())
+    return pairs.where("a <> doc_id").select("a", F.col("doc_id").alias("b")).distinct()
+
+
 def find_links(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(summaries, links of the first round and of the join, components) of documents (doc_id, text)."""
     spark = docs.sparkSession
@@ -339,14 +443,14 @@ def find_links(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     post = post.withColumn("many", F.count("*").over(Window.partitionBy("token"))).where("many > 1").drop("many")
     post = post.join(parts, "doc_id", "left").withColumn("part", F.coalesce("component_id", "doc_id")).drop("component_id")
     post = post.withColumn("kept", F.count("*").over(Window.partitionBy("doc_id")))
-    post = stored(crossing(post), "ngram-postings")
-    few = post.where("part <> largest").select(F.col("token").alias("few_token"), F.col("doc_id").alias("x"), F.col("n").alias("a_n"), F.col("part").alias("x_part"), F.col("kept").alias("x_kept"))
-    once = (F.col("part") == F.col("largest")) | (F.col("x") < F.col("doc_id"))
-    pairs = few.join(post.withColumnRenamed("n", "b_n"), (F.col("few_token") == F.col("token")) & (F.col("x_part") != F.col("part")) & once & F.expr(FIT) & (F.least("x_kept", "kept") >= F.expr(NEED)))
-    ends = F.array_sort(F.array(F.struct(F.col("x").alias("id"), F.col("a_n").alias("n")), F.struct(F.col("doc_id").alias("id"), F.col("b_n").alias("n"))))
-    pairs = pairs.select(ends.alias("e")).selectExpr("e[0].id AS a", "e[1].id AS b", "e[0].n AS a_n", "e[1].n AS b_n")
-    pairs = pairs.groupBy("a", "b", "a_n", "b_n").agg(F.count("*").alias("shared"))
-    pairs = pairs.where(F.col("shared") >= F.expr(NEED))
+    post = stored(crossing(stored(post, "ngram-shared")), "ngram-postings")
+    pairs, hot = together(post.where("NOT hot")), post.where("hot")
+    if not hot.isEmpty():
+        apart = stored(differences(centers(hot, known), named, frequency), "ngram-differences")
+        close = apart.where(CLOSE).select(F.col("center").alias("a"), F.col("doc_id").alias("b"))
+        known = stored(known.unionByName(close), "ngram-known")
+        parts = components(known)
+        pairs = pairs.unionByName(agreeing(apart, parts)).distinct()
     found = linked(near(stored(pairs, "ngram-candidates"), full), named, frequency)
     links = stored(known.unionByName(found), "ngram-links")
     return rows, links, components(links)
