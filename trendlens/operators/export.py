@@ -9,49 +9,33 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from trendlens.operators.summaries import COUNTERS, snapshot_rows
 from trendlens.schema import EXPORT_RECORD
 
 RECORD_COLUMNS = [f.name for f in EXPORT_RECORD.fields]
 
 
 def export_records(hot: DataFrame, sample: DataFrame, counters: DataFrame, exported_at: int) -> DataFrame:
-    """P7 + U2 + W1 + W2 + J6: one flat record per hot topic and per sample slot.
+    """P7 of a snapshot given as three frames."""
+    return snapshot_records(snapshot_rows(hot, sample, counters), exported_at)
+
+
+def snapshot_records(rows: DataFrame, exported_at: int) -> DataFrame:
+    """P7 + U2 + W1 + W2 + J6: one flat record per hot topic and per sample slot of a snapshot's typed rows.
 
     Hot topics get ``rank`` 1.. by (count desc, keyword asc); samples keep their
     0-based ``sample_index``. Every record carries the snapshot counters and the
     export time; fields of the other record type are typed nulls.
     """
-    hot_part = hot.select(
-        F.lit("hot_topic").alias("record_type"),
-        "keyword",
-        F.col("approx_count").cast("long").alias("approx_count"),
-        F.row_number().over(Window.orderBy(F.col("approx_count").desc(), F.col("keyword").asc())).cast("int").alias("rank"),
-        F.lit(None).cast("int").alias("sample_index"),
-    )
-    sample_part = sample.select(
-        F.lit("sample").alias("record_type"),
-        "keyword",
-        F.lit(None).cast("long").alias("approx_count"),
-        F.lit(None).cast("int").alias("rank"),
-        F.col("sample_index").cast("int").alias("sample_index"),
-    )
-    consts = counters.select(
-        F.lit(None).cast("string").alias("record_type"),
-        F.col("total_processed").cast("long").alias("_t"),
-        F.col("last_batch_count").cast("long").alias("_b"),
-        F.col("last_update_epoch").cast("long").alias("_u"),
-    )
-    rows = hot_part.unionByName(sample_part).unionByName(consts, allowMissingColumns=True)
+    hot, sample = F.col("kind") == "hot", F.col("kind") == "sample"
     whole = Window.partitionBy()  # ≤ K + N + 1 rows
     return rows.select(
-        "record_type",
+        F.when(hot, "hot_topic").when(sample, "sample").alias("record_type"),
         "keyword",
-        "approx_count",
-        "rank",
-        "sample_index",
-        F.coalesce(F.max("_t").over(whole), F.lit(0)).alias("snapshot_total_processed"),
-        F.coalesce(F.max("_b").over(whole), F.lit(0)).alias("snapshot_last_batch_count"),
-        F.coalesce(F.max("_u").over(whole), F.lit(0)).alias("snapshot_last_update_epoch"),
+        F.col("value").alias("approx_count"),
+        F.when(hot, F.col("at")).alias("rank"),
+        F.when(sample, F.col("at")).alias("sample_index"),
+        *[F.coalesce(F.max(c).over(whole), F.lit(0)).alias(f"snapshot_{c}") for c in COUNTERS],
         F.lit(int(exported_at)).cast("long").alias("snapshot_exported_at"),
     ).where(F.col("record_type").isNotNull())
 

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from trendlens.config import bounded_broadcast
 from trendlens.functions.scalar import freshness_seconds, round6
 from trendlens.operators.evaluate import stitch
+from trendlens.operators.summaries import snapshot_rows
 
 # Keyword -> category map of the topic roll-up, and its default.
 CATEGORY_MAP = {
@@ -52,35 +53,52 @@ def category_dimension(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(list(CATEGORY_MAP.items()), "keyword string, category string")
 
 
-def operational_metrics(hot: DataFrame, sample: DataFrame, counters: DataFrame, as_of: int) -> DataFrame:
-    """K9: concentration (top-1 / sum of counts), sample diversity (distinct / size), freshness."""
-    row = stitch(
-        hot.agg(
-            F.coalesce(F.max("approx_count"), F.lit(0)).cast("long").alias("_top1"),
-            F.coalesce(F.sum("approx_count"), F.lit(0)).cast("long").alias("_sum"),
-        ),
-        sample.agg(
-            F.count(F.lit(1)).cast("long").alias("_size"),
-            F.countDistinct("keyword").cast("long").alias("_distinct"),
-        ),
-        counters.select(F.col("last_update_epoch").alias("_last")),
+def _judged(rows: DataFrame, as_of: int) -> DataFrame:
+    """One row of K9's metrics, the total and the sample size of a snapshot's typed rows, by one aggregate."""
+    hot, sample = F.col("kind") == "hot", F.col("kind") == "sample"
+    row = rows.agg(
+        F.coalesce(F.max(F.when(hot, F.col("value"))), F.lit(0)).alias("_top1"),
+        F.coalesce(F.sum(F.when(hot, F.col("value"))), F.lit(0)).alias("_sum"),
+        F.count_if(sample).alias("_size"),
+        F.size(F.collect_set(F.when(sample, F.col("keyword")))).alias("_distinct"),  # ≤ N
+        F.max("last_update_epoch").alias("_last"),
+        F.max("total_processed").alias("_total"),
     )
     return row.select(
         round6(F.when(F.col("_sum") > 0, F.col("_top1") / F.col("_sum")).otherwise(0.0)).alias("top1_ratio"),
-        round6(F.when(F.col("_size") > 0, F.col("_distinct") / F.col("_size")).otherwise(0.0)).alias(
-            "sample_diversity"
-        ),
+        round6(F.when(F.col("_size") > 0, F.col("_distinct") / F.col("_size")).otherwise(0.0)).alias("sample_diversity"),
         freshness_seconds(F.col("_last"), as_of).alias("data_freshness_seconds"),
+        "_total",
+        "_size",
     )
 
 
+def snapshot_metrics(rows: DataFrame, as_of: int) -> DataFrame:
+    """K9 of a snapshot's typed rows: concentration (top-1 / sum of counts), sample diversity (distinct / size), freshness."""
+    return _judged(rows, as_of).drop("_total", "_size")
+
+
+def snapshot_alerts(rows: DataFrame, as_of: int, refresh_seconds: int = 2) -> DataFrame:
+    """P9 of a snapshot's typed rows: the three alert predicates and ``healthy`` when none fires (0/1 ints)."""
+    return _fired(_judged(rows, as_of), refresh_seconds)
+
+
+def operational_metrics(hot: DataFrame, sample: DataFrame, counters: DataFrame, as_of: int) -> DataFrame:
+    """K9 of a snapshot given as three frames."""
+    return snapshot_metrics(snapshot_rows(hot, sample, counters), as_of)
+
+
 def alerts(metrics: DataFrame, counters: DataFrame, sample: DataFrame, refresh_seconds: int = 2) -> DataFrame:
-    """The three alert predicates and ``healthy`` when none fires (0/1 ints)."""
+    """P9 from K9's row, the counters and the sample."""
     row = stitch(
         metrics.select("top1_ratio", "sample_diversity", "data_freshness_seconds"),
         counters.select(F.col("total_processed").alias("_total")),
         sample.agg(F.count(F.lit(1)).cast("long").alias("_size")),
     )
+    return _fired(row, refresh_seconds)
+
+
+def _fired(row: DataFrame, refresh_seconds: int) -> DataFrame:
     lag = F.col("data_freshness_seconds") >= F.lit(max(FRESHNESS_MIN_SECONDS, refresh_seconds * FRESHNESS_REFRESH_FACTOR))
     hot = (F.col("top1_ratio") >= CONCENTRATION_RATIO) & (F.col("_total") > CONCENTRATION_MIN_TOTAL)
     flat = (F.col("sample_diversity") <= DIVERSITY_RATIO) & (F.col("_size") >= DIVERSITY_MIN_SAMPLES)

@@ -9,10 +9,10 @@ interval spans (≤ V + W/B rows), then a range filter -- never a nested loop.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
-from trendlens.config import BROADCAST_ROW_LIMIT, DEFAULT_SEED
+from trendlens.config import BROADCAST_ROW_LIMIT, DEFAULT_SEED, new_work_dir
 from trendlens.functions.scalar import epoch_millis
 
 # The generator's vocabulary and weights.
@@ -30,6 +30,7 @@ BURST_WORD = "VibeCoding"
 BURST_PERCENT = 90
 
 BUCKET = 64
+BLOCK = 4096  # values of ``ord`` that one window of the prefix sum covers
 
 
 def vocabulary(spark: SparkSession, tail_size: int = TAIL_SIZE) -> DataFrame:
@@ -45,12 +46,36 @@ def vocabulary(spark: SparkSession, tail_size: int = TAIL_SIZE) -> DataFrame:
     return head.unionByName(tail)
 
 
-def with_intervals(vocab: DataFrame) -> DataFrame:
-    """``lo`` = cumulative weight before the entry, ``hi = lo + weight`` (bounded vocabulary)."""
-    w = Window.orderBy("ord").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return vocab.where(F.col("weight") > 0).select(
-        "ord", "keyword", (F.sum("weight").over(w) - F.col("weight")).alias("lo"), F.sum("weight").over(w).alias("hi")
+def with_intervals(vocab: DataFrame, block: int = BLOCK) -> tuple[DataFrame, int, int]:
+    """``(keyword, lo, hi)`` of each entry, with ``lo`` the weight before it and ``hi = lo + weight``; the
+    total weight and the number of entries.
+
+    A prefix sum in two levels: entries are summed up within blocks of ``block``
+    values of ``ord``, each block in its own window, and written with the block's
+    weight, so the vocabulary is evaluated once; a window over the blocks (one row in
+    ``block``) gives the weight before each. Entries without a positive weight have none.
+    """
+    spark = vocab.sparkSession
+    path = new_work_dir(spark, "vocabulary")
+    within = Window.partitionBy("block").orderBy("ord", "keyword").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    summed = vocab.where(F.col("weight") > 0).withColumn("block", F.floor(F.col("ord") / F.lit(block)).cast("long"))
+    summed = summed.select(
+        "block",
+        "keyword",
+        F.col("weight").cast("long").alias("weight"),
+        F.sum("weight").over(within).cast("long").alias("upto"),
+        F.sum("weight").over(Window.partitionBy("block")).cast("long").alias("block_weight"),
     )
+    seen = Observation("vocabulary")
+    summed.observe(seen, F.sum("weight").alias("total"), F.count(F.lit(1)).alias("rows")).write.parquet(path)
+    stored = spark.read.schema(summed.schema).parquet(path)
+    before = Window.orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = stored.where(F.col("upto") == F.col("weight")).select("block", "block_weight")  # the first entry of each
+    blocks = blocks.select("block", F.coalesce(F.sum("block_weight").over(before), F.lit(0)).alias("offset"))
+    hi = F.col("offset") + F.col("upto")
+    intervals = stored.join(blocks, "block").select("keyword", (hi - F.col("weight")).alias("lo"), hi.alias("hi"))
+    found = seen.get
+    return intervals, int(found["total"] or 0), int(found["rows"])
 
 
 def hash_int(seed: str, salt: str, uid: Column) -> Column:
@@ -67,9 +92,7 @@ def assign_keywords(
     bucket: int = BUCKET,
 ) -> DataFrame:
     """G1 + J7: add ``keyword`` drawn with replacement, proportional to weight."""
-    iv = with_intervals(vocab)
-    stats = iv.agg(F.max("hi").alias("total"), F.count(F.lit(1)).alias("rows")).first()
-    total, n_rows = int(stats["total"] or 0), int(stats["rows"])
+    iv, total, n_rows = with_intervals(vocab)
     if total <= 0:
         raise ValueError("vocabulary has no positive weight")
     buckets = iv.select(

@@ -12,11 +12,9 @@ from pyspark.sql import functions as F
 from trendlens.config import DEFAULT_K, DEFAULT_N, DEFAULT_SEED, new_work_dir
 from trendlens.functions.scalar import clean_prefix, stamp_text
 from trendlens.operators import export as xp
-from trendlens.operators import misra_gries as mg
-from trendlens.operators import operations as ops
-from trendlens.operators import reservoir as rs
+from trendlens.operators.summaries import summarise
 from trendlens.plans import sql as S
-from trendlens.plans.operations import _SNAP, search
+from trendlens.plans.operations import _SNAP, snapshot
 from trendlens.plans.registry import register
 from trendlens.sinks.dataset import write_dataset
 from trendlens.sources.dataset import load_dataset, load_latest, load_meta
@@ -45,10 +43,7 @@ _RECORDS = S.with_(*_SNAP, "rec AS (" + _records_sql("mg", "r", "cnt", EXPORTED_
 
 
 def search_records(spark: SparkSession, sf_dir: str, exported_at: int = EXPORTED_AT) -> DataFrame:
-    stream = search(spark, sf_dir)
-    hot = mg.misra_gries(stream, K)
-    sample = rs.reservoir_sample(stream, N, "uid", SEED)
-    return xp.export_records(hot, sample, ops.batch_counters(stream), exported_at)
+    return xp.snapshot_records(snapshot(spark, sf_dir), exported_at)
 
 
 _EXPORTS: dict[tuple, tuple] = {}
@@ -97,9 +92,7 @@ def q_dataset_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Of two exports (event types earlier, search stream later) the loader picks the newest."""
     root = new_work_dir(spark, "export")
     ev = event_type_stream(read_table(spark, sf_dir, "events"))
-    earlier = xp.export_records(
-        mg.misra_gries(ev, K), rs.reservoir_sample(ev, N, "uid", SEED), ops.batch_counters(ev), EXPORTED_AT_EARLIER
-    )
+    earlier = xp.snapshot_records(summarise(ev, K, N, "uid", SEED), EXPORTED_AT_EARLIER)
     write_dataset(earlier, root, PREFIX, EXPORTED_AT_EARLIER)
     write_dataset(search_records(spark, sf_dir), root, PREFIX, EXPORTED_AT)
     return load_latest(spark, root)

@@ -15,6 +15,7 @@ from trendlens.operators import operations as ops
 from trendlens.operators import reservoir as rs
 from trendlens.operators import synth
 from trendlens.operators.operations import CATEGORY_MAP, DEFAULT_CATEGORY
+from trendlens.operators.summaries import summarise
 from trendlens.plans import sql as S
 from trendlens.plans.registry import register
 from trendlens.sources.keywords import parse_keywords, read_table
@@ -134,16 +135,15 @@ _OPS_SQL = [
 ]
 
 
-def _snapshot(spark: SparkSession, sf_dir: str):
-    stream = search(spark, sf_dir)
-    return mg.misra_gries(stream, K), rs.reservoir_sample(stream, N, "uid", SEED), ops.batch_counters(stream)
+def snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The search stream's snapshot as typed rows, from one scan of the events."""
+    return summarise(search(spark, sf_dir), K, N, "uid", SEED)
 
 
 @register("operational_metrics", S.with_(*_OPS_SQL) + "SELECT * FROM om")
 def q_operational_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K9: concentration, sample diversity and freshness of the search-stream snapshot."""
-    hot, sample, counters = _snapshot(spark, sf_dir)
-    return ops.operational_metrics(hot, sample, counters, AS_OF)
+    return ops.snapshot_metrics(snapshot(spark, sf_dir), AS_OF)
 
 
 @register(
@@ -159,9 +159,7 @@ FROM om""",
 )
 def q_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Freshness, concentration and diversity alerts of the search-stream snapshot."""
-    hot, sample, counters = _snapshot(spark, sf_dir)
-    metrics = ops.operational_metrics(hot, sample, counters, AS_OF)
-    return ops.alerts(metrics, counters, sample, REFRESH_SECONDS)
+    return ops.snapshot_alerts(snapshot(spark, sf_dir), AS_OF, REFRESH_SECONDS)
 
 
 @register(
@@ -182,11 +180,7 @@ def q_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_burst_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K9 on burst traffic only: concentration rises and diversity falls."""
     bursts = phased_bursts(spark, sf_dir).where(F.col("phase").isin(*BURST_PHASES))
-    hot = mg.misra_gries(bursts, K)
-    sample = rs.reservoir_sample(bursts, N, "uid", SEED)
-    return ops.operational_metrics(hot, sample, ops.batch_counters(bursts), AS_OF).select(
-        "top1_ratio", "sample_diversity"
-    )
+    return ops.snapshot_metrics(summarise(bursts, K, N, "uid", SEED), AS_OF).select("top1_ratio", "sample_diversity")
 
 
 def _search_eval_sql() -> str:
