@@ -9,6 +9,8 @@ interval spans (≤ V + W/B rows), then a range filter -- never a nested loop.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -84,31 +86,43 @@ def hash_int(seed: str, salt: str, uid: Column) -> Column:
     return F.conv(F.substring(h, 1, 13), 16, 10).cast("long")
 
 
+@dataclass(frozen=True)
+class Lookup:
+    """A vocabulary made ready for draws: ``(_b, keyword, lo, hi)`` for each bucket ``_b`` that an
+    interval touches, stored; any number of streams may draw from it."""
+
+    buckets: DataFrame
+    total: int
+    rows: int  # at most so many
+    bucket: int
+
+
+def lookup(vocab: DataFrame, bucket: int = BUCKET) -> Lookup:
+    """Intervals of a vocabulary by bucket, written to the shared folder."""
+    intervals, total, n_rows = with_intervals(vocab)
+    if total <= 0:
+        raise ValueError("vocabulary has no positive weight")
+    first, last = (F.floor(x / F.lit(bucket)).cast("long") for x in (F.col("lo"), F.col("hi") - 1))
+    buckets = intervals.select(F.explode(F.sequence(first, last)).alias("_b"), "keyword", "lo", "hi")
+    path = new_work_dir(vocab.sparkSession, "lookup")
+    buckets.write.parquet(path)
+    return Lookup(vocab.sparkSession.read.schema(buckets.schema).parquet(path), total, n_rows + total // bucket + 1, bucket)
+
+
 def assign_keywords(
     rows: DataFrame,
-    vocab: DataFrame,
+    vocab: DataFrame | Lookup,
     uid_col: str = "uid",
     seed: str = DEFAULT_SEED,
     bucket: int = BUCKET,
 ) -> DataFrame:
     """G1 + J7: add ``keyword`` drawn with replacement, proportional to weight."""
-    iv, total, n_rows = with_intervals(vocab)
-    if total <= 0:
-        raise ValueError("vocabulary has no positive weight")
-    buckets = iv.select(
-        "keyword",
-        "lo",
-        "hi",
-        F.explode(
-            F.sequence(F.floor(F.col("lo") / F.lit(bucket)).cast("long"), F.floor((F.col("hi") - 1) / F.lit(bucket)).cast("long"))
-        ).alias("_b"),
-    )
+    ready = vocab if isinstance(vocab, Lookup) else lookup(vocab, bucket)
     # Expanded size ≤ vocabulary rows + total/bucket: checked before the broadcast hint.
-    expanded_rows = n_rows + total // bucket + 1
-    lookup = F.broadcast(buckets) if expanded_rows <= BROADCAST_ROW_LIMIT else buckets
-    drawn = rows.withColumn("_draw", F.pmod(hash_int(seed, "draw", F.col(uid_col)), F.lit(total)))
-    drawn = drawn.withColumn("_b", F.floor(F.col("_draw") / F.lit(bucket)).cast("long"))
-    joined = drawn.join(lookup, "_b").where((F.col("_draw") >= F.col("lo")) & (F.col("_draw") < F.col("hi")))
+    side = F.broadcast(ready.buckets) if ready.rows <= BROADCAST_ROW_LIMIT else ready.buckets
+    drawn = rows.withColumn("_draw", F.pmod(hash_int(seed, "draw", F.col(uid_col)), F.lit(ready.total)))
+    drawn = drawn.withColumn("_b", F.floor(F.col("_draw") / F.lit(ready.bucket)).cast("long"))
+    joined = drawn.join(side, "_b").where((F.col("_draw") >= F.col("lo")) & (F.col("_draw") < F.col("hi")))
     return joined.drop("_b", "_draw", "lo", "hi")
 
 
@@ -125,7 +139,7 @@ def burst_mixture(
     return rows.withColumn("keyword", F.when(active & hit, F.lit(target)).otherwise(F.col("keyword")))
 
 
-def search_stream(events: DataFrame, vocab: DataFrame, seed: str = DEFAULT_SEED) -> DataFrame:
+def search_stream(events: DataFrame, vocab: DataFrame | Lookup, seed: str = DEFAULT_SEED) -> DataFrame:
     """One search message per event: ``(keyword, timestamp, uid)`` with uid = event_id."""
     rows = events.select(
         F.col("event_id").cast("string").alias("uid"),
@@ -144,7 +158,7 @@ def to_payload(stream: DataFrame, with_uid: bool = True) -> DataFrame:
 def rate_stream(
     spark: SparkSession,
     rows_per_batch: int,
-    vocab: DataFrame | None = None,
+    vocab: DataFrame | Lookup | None = None,
     seed: str = DEFAULT_SEED,
     burst_target: str | None = None,
     percent: int = BURST_PERCENT,

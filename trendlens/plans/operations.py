@@ -31,8 +31,19 @@ PHASE_SIZES = [1500, 1500, 5000, 5000, 1500, 1500, 1500, 1500]
 BURST_PHASES = (2, 3)
 
 
+_WORDS: dict[str, synth.Lookup] = {}
+
+
+def words(spark: SparkSession) -> synth.Lookup:
+    """The default vocabulary, made ready once a session: it follows from a rule, not from any file."""
+    app = spark.sparkContext.applicationId
+    if app not in _WORDS:
+        _WORDS[app] = synth.lookup(synth.vocabulary(spark))
+    return _WORDS[app]
+
+
 def search(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return synth.search_stream(read_table(spark, sf_dir, "events"), synth.vocabulary(spark), SEED)
+    return synth.search_stream(read_table(spark, sf_dir, "events"), words(spark), SEED)
 
 
 def with_phase(stream: DataFrame, lo_id: int, hi_id: int) -> DataFrame:
@@ -51,7 +62,7 @@ def phased_bursts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Search stream with phases; 90 % of burst-phase messages become the burst word."""
     events = read_table(spark, sf_dir, "events")
     ids = events.agg(F.min("event_id").alias("lo"), F.max("event_id").alias("hi")).first()
-    stream = with_phase(synth.search_stream(events, synth.vocabulary(spark), SEED), int(ids["lo"]), int(ids["hi"]))
+    stream = with_phase(synth.search_stream(events, words(spark), SEED), int(ids["lo"]), int(ids["hi"]))
     return synth.burst_mixture(stream, F.col("phase").isin(*BURST_PHASES), synth.BURST_WORD, synth.BURST_PERCENT, "uid", SEED)
 
 
