@@ -1,6 +1,9 @@
 """Nulls, empty and long texts, ties, repeated rows, empty tables and extra columns, for every operator and stage."""
 
+import base64
 import hashlib
+import random
+import tempfile
 import zlib
 
 import numpy as np
@@ -141,7 +144,6 @@ def test_token_files(spark, docs, none, tmp_path):
 
 def test_token_chunks_give_the_librarys_ids():
     """Chunk by chunk and many chunks to a string, odd texts get the ids of the library's plain call."""
-    import random
 
     from tokenizers import Tokenizer
 
@@ -248,6 +250,46 @@ def test_training_sample_has_one_text_an_id(spark):
     assert len({r.text for r in got}) == len(got) <= len(learned) and got
 
 
+def test_bpe_pieces_contract_as_the_library_does():
+    """Pieces with repeated, touching and nested pairs, with ranks below their parts', and very long ones."""
+    import tiktoken
+
+    path, rng = vocabulary("byte_bpe_50k.tiktoken"), random.Random(8)
+    with open(path, "rb") as f:
+        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
+    library = tiktoken.Encoding("plain", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    texts = ["", "a", "aaaa" * 9, " \n\n x", "abab" * 5_000, "a" * 20_001, "".join(rng.choice("etaoinsr") for _ in range(3_000))]
+    texts += ["".join(rng.choice(letters) for _ in range(rng.randrange(1, 60))) for letters in ("ab", "ingthera", "é日a😀", "abcdefghijklmnopqrstuvwxyz") for _ in range(300)]
+    coder = bpe.Bpe(path, public_tokenizers.PATTERN)
+    got = [r for part in coder.encode(texts) for r in part]
+    assert [np.frombuffer(r, "<u4").tolist() for r in got] == [library.encode_ordinary(t) for t in texts]
+    assert coder.decode(got) == [t.encode() for t in texts]
+    assert coder.con.execute("SELECT count(*) FROM duckdb_temporary_files()").fetchone()[0] == 0
+
+
+def test_bpe_contracts_alike_however_the_rounds_are_cut(monkeypatch):
+    """A vocabulary in which a merged pair makes a pair of lower rank, one round a query and many."""
+    tokens = [bytes([b]) for b in range(256)] + [b"bcb", b"cb", b"aaa", b"aa", b"abc", b"bc", b"bcbc", b"ab", b"ca"]
+    ranks = {t: r for r, t in enumerate(tokens)}
+
+    def one_at_a_time(piece: bytes) -> list[int]:
+        parts = [piece[k : k + 1] for k in range(len(piece))]
+        while pairs := [(ranks[x + y], k) for k, (x, y) in enumerate(zip(parts, parts[1:])) if x + y in ranks]:
+            _, k = min(pairs)
+            parts[k : k + 2] = [parts[k] + parts[k + 1]]
+        return [ranks[x] for x in parts]
+
+    rng = random.Random(3)
+    pieces = sorted({bytes(rng.choice(b"abc") for _ in range(rng.randrange(1, 40))) for _ in range(1_500)})
+    want = [[ranks[p]] if p in ranks else one_at_a_time(p) for p in pieces]
+    with tempfile.NamedTemporaryFile("w", suffix=".tiktoken") as f:
+        f.writelines(f"{base64.b64encode(t).decode()} {r}\n" for t, r in ranks.items())
+        f.flush()
+        for rounds in (1, 3, 48):
+            monkeypatch.setattr(bpe, "ROUNDS", rounds)
+            assert bpe.Bpe(f.name, ".+")._contract(pieces) == want
+
+
 def test_byte_bpe(docs, none):
     args = vocabulary("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
     coded = bpe.encode(docs, *args)
