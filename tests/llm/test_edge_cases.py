@@ -299,6 +299,17 @@ def test_byte_bpe(docs, none):
     assert bpe.round_trip(none, *args).count() == 0
 
 
+def test_large_ids_beside_null(spark):
+    """Ids that a double can't hold, in one batch with a null id."""
+    rows = [(2**60 + 1, "one two three"), (None, "four"), (2**53 + 1, None), (-(2**62) - 1, "five six")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    args = vocabulary("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
+    ids = sorted(str(i) for i, _ in rows)
+    coded = bpe.encode(df, *args)
+    for got in (coded, bpe.decode(coded.coalesce(1), *args), bpe.round_trip(df, *args), ngram_join.ngram_components(df)):
+        assert sorted(str(r.doc_id) for r in got.collect()) == ids
+
+
 def test_fingerprints(docs, none):
     got = fingerprints.compare_edits(docs, 4).collect()
     assert len(got) == len(TEXTS) and all(0 <= r.near_edited <= 1 and 0 <= r.near_next <= 1 for r in got)
@@ -366,6 +377,14 @@ def test_hot_tokens(spark, monkeypatch, hot):
     assert got == want and 3 < len({c for _, c in want.values()}) < len(rows)
 
 
+def test_meetings_on_shared_tokens(spark):
+    """Of documents that share a few tokens, only pairs that can share enough (10 of 100 here) become candidates."""
+    rows = [(t, d) for t in range(5) for d in range(80)] + [(1000 + 20 * d + j, d + k) for d in range(0, 80, 20) for k in range(2) for j in range(6)]
+    post = spark.createDataFrame([(t, d, 100, d) for t, d in rows], "token long, doc_id long, n long, part long")
+    pairs = ngram_join.together(ngram_join.crossing(post))
+    assert sorted((r.a, r.b) for r in pairs.collect()) == [(d, d + 1) for d in range(0, 80, 20)]
+
+
 def test_unskewed_join(spark):
     left = spark.createDataFrame([("hot", k) for k in range(50)] + [("cold", 1), ("gone", 2)], "key string, v int")
     right = spark.createDataFrame([("hot", 50, "x"), ("cold", 1, "y")], "key string, c int, w string")

@@ -23,12 +23,12 @@ that a token meets, the one with most of its documents is on one side of the joi
 all that it is compared with meet in one stream; a document with many partners
 is copied to several.
 
-A token that many documents outside its largest component hold is not joined on,
-since its pairs would grow with the square of the group. The group is instead
-described by its members' differences from one of them, the center: documents
-close to the center are linked to it, and two others are similar only if their
-differences agree so far that the differences share tokens too (see ``agreeing``).
-Differences are rare where the token was not, so this second prefix join is narrow.
+Within the tokens that several components hold, a document's come in a second
+global order: those that many documents outside their largest component hold come
+last. Two documents that share as many as similar ones do share the first of them
+with all the others still to follow in both, so only meetings with enough tokens
+left make a candidate. A token that a large group holds is among a document's last,
+where too few are left, so its holders rarely meet there.
 
 Components come from contracting links round by round: every document joins the
 neighbour with the most links, by a hash of the round among equals, so a star is
@@ -61,7 +61,7 @@ STARS = 3  # hash orders of the first round
 FREQUENCY_BITS = 20  # buckets of the frequency table; 4 MB in all
 SKETCH_BITS = 64  # of the smallest sketch
 PARTNERS = 500  # a document is copied once for so many partners
-HOT = 32  # postings of a token outside its largest part that are paired directly
+HOT = 0  # postings outside its largest part from which a token comes the later, the more it has
 
 SPACE = np.zeros(256, bool)
 SPACE[[9, 10, 11, 12, 13, 32]] = True
@@ -162,7 +162,7 @@ def summaries(docs: DataFrame) -> tuple[DataFrame, np.ndarray]:
             n = np.bincount(owner, minlength=len(texts)).astype(np.int64)
             full = np.flatnonzero(n)
             at = (np.cumsum(n) - n)[full]
-            out = pd.DataFrame({"doc_id": frame["doc_id"].values, "n": n})
+            out = pd.DataFrame({"doc_id": frame["doc_id"].astype("Int64").mask(frame["none"]).values, "n": n})
             for k, name in enumerate(("digest_a", "digest_b")):
                 sums = np.zeros(len(texts), np.uint64)
                 if len(full):
@@ -179,7 +179,9 @@ def summaries(docs: DataFrame) -> tuple[DataFrame, np.ndarray]:
             yield part.assign(doc_id=pd.array([None] * len(part), "Int64"), n=0, digest_a=0, digest_b=0, **{f"least_{k}": 0 for k in range(STARS)}, sketch=None)[[*ROW, "sketch", "chunk", "body"]]
 
     schema = ", ".join(f"{c} long" for c in ROW) + ", sketch binary, chunk int, body binary"
-    rows = stored(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInPandas(run, schema), "ngram-summaries")
+    # without nulls, beside which pandas would hold ids as floats and round the large ones
+    whole = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(0)).alias("doc_id"), F.col("doc_id").cast("long").isNull().alias("none"), "text")
+    rows = stored(whole.mapInPandas(run, schema), "ngram-summaries")
     frequency = fold(rows.where("chunk >= 0"), "u4", np.add)
     return rows.where("chunk < 0").drop("chunk", "body"), frequency if len(frequency) else np.zeros(1 << FREQUENCY_BITS, np.uint32)
 
@@ -215,12 +217,15 @@ def postings(docs: DataFrame, frequency) -> DataFrame:
 def crossing(post: DataFrame) -> DataFrame:
     """The postings of tokens that several parts share, with ``largest``, the part that holds most of a token's.
 
-    ``hot`` marks tokens with more than HOT postings outside that part.
+    ``rest`` numbers a document's tokens from the last: those with the most postings
+    outside their largest part come last, so it is how many follow, this one included.
     """
     held = post.groupBy("token", "part").agg(F.count("*").alias("held"))
     tokens = held.groupBy("token").agg(F.sum("held").alias("holders"), F.max(F.struct("held", "part")).alias("most")).where("most.held < holders")
-    tokens = stored(tokens.select("token", "holders", F.col("most.part").alias("largest"), (F.col("holders") - F.col("most.held") > HOT).alias("hot")), "ngram-tokens")
-    return unskewed_join(post, tokens, ["token"], "holders", post.count())
+    tokens = stored(tokens.select("token", "holders", F.col("most.part").alias("largest"), (F.col("holders") - F.col("most.held")).alias("outside")), "ngram-tokens")
+    shared = unskewed_join(post, tokens, ["token"], "holders", post.count())
+    last = Window.partitionBy("doc_id", "n").orderBy(F.greatest("outside", F.lit(HOT)).desc(), "token")
+    return shared.select("token", "doc_id", "n", "part", "largest", F.row_number().over(last).alias("rest"))
 
 
 def ends() -> list[Column]:
@@ -313,61 +318,6 @@ def linked(pairs: DataFrame, docs: DataFrame, frequency) -> DataFrame:
     return meetings(pairs, docs).mapInPandas(run, "a long, b long")
 
 
-def differences(pairs: DataFrame, docs: DataFrame, frequency) -> DataFrame:
-    """(center, shape, doc_id, n, m, delta, tokens) for every partner b of a center a.
-
-    ``tokens`` are those of only one of the two sets, the partner's own first, each
-    part by global order; ``shape`` tells apart centers of one doc_id, of m tokens.
-    """
-
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        table = frequency.value
-
-        def by_rank(h: np.ndarray) -> np.ndarray:
-            return h[np.lexsort((h, ranked(h, table, 0)))]
-
-        for met in visits(frames, lambda h: (h, int(seeded(h, 10).sum().view(np.int64)))):
-            out = []
-            for a, doc, own, held in met:
-                for other, shape in held:
-                    more = np.setdiff1d(own, other, assume_unique=True)
-                    less = np.setdiff1d(other, own, assume_unique=True)
-                    out.append((a, shape, doc, len(own), len(other), len(more) + len(less), np.concatenate([by_rank(more), by_rank(less)]).view(np.int64)))
-            if out:
-                yield pd.DataFrame(out, columns=["center", "shape", "doc_id", "n", "m", "delta", "tokens"])
-
-    return meetings(pairs, docs).mapInPandas(run, "center long, shape long, doc_id long, n long, m long, delta long, tokens array<long>")
-
-
-#: Sets of a and b tokens are similar if (200 - 2 PERCENT) / (100 + PERCENT) of a + b tokens at most are in only one of them.
-CLOSE = f"{100 + PERCENT} * delta <= {100 - PERCENT} * (n + m)"
-
-
-def agreeing(apart: DataFrame, parts: DataFrame) -> DataFrame:
-    """The pairs (a, b, a_n, b_n) of a center's partners, of different parts, that can be similar.
-
-    Let x and y differ from center c by the token sets X and Y. The tokens in only one
-    of x and y number |X| + |Y| - 2 |X and Y|. At Jaccard similarity t that is at most
-    r (|x| + |y|) with r = (1 - t) / (1 + t), so X and Y share at least
-    (|X| + |Y| - r (|x| + |y|)) / 2 tokens. One of x and y is not similar to c, say x:
-    then |X| > r (|x| + |c|) and they share more than (|Y| - r (|y| - |c|)) / 2, so at
-    least one, and one lies among the first |Y| + 1 - that many tokens of Y.
-    """
-    high, low = 100 + PERCENT, 100 - PERCENT
-    rows = apart.join(parts, "doc_id", "left").withColumn("part", F.coalesce("component_id", "doc_id")).drop("component_id")
-    first = F.expr(f"cast(delta - ({high} * delta - {low} * (n - m)) div {2 * high} as int)")
-    rows = rows.withColumn("far", ~F.expr(CLOSE)).where("delta > 0")
-    index = rows.select("center", "shape", "doc_id", F.col("n").alias("b_n"), F.col("delta").alias("b_delta"), "part", "far", F.posexplode(F.slice("tokens", 1, F.greatest(first, F.lit(0)))).alias("at", "token"))
-    probe = rows.where("far").select("center", "shape", F.col("doc_id").alias("x"), F.col("n").alias("a_n"), F.col("delta").alias("a_delta"), F.col("part").alias("x_part"), F.posexplode("tokens").alias("x_at", "token"))
-    share = f"({high} * (a_delta + b_delta) - {low} * (a_n + b_n) + {2 * high - 1}) div {2 * high}"
-    met = index.alias("i").join(
-        probe.alias("p"),
-        (F.col("i.center") == F.col("p.center")) & (F.col("i.shape") == F.col("p.shape")) & (F.col("i.token") == F.col("p.token"))
-        & (F.col("x_part") != F.col("part")) & (~F.col("far") | (F.col("x") < F.col("doc_id"))) & F.expr(FIT) & F.expr(f"least(a_delta - x_at, b_delta - at) >= {share}"),
-    )
-    return met.select(*ends()).distinct()
-
-
 def components(links: DataFrame) -> DataFrame:
     """(doc_id, component_id): of every linked document the least doc_id that links reach."""
     edges = stored(links.where("a <> b").distinct(), "links")
@@ -400,22 +350,16 @@ NEED = f"({PERCENT} * (a_n + b_n) + {99 + PERCENT}) div {100 + PERCENT} - greate
 
 
 def together(post: DataFrame) -> DataFrame:
-    """The pairs (a, b, a_n, b_n) of different parts that share enough of the tokens of ``post``."""
-    few = post.where("part <> largest").select(F.col("token").alias("few_token"), F.col("doc_id").alias("x"), F.col("n").alias("a_n"), F.col("part").alias("x_part"), F.col("kept").alias("x_kept"))
-    once = (F.col("part") == F.col("largest")) | (F.col("x") < F.col("doc_id"))
-    pairs = few.join(post.withColumnRenamed("n", "b_n"), (F.col("few_token") == F.col("token")) & (F.col("x_part") != F.col("part")) & once & F.expr(FIT) & (F.least("x_kept", "kept") >= F.expr(NEED)))
-    pairs = pairs.select(*ends()).groupBy("a", "b", "a_n", "b_n").agg(F.count("*").alias("shared"))
-    return pairs.where(F.col("shared") >= F.expr(NEED)).drop("shared")
-
+    """The pairs (a, b, a_n, b_n) of different parts that can share enough of the tokens of ``post``.
 
-def centers(hot: DataFrame, known: DataFrame) -> DataFrame:
-    """(a, b): every document of a hot token with the one of them that has the most links so far."""
-    degree = known.select(F.explode(F.array("a", "b")).alias("doc_id")).groupBy("doc_id").agg(F.count("*").alias("degree"))
-    held = hot.select("token", "doc_id").join(degree, "doc_id", "left")
-    center = held.groupBy("token").agg(F.max(F.struct(F.coalesce("degree", F.lit(0)).alias("d"), (-F.col("doc_id")).alias("id"))).alias("c"), F.count("*").alias("holders"))
-    center = stored(center.select("token", "holders", (-F.col("c.id")).alias("a")), "ngram-centers")
-    pairs = unskewed_join(hot.select("token", "doc_id"), center, ["token"], "holders", hot.count())
-    return pairs.where("a <> doc_id").select("a", F.col("doc_id").alias("b")).distinct()
+    Of the tokens that two documents share, the first in the common order has all the
+    others after it in both. So a pair that shares enough meets there with enough
+    tokens to go, and other meetings are left out.
+    """
+    few = post.where("part <> largest").select(F.col("token").alias("few_token"), F.col("doc_id").alias("x"), F.col("n").alias("a_n"), F.col("part").alias("x_part"), F.col("rest").alias("x_rest"))
+    once = (F.col("part") == F.col("largest")) | (F.col("x") < F.col("doc_id"))
+    pairs = few.join(post.withColumnRenamed("n", "b_n"), (F.col("few_token") == F.col("token")) & (F.col("x_part") != F.col("part")) & once & F.expr(FIT) & (F.least("x_rest", "rest") >= F.expr(NEED)))
+    return pairs.select(*ends()).distinct()
 
 
 def find_links(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -442,16 +386,8 @@ def find_links(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     post = postings(named, frequency).repartition("token").dropDuplicates()
     post = post.withColumn("many", F.count("*").over(Window.partitionBy("token"))).where("many > 1").drop("many")
     post = post.join(parts, "doc_id", "left").withColumn("part", F.coalesce("component_id", "doc_id")).drop("component_id")
-    post = post.withColumn("kept", F.count("*").over(Window.partitionBy("doc_id")))
     post = stored(crossing(stored(post, "ngram-shared")), "ngram-postings")
-    pairs, hot = together(post.where("NOT hot")), post.where("hot")
-    if not hot.isEmpty():
-        apart = stored(differences(centers(hot, known), named, frequency), "ngram-differences")
-        close = apart.where(CLOSE).select(F.col("center").alias("a"), F.col("doc_id").alias("b"))
-        known = stored(known.unionByName(close), "ngram-known")
-        parts = components(known)
-        pairs = pairs.unionByName(agreeing(apart, parts)).distinct()
-    found = linked(near(stored(pairs, "ngram-candidates"), full), named, frequency)
+    found = linked(near(stored(together(post), "ngram-candidates"), full), named, frequency)
     links = stored(known.unionByName(found), "ngram-links")
     return rows, links, components(links)
 
