@@ -100,3 +100,12 @@ def test_latest_export_is_found_by_name(spark, tmp_path):
     assert load_latest(spark, root).first()["keyword"] == "a"
     (tmp_path / "exports" / "hot_20240102_000000.jsonl" / "_SUCCESS").touch()
     assert latest_export(spark, root).endswith("hot_20240102_000000.jsonl")
+
+
+def test_messages_are_parsed_once(spark):
+    """Admission filters the parsed keyword; it must not parse the message again below."""
+    raw = spark.createDataFrame([('{"keyword": "a", "uid": "1"}',), ('{"keyword": ""}',), ("[]",), (None,)], "value string")
+    rows = parse_keywords(raw)
+    assert [tuple(r) for r in rows.collect()] == [("a", None, "1")]
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json") == 1

@@ -35,16 +35,10 @@ def parse_keywords(raw: DataFrame, value_col: str = "value", uid: Column | None
     are dropped. ``uid`` (one id per occurrence) defaults to the payload's ``uid``
     field; the Kafka source passes ``topic:partition:offset`` instead.
     """
-    parsed = raw.select(
-        F.from_json(F.col(value_col).cast("string"), KEYWORD_PAYLOAD).alias("d"),
-        *([uid.alias("_uid")] if uid is not None else []),
-    )
-    uid_col = F.col("_uid") if uid is not None else F.col("d.uid")
-    flat = parsed.select(
-        F.col("d.keyword").alias("keyword"),
-        F.col("d.timestamp").alias("timestamp"),
-        uid_col.alias("uid"),
-    )
+    # generated columns: the admission filter runs on them and doesn't parse the message again below
+    parsed = F.inline(F.array(F.from_json(F.col(value_col).cast("string"), KEYWORD_PAYLOAD)))
+    flat = raw.select(parsed, *([uid.alias("_uid")] if uid is not None else []))
+    flat = flat.select("keyword", "timestamp", F.col("_uid" if uid is not None else "uid").alias("uid"))
     return admit_keywords(flat)
 
 

@@ -8,8 +8,8 @@ Per epoch e, in the reference's order -- config, reset, rows, counters, publish:
    keeps the K largest counters, counts unchanged; N changes how many slots are
    shown), then reset if its token is new (sketches, exact counts and counters
    cleared; k, n kept);
-3. one write folds the batch into keyword counts and the reservoir; its size and
-   number of keywords are observed on the way. One aggregate by keyword brings
+3. one write folds the batch into keyword counts and the reservoir, each in a pass
+   of its own over the source; its size is observed on the way. One aggregate by keyword brings
    together those counts, the MG counters and -- if enabled -- the exact counts
    of the batch's keywords, and gives the sketch state;
 4. from that bounded state one write publishes the snapshot (one table: hot
@@ -44,7 +44,6 @@ import time
 from collections.abc import Callable
 from dataclasses import astuple, dataclass, fields, replace
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
@@ -285,28 +284,26 @@ class EpochFold:
             )
             changed = True
 
-        # 3. the batch: its counts and the reservoir after it, from one pass over the source.
+        # 3. the batch: its counts and the reservoir after it.
         # A message without an occurrence id (a plain {"keyword", "timestamp"}
         # payload) gets "e<epoch>:<row id>": unique across epochs, and the same when
         # the epoch is replayed over the same input splits.
         uid = F.col("uid").cast("string") if "uid" in batch.columns else F.lit(None).cast("string")
         fallback = F.concat(F.lit(f"e{e}:"), F.monotonically_increasing_id().cast("string"))
-        rows = batch.select("keyword", F.coalesce(uid, fallback).alias("uid")).persist(StorageLevel.MEMORY_AND_DISK)
+        # The rows aren't kept between the passes: a large batch is cheaper parsed twice than held.
+        rows = batch.select("keyword", F.coalesce(uid, fallback).alias("uid"))
         meta = replace(meta, epoch=e, batch_count=0)
-        try:
-            if rows.isEmpty():  # an observation of no rows at all may never arrive
-                self._empty_epoch(meta, mg_state, slots, tracked, changed, reset)
-                return
-            seen = Observation()
-            counts = rows.observe(seen, F.count(F.lit(1)).alias("rows")).groupBy("keyword").agg(F.count(F.lit(1)).alias("n"))
-            none = F.lit(None)
-            counts = counts.select("keyword", "n", none.cast("string").alias("priority"), none.cast("string").alias("uid"), F.lit("count").alias("kind"))
-            new_slots = slot_rows(rs.reservoir_update(slots, rows, "uid", self.seed, self.slots_kept(meta.n)))
-            new_slots = new_slots.select("keyword", none.cast("long").alias("n"), "priority", "uid", "kind")
-            counts.unionByName(new_slots).write.mode("overwrite").partitionBy("kind").parquet(store.epoch_path("state/batch", e))
-            batch_count = int(seen.get["rows"])
-        finally:
-            rows.unpersist()
+        if rows.isEmpty():  # an observation of no rows at all may never arrive
+            self._empty_epoch(meta, mg_state, slots, tracked, changed, reset)
+            return
+        seen = Observation()
+        counts = rows.observe(seen, F.count(F.lit(1)).alias("rows")).groupBy("keyword").agg(F.count(F.lit(1)).alias("n"))
+        none = F.lit(None)
+        counts = counts.select("keyword", "n", none.cast("string").alias("priority"), none.cast("string").alias("uid"), F.lit("count").alias("kind"))
+        new_slots = slot_rows(rs.reservoir_update(slots, rows, "uid", self.seed, self.slots_kept(meta.n)))
+        new_slots = new_slots.select("keyword", none.cast("long").alias("n"), "priority", "uid", "kind")
+        counts.unionByName(new_slots).write.mode("overwrite").partitionBy("kind").parquet(store.epoch_path("state/batch", e))
+        batch_count = int(seen.get["rows"])
         meta = replace(meta, batch_count=batch_count)
         exact = self.keeps_exact(meta)
         meta = self._fold(meta, mg_state, tracked, exact)
