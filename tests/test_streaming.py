@@ -1,3 +1,4 @@
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import words_df
@@ -372,3 +373,54 @@ def test_certificate_sees_faults(spark):
     assert row([("a", 4), ("b", 2)]) == (10, 1, 0, 0, 0, True)
     assert row([("b", 4), ("x", 1)]) == (10, 1, 1, 2, 1, True)
     assert row([("a", 5), ("b", 3), ("c", 1)]) == (10, 1, 0, 0, 0, False)
+
+
+def test_a_batch_is_read_once_for_counts_and_reservoir(spark, monkeypatch):
+    from trendlens.streaming import fold as fold_module
+
+    monkeypatch.setattr(fold_module, "SMALL_PRIORITY", "8")
+    store, fold = fold_for(spark, min_slots=5, compact_every=2)
+    read = spark.sparkContext.accumulator(0)
+
+    def passed(r):
+        read.add(1)
+        return r
+
+    for e in range(3):
+        rows = spark.sparkContext.parallelize([(f"w{i % 3}", f"{e}:{i}") for i in range(1000)], 20).map(passed)
+        before = read.value
+        fold(spark.createDataFrame(rows, "keyword string, uid string"), e)
+        assert read.value - before < 1500  # all once, and a few to see that there are some
+        assert fold.meta_before(e)[1].exact_runs[-1].rows < 1000 * (e + 1)  # rows of counts, not occurrences
+    assert {r["keyword"]: r["n"] for r in fold.exact_state(fold.meta_before(2)[1]).collect()} == {"w0": 1002, "w1": 999, "w2": 999}
+
+
+@pytest.mark.parametrize("small", ["", "1", "8", "g"])
+def test_reservoir_is_the_same_wherever_priorities_are_split(spark, monkeypatch, small):
+    """Occurrences with equal ids included, and ids that most of a batch shares; N grows and shrinks."""
+    from hashlib import md5
+
+    from trendlens.config import DEFAULT_SEED
+    from trendlens.sources.snapshot import read_samples
+    from trendlens.streaming import fold as fold_module
+
+    monkeypatch.setattr(fold_module, "SMALL_PRIORITY", small)
+    store, fold = fold_for(spark, min_slots=6, compact_every=2)
+    state, counts, n = [], {}, 2
+    for e, (size, new_n) in enumerate([(40, None), (3, None), (60, 12), (50, 4)]):
+        rows = [(f"w{i % 7}", "same" if e != 1 and i % 3 else f"{e}:{i % 20}") for i in range(size)]
+        if new_n:
+            set_control(store, n=new_n)
+            n = new_n
+        fold(spark.createDataFrame(rows, "keyword string, uid string"), e)
+        state += [(md5(f"{DEFAULT_SEED}:{u}".encode()).hexdigest(), False, u, w) for w, u in rows]
+        kept = sorted(state, key=lambda r: r[:3])
+        at = min([i for i, r in enumerate(kept) if r[1]] + [max(6, n)])
+        state = [*kept[:at], *((r[0], True, *r[2:]) for r in kept[at : at + 1])]
+        for w, _ in rows:
+            counts[w] = counts.get(w, 0) + 1
+        got = read_samples(store).count()
+        assert got == min(n, at)
+        slots = fold_module.slots_of(fold.sketch(fold.meta_before(e)[1])).collect()
+        assert sorted((r["priority"], r["dropped"], r["uid"]) for r in slots) == sorted(r[:3] for r in state)
+        assert {r["keyword"]: r["n"] for r in fold.exact_state(fold.meta_before(e)[1]).collect()} == counts

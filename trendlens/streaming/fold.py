@@ -8,8 +8,10 @@ Per epoch e, in the reference's order -- config, reset, rows, counters, publish:
    keeps the K largest counters, counts unchanged; N changes how many slots are
    shown), then reset if its token is new (sketches, exact counts and counters
    cleared; k, n kept);
-3. one write folds the batch into keyword counts and the reservoir, each in a pass
-   of its own over the source; its size is observed on the way. One aggregate by keyword brings
+3. one pass over the source folds the batch into keyword counts, in which the
+   occurrences whose priority is small stay apart; its size is observed on the way.
+   The reservoir comes from those few; only where they are too few for it, as in a
+   small batch, the batch is read again. One aggregate by keyword brings
    together those counts, the MG counters and -- if enabled -- the exact counts
    of the batch's keywords, and gives the sketch state;
 4. from that bounded state one write publishes the snapshot (one table: hot
@@ -61,6 +63,8 @@ from trendlens.streaming.state import EpochStore
 #: Rows of a bucket of a merged run, and buckets of a run at most.
 BUCKET_ROWS = 1 << 16
 MAX_BUCKETS = 1 << 12
+#: Priorities below this, one in 1,024, stay apart from the counts of a batch.
+SMALL_PRIORITY = "004"
 #: States of up to so many rows are handled and written by one task.
 ONE_TASK_ROWS = 1_000_000
 
@@ -132,6 +136,11 @@ def tracked_of(sketch: DataFrame) -> DataFrame:
     return sketch.where(F.col("kind") == "exact").select("keyword", F.col("approx_count").alias("exact_count"))
 
 
+def counts_of(batch: DataFrame) -> DataFrame:
+    """The counts ``(keyword, n)`` of a batch, whose sum by keyword counts: an occurrence kept apart has a row of its own."""
+    return batch.where(F.col("kind").isin("count", "apart")).select("keyword", "n")
+
+
 def slot_rows(slots: DataFrame) -> DataFrame:
     return slots.select(F.when(F.col("dropped"), "dropped").otherwise("slot").alias("kind"), "keyword", "priority", "uid")
 
@@ -191,7 +200,7 @@ class EpochFold:
         if run.level:
             rows = self.store.read("state/exact_base", run.epoch, EXACT_STATE)
             return rows if run.buckets > 1 else rows.select("keyword", "n")
-        return self.store.read("state/batch", run.epoch, BATCH_STATE).where(F.col("kind") == "count").select("keyword", "n")
+        return counts_of(self.store.read("state/batch", run.epoch, BATCH_STATE))
 
     def exact_state(self, meta: Meta) -> DataFrame:
         """Cumulative exact counts ``(keyword, n)``: the sum of all runs."""
@@ -212,7 +221,7 @@ class EpochFold:
         for r in meta.exact_runs:
             if r.buckets > 1:
                 wanted = keys.withColumn("bucket", _bucket(r.buckets))
-                out.append(self._run(r).join(hint(wanted), ["bucket", "keyword"]).select("keyword", "n"))
+                out.append(self._run(r).join(hint(wanted), ["bucket", "keyword"], "left_semi").select("keyword", "n"))
         return out
 
     def _compacted(self, meta: Meta) -> Meta:
@@ -290,23 +299,16 @@ class EpochFold:
         # the epoch is replayed over the same input splits.
         uid = F.col("uid").cast("string") if "uid" in batch.columns else F.lit(None).cast("string")
         fallback = F.concat(F.lit(f"e{e}:"), F.monotonically_increasing_id().cast("string"))
-        # The rows aren't kept between the passes: a large batch is cheaper parsed twice than held.
+        # The rows aren't kept for a second pass: a large batch is cheaper parsed twice than held.
         rows = batch.select("keyword", F.coalesce(uid, fallback).alias("uid"))
         meta = replace(meta, epoch=e, batch_count=0)
         if rows.isEmpty():  # an observation of no rows at all may never arrive
             self._empty_epoch(meta, mg_state, slots, tracked, changed, reset)
             return
-        seen = Observation()
-        counts = rows.observe(seen, F.count(F.lit(1)).alias("rows")).groupBy("keyword").agg(F.count(F.lit(1)).alias("n"))
-        none = F.lit(None)
-        counts = counts.select("keyword", "n", none.cast("string").alias("priority"), none.cast("string").alias("uid"), F.lit("count").alias("kind"))
-        new_slots = slot_rows(rs.reservoir_update(slots, rows, "uid", self.seed, self.slots_kept(meta.n)))
-        new_slots = new_slots.select("keyword", none.cast("long").alias("n"), "priority", "uid", "kind")
-        counts.unionByName(new_slots).write.mode("overwrite").partitionBy("kind").parquet(store.epoch_path("state/batch", e))
-        batch_count = int(seen.get["rows"])
+        batch_count, n_rows = self._count(meta, rows, slots)
         meta = replace(meta, batch_count=batch_count)
         exact = self.keeps_exact(meta)
-        meta = self._fold(meta, mg_state, tracked, exact)
+        meta = self._fold(meta, mg_state, tracked, exact, n_rows)
         if exact:
             meta = self._compacted(meta)
 
@@ -321,20 +323,48 @@ class EpochFold:
         self._publish(meta)
         self._commit(meta)
 
+    def _count(self, meta: Meta, rows: DataFrame, slots: DataFrame) -> tuple[int, int]:
+        """Write the batch's counts and the reservoir after it; its size, and its rows of counts."""
+        out = self.store.epoch_path("state/batch", meta.epoch)
+        kept = self.slots_kept(meta.n)
+        held = slots.agg(F.min(F.when(F.col("dropped"), F.col("priority"))).alias("mark"), F.count_if(F.col("priority") < SMALL_PRIORITY).alias("small")).first()
+        mark = held["mark"]  # rows after it stay out
+        certain = mark is not None and mark < SMALL_PRIORITY
+        small = F.col("priority") <= mark if certain else F.col("priority") < SMALL_PRIORITY
+        apart = rs.with_priority(rows, "uid", self.seed).select("keyword", F.when(small, F.col("priority")).alias("priority"), F.when(small, F.col("uid")).alias("uid"))
+        counts = apart.groupBy("keyword", "priority", "uid").agg(F.count(F.lit(1)).alias("n"))
+        seen = Observation()
+        found = F.coalesce(F.sum(F.when(F.col("uid").isNotNull(), F.col("n"))), F.lit(0)).cast("long")
+        counts = counts.observe(seen, F.sum("n").alias("rows"), F.count(F.lit(1)).alias("groups"), found.alias("apart"))
+        kind = F.when(F.col("uid").isNull(), "count").otherwise("apart").alias("kind")
+        counts.select("keyword", "n", "priority", "uid", kind).write.mode("overwrite").partitionBy("kind").parquet(out)
+        got = seen.get
+        if certain or int(got["apart"]) + int(held["small"]) > kept:
+            few = self.store.read("state/batch", meta.epoch, BATCH_STATE).where(F.col("kind") == "apart")
+            # equal occurrences beyond those that fit can't be in a slot, nor be the mark
+            copies = F.explode(F.sequence(F.lit(1).cast("long"), F.least(F.col("n"), F.lit(kept + 1).cast("long"))))
+            rows = few.select("keyword", "uid", copies.alias("copy")).drop("copy")
+        new_slots = slot_rows(rs.reservoir_update(slots, rows, "uid", self.seed, kept))
+        new_slots = new_slots.select("keyword", F.lit(None).cast("long").alias("n"), "priority", "uid", "kind")
+        new_slots.write.mode("append").partitionBy("kind").parquet(out)
+        return int(got["rows"]), int(got["groups"])
+
     def _narrow(self, frame: DataFrame, meta: Meta) -> DataFrame:
         """One task for what K and N bound, as long as that is little: no shuffles among a few rows."""
         return frame.coalesce(1) if 2 * meta.k + 2 * self.slots_kept(meta.n) <= ONE_TASK_ROWS else frame
 
-    def _fold(self, meta: Meta, mg_state: DataFrame, tracked: DataFrame, exact: bool) -> Meta:
-        """Write the sketch state after the batch; the frame ``all`` has every keyword that it may concern, once."""
+    def _fold(self, meta: Meta, mg_state: DataFrame, tracked: DataFrame, exact: bool, n_rows: int) -> Meta:
+        """Write the sketch state after the batch; the frame ``together`` has every keyword that it may concern, once.
+
+        ``n_rows``: rows of the batch's counts, and so its keywords at most.
+        """
         store, e = self.store, meta.epoch
         batch = store.read("state/batch", e, BATCH_STATE)
-        counts, slots = batch.where(F.col("kind") == "count"), batch.where(F.col("kind") != "count")
+        counts, slots = counts_of(batch), batch.where(F.col("kind").isin("slot", "dropped"))
         parts = [counts.select("keyword", F.col("n").alias("d")), mg_state.select("keyword", F.col("approx_count").alias("m"))]
         grown = meta.k > meta.exact_k
         if exact:
-            n_keys = meta.batch_count  # at most
-            runs = [self._run(r).select("keyword", "n") for r in meta.exact_runs] if grown else self._known(meta, counts.select("keyword"), n_keys)
+            runs = [self._run(r).select("keyword", "n") for r in meta.exact_runs] if grown else self._known(meta, counts.select("keyword"), n_rows)
             parts += [r.select("keyword", F.col("n").alias("x")) for r in runs]
             parts += [tracked.select("keyword", F.col("exact_count").alias("t")), slots.select("keyword", F.lit(1).cast("long").alias("s"))]
         rows = parts[0]
@@ -366,7 +396,7 @@ class EpochFold:
         more = grew.get
         return replace(
             meta,
-            exact_runs=meta.exact_runs + (Run(e, 0, meta.batch_count),),
+            exact_runs=meta.exact_runs + (Run(e, 0, n_rows),),
             exact_total=meta.exact_total + meta.batch_count,
             exact_unique=meta.exact_unique + int(more["keys"]),
             exact_bytes=meta.exact_bytes + int(more["bytes"]),

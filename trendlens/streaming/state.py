@@ -6,7 +6,7 @@ Layout under a stream root::
                            epoch's scalar state (counters, k, n, reset token, error
                            bound, where its sketch state and snapshot live)
     log_head/epoch=e/      all log rows up to e in one file, every LOG_HEAD epochs
-    state/batch/epoch=e/   the batch's keyword counts and the reservoir after it
+    state/batch/epoch=e/   the batch's keyword counts, then the reservoir after it
     state/exact_base/epoch=e/   merged exact counts
     state/sketch/epoch=e/  MG counters, reservoir slots and tracked exact counts after epoch e
     snapshot/epoch=e/      the published snapshot (hot topics, exact top-K, samples,
