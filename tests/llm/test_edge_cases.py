@@ -433,3 +433,40 @@ def test_stages_on_odd_rows(spark, docs, none, name):
     if name != last:
         assert out.columns == docs.columns and all(r.hash == "h" for r in rows)
     assert stage(spark, none, "/root/testdata/sf0.001").count() == 0
+
+
+def test_suffixes_of_many_classes_at_once():
+    """Fingerprints are those of each class alone, and equal for equal (anchor, offset, string)."""
+    rng = np.random.default_rng(5)
+    bodies = [bytes(rng.integers(97, 99, n, np.uint8)) for n in (400, 749, 400, 1, 620)]
+    bodies.append(b"zz" + bodies[1])
+    left, anchor = np.array([0, 349, 10, 0, 200, 351]), np.array([7, -3, 7, 0, 2**62, -3])
+    n, place, key = suffix_dedup.suffixes(bodies, left, anchor)
+    assert n.tolist() == [1, 350, 1, 0, 221, 352]
+    at = np.cumsum(n) - n
+    for k, body in enumerate(bodies):
+        m, p, own = suffix_dedup.suffixes([body], left[k : k + 1], anchor[k : k + 1])
+        assert m[0] == n[k] and (p == place[at[k] : at[k] + n[k]]).all() and (own == key[at[k] : at[k] + n[k]]).all()
+    assert (key[at[5] + 2 : at[5] + 352] == key[at[1] : at[1] + 350]).all()
+    assert len(np.unique(key)) == len(key) - 350
+
+
+def test_narrowed_rows_stay_out_of_python(spark):
+    from trendlens.llm import bounded
+
+    df = spark.createDataFrame([(1, "a"), (2, None), (None, "c"), (2, "d")], "id long, text string")
+    got = bounded.narrowed(df, "id", spark.createDataFrame([(2,), (None,)], "id long"))
+    assert sorted(got.collect(), key=str) == sorted([(2, None), (None, "c"), (2, "d")], key=str)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "MapInPandas" not in plan and "MapInArrow" not in plan
+
+
+def test_a_worker_keeps_one_operators_tables():
+    made = []
+    first = common.kept("a", lambda: made.append(1) or object())
+    assert common.kept("a", lambda: made.append(2)) is first
+    common.kept("b", object)
+    assert common.kept("a", lambda: made.append(3)) is None and made == [1, 3]
+    for _ in ngram_join.batches_of(iter(())):
+        pass
+    assert not common._KEPT

@@ -52,7 +52,7 @@ from pyspark.sql import functions as F
 
 from trendlens.llm import rolling
 from trendlens.llm.bounded import chunked, fold, narrowed
-from trendlens.llm.common import ship, stored, unskewed_join
+from trendlens.llm.common import let_go, ship, stored, unskewed_join
 
 WORDS = 5
 PERCENT = 80
@@ -145,6 +145,7 @@ def batches_of(frames: Iterator[pd.DataFrame], size: int = 1_000_000) -> Iterato
     """Arrow batches cut into runs of texts of about ``size`` characters."""
     from trendlens.llm import words
 
+    let_go()
     for frame in frames:
         texts = [t or "" for t in frame["text"]]
         for s in words.slices(texts, size):

@@ -34,7 +34,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from trendlens.llm.common import ship, stored
+from trendlens.llm.common import let_go, ship, stored
 
 MAX_TOXIC, MAX_CLEAN, MAX_CHARS = 2500, 5000, 20_000  # the sample that the model is fitted on
 MAX_FEATURES = 20_000
@@ -313,6 +313,7 @@ def with_scores(docs: DataFrame, model: Model, name: str = "score") -> DataFrame
     held = spark.sparkContext.broadcast(model)  # at most MAX_FEATURES weights
 
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        let_go()
         for texts in batches:
             yield pd.Series([held.value.document(t or "") for t in texts], dtype="float64")
 
