@@ -470,3 +470,30 @@ def test_a_worker_keeps_one_operators_tables():
     for _ in ngram_join.batches_of(iter(())):
         pass
     assert not common._KEPT
+
+
+def test_ngram_near_copies_of_one_text(spark, monkeypatch):
+    """Near copies are linked through the most typical of them, though the smallest ids have many edits; the join then has few pairs left."""
+    rng, base, asked = random.Random(5), [f"w{k}" for k in range(120)], []
+    edited = lambda n: {at: f"x{rng.random()}" for at in rng.sample(range(120), n)}
+    rows = [(i, " ".join(e.get(k, w) for k, w in enumerate(base))) for i in range(240) for e in [edited(6 if i < 20 else 1)]]
+    linked = ngram_join.linked
+    monkeypatch.setattr(ngram_join, "linked", lambda pairs, *rest: asked.append(pairs.count()) or linked(pairs, *rest))
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_join.ngram_components(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == brute_components(dict(rows))
+    assert len(asked) == 2 and asked[1] < 240  # all pairs: 28,680
+
+
+def test_ngram_rare_tokens_come_first():
+    """Tokens of one document come before those of five, also where a coarse bucket holds several tokens."""
+    rng = np.random.default_rng(5)
+    once, shared = rng.integers(0, 1 << 64, 1 << 21, np.uint64), rng.integers(0, 1 << 64, 1000, np.uint64)
+    parts = [once, *[shared] * 5]
+    coarse = np.bincount((np.concatenate(parts) >> np.uint64(44)).astype(np.int64), minlength=1 << ngram_join.FREQUENCY_BITS)
+    fine = ngram_join.fine_counts(parts[0])
+    for more in parts[1:]:
+        fine = ngram_join.add_nibbles(fine, ngram_join.fine_counts(more))
+    assert (ngram_join.ranked(once, (coarse, fine), 0) < ngram_join.ranked(shared, (coarse, fine), 0).min()).mean() > 0.99
+    often = np.full(300, shared[0])
+    assert ngram_join.add_nibbles(fine, ngram_join.fine_counts(often)).max() >> 4 <= 15
+    assert (ngram_join.ranked(shared[:1], (coarse + 300, ngram_join.fine_counts(often)), 0) >> np.uint64(56))[0] == np.floor(2 * np.log2(coarse[int(shared[0] >> np.uint64(44))] + 300))

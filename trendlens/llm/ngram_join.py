@@ -11,12 +11,16 @@ shared, so documents with too few others don't meet under the first order. Texts
 sets can be that similar by their parity sketches: a bit for each hash of a
 token, flipped by every token of the set, so the bits in which two sketches
 differ are at most as many as the tokens in only one set. An order ranks tokens by how frequent their hash bucket is over the
-whole corpus (a table of fixed size), then by a hash of the order's own. Rare
-tokens come first, so passages that many documents share seldom reach a prefix.
+whole corpus (tables of fixed size: small counts of many buckets, large ones of few),
+then by a hash of the order's own. Rare tokens come first, so passages that many
+documents share seldom reach a prefix. Most tokens of a large corpus are rare, so
+only with many buckets are they told from those that a few documents share.
 
 Documents that a first round proves linked need not meet again pair by pair:
 equal sets are linked by their digest, and documents whose least token under a
-plain hash order agrees are compared with one of them only. The join then pairs
+plain hash order agrees are compared with one of them only (in large groups with a
+fixed number): with the most typical, whose least tokens under several orders are other documents' too, as an unedited
+original's are and those of a copy with many edits are not. The join then pairs
 only documents of different components, so a group of near copies costs a few
 comparisons a document, and no link between components is lost. Of the components
 that a token meets, the one with most of its documents is on one side of the join only. A document and
@@ -51,14 +55,17 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from trendlens.llm import rolling
-from trendlens.llm.bounded import chunked, fold, narrowed
+from trendlens.llm.bounded import CHUNKS, add_nibbles, chunked, fold, narrowed
 from trendlens.llm.common import let_go, ship, stored, unskewed_join
 
 WORDS = 5
 PERCENT = 80
 ORDERS = 3
 STARS = 3  # hash orders of the first round
+TYPICAL = 8  # hash orders by which its centers are chosen, those included
+CENTERS, LARGE = 8, 64  # centers of a group that has more documents than that
 FREQUENCY_BITS = 20  # buckets of the frequency table; 4 MB in all
+FINE_BITS = 24  # buckets of the counts up to 14; 8 MB in all
 SKETCH_BITS = 64  # of the smallest sketch
 PARTNERS = 500  # a document is copied once for so many partners
 HOT = 0  # postings outside its largest part from which a token comes the later, the more it has
@@ -101,9 +108,27 @@ def seeded(hashes: np.ndarray, seed: int) -> np.ndarray:
     return rolling.mix(hashes ^ rolling.mix(np.array([seed + 1], np.uint64))[0])
 
 
-def ranked(hashes: np.ndarray, frequency: np.ndarray, order: int) -> np.ndarray:
+def fine_counts(hashes: np.ndarray) -> np.ndarray:
+    """Counters of 4 bits by hash bucket, two in a byte: those of the lower half of the buckets and of the upper."""
+    fine = np.zeros(1 << FINE_BITS - 1, np.uint8)
+    add_fine(fine, hashes)
+    return fine
+
+
+def add_fine(fine: np.ndarray, hashes: np.ndarray) -> None:
+    bucket, n = np.unique((hashes >> np.uint64(64 - FINE_BITS)).astype(np.uint32), return_counts=True)
+    n = np.minimum(n, 15).astype(np.uint8)
+    upper = int(np.searchsorted(bucket, len(fine)))
+    for at, more in ((bucket[:upper], n[:upper]), (bucket[upper:] - np.uint32(len(fine)), n[upper:] << 4)):
+        fine[at] = add_nibbles(fine[at], more)
+
+
+def ranked(hashes: np.ndarray, frequency: tuple[np.ndarray, np.ndarray], order: int) -> np.ndarray:
     """Ranks of tokens under a global order: the frequency class first, then the order's own hash."""
-    count = frequency[(hashes >> np.uint64(64 - FREQUENCY_BITS)).astype(np.int64)]
+    coarse, fine = frequency
+    bucket = (hashes >> np.uint64(64 - FINE_BITS)).astype(np.int64)
+    few = (fine[bucket & (len(fine) - 1)] >> np.where(bucket < len(fine), 0, 4).astype(np.uint8)) & 15
+    count = np.where(few < 15, few, coarse[bucket >> (FINE_BITS - FREQUENCY_BITS)])
     level = np.floor(2 * np.log2(np.maximum(count, 1))).astype(np.uint64)
     return (level << np.uint64(56)) | (seeded(hashes, 100 + order) >> np.uint64(8))
 
@@ -152,14 +177,15 @@ def batches_of(frames: Iterator[pd.DataFrame], size: int = 1_000_000) -> Iterato
             yield frame.iloc[s], texts[s]
 
 
-def summaries(docs: DataFrame) -> tuple[DataFrame, np.ndarray]:
-    """(doc_id, n, digest_a, digest_b, least tokens, sketch) of every document, and the frequency table."""
+def summaries(docs: DataFrame) -> tuple[DataFrame, tuple[np.ndarray, np.ndarray]]:
+    """(doc_id, n, digest_a, digest_b, least tokens, sketch) of every document, and the frequency tables."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        table = np.zeros(1 << FREQUENCY_BITS, np.uint32)
+        table, fine = np.zeros(1 << FREQUENCY_BITS, np.uint32), fine_counts(np.zeros(0, np.uint64))
         for frame, texts in batches_of(frames):
             owner, hashes = shingles(texts)
             table += np.bincount((hashes >> np.uint64(64 - FREQUENCY_BITS)).astype(np.int64), minlength=len(table)).astype(np.uint32)
+            add_fine(fine, hashes)
             n = np.bincount(owner, minlength=len(texts)).astype(np.int64)
             full = np.flatnonzero(n)
             at = (np.cumsum(n) - n)[full]
@@ -169,25 +195,29 @@ def summaries(docs: DataFrame) -> tuple[DataFrame, np.ndarray]:
                 if len(full):
                     sums[full] = np.add.reduceat(seeded(hashes, 10 + k), at)
                 out[name] = sums.view(np.int64)
-            for k in range(STARS):
+            for k in range(TYPICAL):
                 least = np.zeros(len(texts), np.uint64)
                 if len(full):
                     least[full] = np.minimum.reduceat(seeded(hashes, k), at)
                 out[f"least_{k}"] = least.view(np.int64)
             yield out.assign(sketch=sketches(owner, hashes, n), chunk=-1, body=None)
         if table.any():
-            part = chunked(table)
-            yield part.assign(doc_id=pd.array([None] * len(part), "Int64"), n=0, digest_a=0, digest_b=0, **{f"least_{k}": 0 for k in range(STARS)}, sketch=None)[[*ROW, "sketch", "chunk", "body"]]
+            for first, part in ((0, chunked(table)), (CHUNKS, chunked(fine))):
+                part["chunk"] += np.int32(first)
+                yield part.assign(doc_id=pd.array([None] * len(part), "Int64"), n=0, digest_a=0, digest_b=0, **{f"least_{k}": 0 for k in range(TYPICAL)}, sketch=None)[[*ROW, "sketch", "chunk", "body"]]
 
     schema = ", ".join(f"{c} long" for c in ROW) + ", sketch binary, chunk int, body binary"
     # without nulls, beside which pandas would hold ids as floats and round the large ones
     whole = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(0)).alias("doc_id"), F.col("doc_id").cast("long").isNull().alias("none"), "text")
     rows = stored(whole.mapInPandas(run, schema), "ngram-summaries")
-    frequency = fold(rows.where("chunk >= 0"), "u4", np.add)
-    return rows.where("chunk < 0").drop("chunk", "body"), frequency if len(frequency) else np.zeros(1 << FREQUENCY_BITS, np.uint32)
+    tables = rows.where("chunk >= 0")
+    coarse, fine = fold(tables.where(F.col("chunk") < CHUNKS), "u4", np.add), fold(tables.where(F.col("chunk") >= CHUNKS), "u1", add_nibbles)
+    if not len(coarse):
+        coarse, fine = np.zeros(1 << FREQUENCY_BITS, np.uint32), fine_counts(np.zeros(0, np.uint64))
+    return rows.where("chunk < 0").drop("chunk", "body"), (coarse, fine)
 
 
-ROW = ["doc_id", "n", "digest_a", "digest_b", *(f"least_{k}" for k in range(STARS))]
+ROW = ["doc_id", "n", "digest_a", "digest_b", *(f"least_{k}" for k in range(TYPICAL))]
 
 
 def postings(docs: DataFrame, frequency) -> DataFrame:
@@ -363,6 +393,24 @@ def together(post: DataFrame) -> DataFrame:
     return pairs.select(*ends()).distinct()
 
 
+def compared(single: DataFrame, total: int) -> DataFrame:
+    """The pairs (a, b) of the first round: a document and the most typical one with the same least token under an order."""
+    least = F.explode(F.array(*[F.struct(F.lit(k).alias("k"), F.col(f"least_{k}").alias("token")) for k in range(TYPICAL)]))
+    least = stored(single.select("doc_id", "n", least.alias("l")).select("doc_id", "n", "l.k", "l.token"), "ngram-least")
+    held = stored(least.groupBy("k", "token").agg(F.count("*").alias("c")).where("c > 1"), "ngram-held")
+    met = unskewed_join(least, held, ["k", "token"], "c", TYPICAL * total)
+    typical = met.groupBy("doc_id", "n").agg(F.sum(F.floor(16 * F.log2("c"))).alias("typical"), F.collect_list(F.when(F.col("k") < STARS, F.struct("k", "token", "c"))).alias("own"))
+    met = stored(typical.select("doc_id", "n", "typical", F.explode("own").alias("o")).select("doc_id", "n", "typical", "o.k", "o.token"), "ngram-typical")
+    sizes = met.groupBy("k", "token").agg(F.count("*").alias("c"))
+    share = F.when(F.col("c") > LARGE, F.pmod(F.xxhash64("doc_id"), F.lit(CENTERS))).otherwise(0)
+    met = stored(unskewed_join(met, sizes, ["k", "token"], "c", STARS * total).withColumn("share", share), "ngram-stars")
+    center = met.groupBy("k", "token", "share").agg(F.max(F.struct("typical", "doc_id", "n")).alias("center"))
+    center = center.groupBy("k", "token").agg(F.collect_list("center").alias("centers")).join(sizes, ["k", "token"])  # CENTERS at most
+    stars = unskewed_join(met.drop("c"), center, ["k", "token"], "c", STARS * total).select(F.explode("centers").alias("center"), F.col("doc_id").alias("b"), F.col("n").alias("b_n"))
+    stars = stars.select(F.col("center.doc_id").alias("a"), F.col("center.n").alias("a_n"), "b", "b_n")
+    return stars.where((F.col("a") != F.col("b")) & F.expr(FIT)).select("a", "b").distinct()
+
+
 def find_links(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(summaries, links of the first round and of the join, components) of documents (doc_id, text)."""
     spark = docs.sparkSession
@@ -375,12 +423,7 @@ def find_links(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     equal, total = ["digest_a", "digest_b", "n"], rows.count()
     same = full.groupBy(*equal).agg(F.min("doc_id").alias("a"), F.count("*").alias("c")).where("c > 1")
     copies = unskewed_join(full, same, equal, "c", total).where("a <> doc_id").select("a", F.col("doc_id").alias("b"))
-    single = full.groupBy(*equal).agg(F.min("doc_id").alias("doc_id"), *[F.first(f"least_{k}").alias(f"least_{k}") for k in range(STARS)])
-    least = F.explode(F.array(*[F.struct(F.lit(k).alias("k"), F.col(f"least_{k}").alias("token")) for k in range(STARS)]))
-    least = stored(single.select("doc_id", "n", least.alias("l")).select("doc_id", "n", "l.k", "l.token"), "ngram-least")
-    center = least.groupBy("k", "token").agg(F.min(F.struct("doc_id", "n")).alias("center"), F.count("*").alias("c")).where("c > 1")
-    stars = unskewed_join(least, center, ["k", "token"], "c", STARS * total).select(F.col("center.doc_id").alias("a"), F.col("center.n").alias("a_n"), F.col("doc_id").alias("b"), F.col("n").alias("b_n"))
-    stars = stars.where((F.col("a") != F.col("b")) & F.expr(FIT)).select("a", "b").distinct()
+    stars = compared(full.groupBy(*equal).agg(F.min("doc_id").alias("doc_id"), *[F.first(f"least_{k}").alias(f"least_{k}") for k in range(TYPICAL)]), total)
     known = stored(linked(stars, named, frequency).unionByName(copies), "ngram-known")
     parts = components(known)
 
