@@ -175,6 +175,8 @@ def batches_of(frames: Iterator[pd.DataFrame], size: int = 1_000_000) -> Iterato
         texts = [t or "" for t in frame["text"]]
         for s in words.slices(texts, size):
             yield frame.iloc[s], texts[s]
+    frame = texts = None
+    let_go()
 
 
 def summaries(docs: DataFrame) -> tuple[DataFrame, tuple[np.ndarray, np.ndarray]]:
