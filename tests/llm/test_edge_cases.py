@@ -497,3 +497,30 @@ def test_ngram_rare_tokens_come_first():
     often = np.full(300, shared[0])
     assert ngram_join.add_nibbles(fine, ngram_join.fine_counts(often)).max() >> 4 <= 15
     assert (ngram_join.ranked(shared[:1], (coarse + 300, ngram_join.fine_counts(often)), 0) >> np.uint64(56))[0] == np.floor(2 * np.log2(coarse[int(shared[0] >> np.uint64(44))] + 300))
+
+
+def test_near_copies_that_link_with_none_meet_few(spark, monkeypatch):
+    """Edited copies that are near no other share most of a large group's tokens; their short sketches keep them from meeting all of it."""
+    rng, base, met = random.Random(7), [f"w{k}" for k in range(240)], []
+    edited = lambda spots: {at: f"x{rng.random()}" for at in spots}
+    spots = [rng.sample(range(5, 235, 6), 2) for _ in range(150)] + [rng.sample(range(5, 235, 6), 5) for _ in range(50)]
+    rows = [(i, " ".join(e.get(k, w) for k, w in enumerate(base))) for i, own in enumerate(spots) for e in [edited(own)]]
+    stored = ngram_join.stored
+    count = lambda df, name: met.append(df.count()) if name == "ngram-candidates" else None
+    monkeypatch.setattr(ngram_join, "stored", lambda df, name: count(df, name) or stored(df, name))
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_join.ngram_components(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == brute_components(dict(rows))
+    assert len(met) == 1 and met[0] < 1500  # of the 7,500 between the group and the others
+
+
+def test_copies_leave_the_join_to_one(spark, monkeypatch):
+    """Of equal sets, in whatever partitions, only the least id's prefix meets others; an id that has several texts keeps its own."""
+    base = [f"w{k}" for k in range(100)]
+    texts = [" ".join(base), " ".join(base[:60] + ["x"] + base[61:])]
+    rows = [(10 * k + i, t) for k in range(20) for i, t in enumerate(texts)] + [(5, "a b c d e f"), (1, "a b c d e f"), (0, "g h i j k l")]
+    posts, crossing = [], ngram_join.crossing
+    monkeypatch.setattr(ngram_join, "crossing", lambda post: posts.append({r.doc_id for r in post.select("doc_id").distinct().collect()}) or crossing(post))
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(8)
+    got = {(r.doc_id, r.n_shingles): r.component_id for r in ngram_join.ngram_components(df).collect()}
+    assert {c for (_, n), c in got.items() if n == 96} == {0} and got[5, 2] == got[1, 2] == 0  # 1 has both texts
+    assert posts and posts[0] <= {0, 1}

@@ -25,7 +25,7 @@ only documents of different components, so a group of near copies costs a few
 comparisons a document, and no link between components is lost. Of the components
 that a token meets, the one with most of its documents is on one side of the join only. A document and
 all that it is compared with meet in one stream; a document with many partners
-is copied to several.
+is copied to several. Of equal sets one document joins, so copies don't meet other documents' copies.
 
 Within the tokens that several components hold, a document's come in a second
 global order: those that many documents outside their largest component hold come
@@ -67,6 +67,7 @@ CENTERS, LARGE = 8, 64  # centers of a group that has more documents than that
 FREQUENCY_BITS = 20  # buckets of the frequency table; 4 MB in all
 FINE_BITS = 24  # buckets of the counts up to 14; 8 MB in all
 SKETCH_BITS = 64  # of the smallest sketch
+MARKS = 8  # words of 64 bits of the short sketch that postings carry
 PARTNERS = 500  # a document is copied once for so many partners
 HOT = 0  # postings outside its largest part from which a token comes the later, the more it has
 
@@ -157,6 +158,13 @@ def sketches(owner: np.ndarray, hashes: np.ndarray, n: np.ndarray) -> list[bytes
     return [packed[f // 8 : (f + b) // 8].tobytes() for f, b in zip(first.tolist(), bits.tolist())]
 
 
+def short_sketches(owner: np.ndarray, hashes: np.ndarray, texts: int) -> np.ndarray:
+    """Parity sketches of 64 * MARKS bits: a row of words for each text."""
+    bits = 64 * MARKS
+    at = owner * bits + (seeded(hashes, 21) % np.uint64(bits)).view(np.int64)
+    return np.packbits(np.bincount(at, minlength=texts * bits) & 1 == 1).view(np.int64).reshape(texts, MARKS)
+
+
 def apart(x: bytes, y: bytes) -> int:
     """Tokens that are in only one of two sets, at least; the longer sketch is folded to the shorter."""
     a, b = sorted((np.frombuffer(x, np.uint8), np.frombuffer(y, np.uint8)), key=len)
@@ -180,7 +188,7 @@ def batches_of(frames: Iterator[pd.DataFrame], size: int = 1_000_000) -> Iterato
 
 
 def summaries(docs: DataFrame) -> tuple[DataFrame, tuple[np.ndarray, np.ndarray]]:
-    """(doc_id, n, digest_a, digest_b, least tokens, sketch) of every document, and the frequency tables."""
+    """(doc_id, n, digest_a, digest_b, least tokens, short sketch, sketch) of every document, and the frequency tables."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         table, fine = np.zeros(1 << FREQUENCY_BITS, np.uint32), fine_counts(np.zeros(0, np.uint64))
@@ -202,11 +210,13 @@ def summaries(docs: DataFrame) -> tuple[DataFrame, tuple[np.ndarray, np.ndarray]
                 if len(full):
                     least[full] = np.minimum.reduceat(seeded(hashes, k), at)
                 out[f"least_{k}"] = least.view(np.int64)
+            for k, word in enumerate(short_sketches(owner, hashes, len(texts)).T):
+                out[f"mark_{k}"] = word
             yield out.assign(sketch=sketches(owner, hashes, n), chunk=-1, body=None)
         if table.any():
             for first, part in ((0, chunked(table)), (CHUNKS, chunked(fine))):
                 part["chunk"] += np.int32(first)
-                yield part.assign(doc_id=pd.array([None] * len(part), "Int64"), n=0, digest_a=0, digest_b=0, **{f"least_{k}": 0 for k in range(TYPICAL)}, sketch=None)[[*ROW, "sketch", "chunk", "body"]]
+                yield part.assign(doc_id=pd.array([None] * len(part), "Int64"), **dict.fromkeys(ROW[1:], 0), sketch=None)[[*ROW, "sketch", "chunk", "body"]]
 
     schema = ", ".join(f"{c} long" for c in ROW) + ", sketch binary, chunk int, body binary"
     # without nulls, beside which pandas would hold ids as floats and round the large ones
@@ -219,29 +229,21 @@ def summaries(docs: DataFrame) -> tuple[DataFrame, tuple[np.ndarray, np.ndarray]
     return rows.where("chunk < 0").drop("chunk", "body"), (coarse, fine)
 
 
-ROW = ["doc_id", "n", "digest_a", "digest_b", *(f"least_{k}" for k in range(TYPICAL))]
+ROW = ["doc_id", "n", "digest_a", "digest_b", *(f"least_{k}" for k in range(TYPICAL)), *(f"mark_{k}" for k in range(MARKS))]
 
 
 def postings(docs: DataFrame, frequency) -> DataFrame:
-    """(token, doc_id, n) of the prefixes under the first order; a task leaves out sets it has already seen."""
+    """(token, doc_id, n) of the prefixes under the first order."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        table, seen = frequency.value, set()
+        table = frequency.value
         for frame, texts in batches_of(frames):
             owner, hashes = shingles(texts)
             n = np.bincount(owner, minlength=len(texts)).astype(np.int64)
             at = np.cumsum(n) - n
-            rank = ranked(hashes, table, 0)
-            full = np.flatnonzero(n)
-            keep = np.zeros(len(texts), bool)
-            if len(full):
-                sums = np.add.reduceat(seeded(hashes, 10), at[full]).tolist()
-                for k, s in zip(full.tolist(), sums):
-                    keep[k] = (s, int(n[k])) not in seen
-                    seen.add((s, int(n[k])))
-            order = np.lexsort((rank, owner))
+            order = np.lexsort((ranked(hashes, table, 0), owner))
             place = np.arange(len(owner)) - at[owner]
-            own = keep[owner] & (place < prefix_size(n)[owner])
+            own = place < prefix_size(n)[owner]
             yield pd.DataFrame({"token": hashes[order][own].view(np.int64), "doc_id": frame["doc_id"].to_numpy(np.int64)[owner[own]], "n": n[owner[own]]})
 
     return docs.mapInPandas(run, "token long, doc_id long, n long")
@@ -381,17 +383,21 @@ def components(links: DataFrame) -> DataFrame:
 FIT = f"a_n * 100 >= b_n * {PERCENT} AND b_n * 100 >= a_n * {PERCENT}"
 NEED = f"({PERCENT} * (a_n + b_n) + {99 + PERCENT}) div {100 + PERCENT} - greatest(({PERCENT} * a_n + 99) div 100, ({PERCENT} * b_n + 99) div 100) + 1"
 
-
 def together(post: DataFrame) -> DataFrame:
     """The pairs (a, b, a_n, b_n) of different parts that can share enough of the tokens of ``post``.
 
     Of the tokens that two documents share, the first in the common order has all the
     others after it in both. So a pair that shares enough meets there with enough
-    tokens to go, and other meetings are left out.
+    tokens to go, and other meetings are left out. Of these, pairs whose short sketches
+    (columns ``mark_*``, if there) differ in more bits than similar sets can are left out at once: in a
+    group of near copies, most documents that aren't in its component meet most that are.
     """
-    few = post.where("part <> largest").select(F.col("token").alias("few_token"), F.col("doc_id").alias("x"), F.col("n").alias("a_n"), F.col("part").alias("x_part"), F.col("rest").alias("x_rest"))
+    marks = [c for c in post.columns if c.startswith("mark_")]
+    bits = " + ".join(["0", *[f"bit_count(x_{m} ^ {m})" for m in marks]])
+    room = F.expr(f"{100 + PERCENT} * ({bits}) <= {100 - PERCENT} * (a_n + b_n)")
+    few = post.where("part <> largest").select(F.col("token").alias("few_token"), F.col("doc_id").alias("x"), F.col("n").alias("a_n"), F.col("part").alias("x_part"), F.col("rest").alias("x_rest"), *[F.col(m).alias(f"x_{m}") for m in marks])
     once = (F.col("part") == F.col("largest")) | (F.col("x") < F.col("doc_id"))
-    pairs = few.join(post.withColumnRenamed("n", "b_n"), (F.col("few_token") == F.col("token")) & (F.col("x_part") != F.col("part")) & once & F.expr(FIT) & (F.least("x_rest", "rest") >= F.expr(NEED)))
+    pairs = few.join(post.withColumnRenamed("n", "b_n"), (F.col("few_token") == F.col("token")) & (F.col("x_part") != F.col("part")) & once & F.expr(FIT) & (F.least("x_rest", "rest") >= F.expr(NEED)) & room)
     return pairs.select(*ends()).distinct()
 
 
@@ -429,10 +435,14 @@ def find_links(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     known = stored(linked(stars, named, frequency).unionByName(copies), "ngram-known")
     parts = components(known)
 
-    post = postings(named, frequency).repartition("token").dropDuplicates()
+    # of equal sets only the least doc_id meets others: nearly all copies are left out before they are read, the rest below
+    marks = [f"mark_{k}" for k in range(MARKS)]
+    first = stored(full.groupBy(*equal).agg(F.min("doc_id").alias("doc_id"), *[F.first(m).alias(m) for m in marks]).select("doc_id", "n", *marks), "ngram-first")
+    post = postings(narrowed(named, "doc_id", first.select("doc_id")), frequency).repartition("token").dropDuplicates()
     post = post.withColumn("many", F.count("*").over(Window.partitionBy("token"))).where("many > 1").drop("many")
-    post = post.join(parts, "doc_id", "left").withColumn("part", F.coalesce("component_id", "doc_id")).drop("component_id")
-    post = stored(crossing(stored(post, "ngram-shared")), "ngram-postings")
+    held = first.select("doc_id", "n").distinct().join(parts, "doc_id", "left").select("doc_id", "n", F.coalesce("component_id", "doc_id").alias("part"))
+    post = post.join(held, ["doc_id", "n"]).select("token", "doc_id", "n", "part")
+    post = stored(crossing(stored(post, "ngram-shared")).join(first, ["doc_id", "n"]), "ngram-postings")
     found = linked(near(stored(together(post), "ngram-candidates"), full), named, frequency)
     links = stored(known.unionByName(found), "ngram-links")
     return rows, links, components(links)
