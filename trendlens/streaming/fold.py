@@ -349,9 +349,16 @@ class EpochFold:
         new_slots.write.mode("append").partitionBy("kind").parquet(out)
         return int(got["rows"]), int(got["groups"])
 
+    def _is_little(self, meta: Meta) -> bool:
+        return 2 * meta.k + 2 * self.slots_kept(meta.n) <= ONE_TASK_ROWS
+
     def _narrow(self, frame: DataFrame, meta: Meta) -> DataFrame:
         """One task for what K and N bound, as long as that is little: no shuffles among a few rows."""
-        return frame.coalesce(1) if 2 * meta.k + 2 * self.slots_kept(meta.n) <= ONE_TASK_ROWS else frame
+        return frame.coalesce(1) if self._is_little(meta) else frame
+
+    def _gathered(self, frame: DataFrame, meta: Meta) -> DataFrame:
+        """The same for a few rows picked from many: the tasks that pick them stay as they are."""
+        return frame.repartition(1) if self._is_little(meta) else frame
 
     def _fold(self, meta: Meta, mg_state: DataFrame, tracked: DataFrame, exact: bool, n_rows: int) -> Meta:
         """Write the sketch state after the batch; the frame ``together`` has every keyword that it may concern, once.
@@ -386,7 +393,7 @@ class EpochFold:
             grew = Observation()
             size = F.coalesce(F.sum(F.when(F.col("is_new"), payload_bytes("keyword"))), zero).cast("long")
             top = ex.exact_topk(own.observe(grew, F.count_if("is_new").alias("keys"), size.alias("bytes")), meta.k)
-            held = own.where("s IS NOT NULL").select("keyword", "exact_count")
+            held = self._gathered(own.where("s IS NOT NULL").select("keyword", "exact_count"), meta)
             new_tracked = self._narrow(top.unionByName(held), meta).groupBy("keyword").agg(F.max("exact_count").alias("exact_count"))
         state = as_sketch(new_mg, slots, new_tracked)
         self._narrow(state, meta).write.mode("overwrite").parquet(store.epoch_path("state/sketch", e))

@@ -86,10 +86,13 @@ class EpochStore:
         names = [status.getPath().getName() for status in fs.listStatus(target)]
         return sorted(int(n[len("epoch="):]) for n in names if n.startswith("epoch="))
 
-    def remove(self, name: str, epoch: int) -> None:
-        fs, target = self._folder(self.epoch_path(name, epoch))
+    def remove_folder(self, path: str) -> None:
+        fs, target = self._folder(path)
         fs.delete(target, True)
 
+    def remove(self, name: str, epoch: int) -> None:
+        self.remove_folder(self.epoch_path(name, epoch))
+
     # -- the epoch log (commit protocol) -------------------------------------------
 
     def _head(self) -> tuple[int, DataFrame | None]:
