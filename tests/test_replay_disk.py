@@ -147,3 +147,27 @@ def test_sampled_keywords_are_picked_by_many_tasks(spark, monkeypatch):
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
     tracked = {r["keyword"]: r["exact_count"] for r in real(fold, narrowed[0], fold.meta_before(0)[1]).collect()}
     assert len(tracked) > 3 and set(tracked.values()) == {10}
+
+
+def registered(spark, monkeypatch, name, texts):
+    """The rows of a registered query over documents of these texts, and the folder of its replay."""
+    from trendlens.plans import streams
+    from trendlens.plans.registry import QUERIES
+
+    data, roots = new_work_dir(spark, "test-docs"), {}
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{data}/documents.parquet")
+
+    def at(spark, name):
+        return roots.setdefault(name, new_work_dir(spark, name))
+
+    monkeypatch.setattr(streams, "new_work_dir", at)
+    rows = QUERIES[name](spark, data).collect()
+    return rows, next(root for name, root in roots.items() if name.startswith("replay-"))
+
+
+def test_export_records_of_a_replay_whose_messages_went(spark, monkeypatch):
+    rows, root = registered(spark, monkeypatch, "stream_export_records", ["a b a", "b c a", "a\nnew line", "c"])
+    kinds = [r["record_type"] for r in rows]
+    assert (kinds.count("hot_topic"), kinds.count("sample"), len(rows)) == (5, 9, 14)
+    assert sorted(r["keyword"] for r in rows if r["record_type"] == "sample") == sorted("a b a b c a c".split() + ["a\nnew", "line"])
+    assert os.path.isdir(f"{root}/store") and not os.path.exists(f"{root}/source")
