@@ -171,3 +171,9 @@ def test_export_records_of_a_replay_whose_messages_went(spark, monkeypatch):
     assert (kinds.count("hot_topic"), kinds.count("sample"), len(rows)) == (5, 9, 14)
     assert sorted(r["keyword"] for r in rows if r["record_type"] == "sample") == sorted("a b a b c a c".split() + ["a\nnew", "line"])
     assert os.path.isdir(f"{root}/store") and not os.path.exists(f"{root}/source")
+
+
+def test_reset_empty_of_a_replay_whose_messages_went(spark, monkeypatch):
+    rows, root = registered(spark, monkeypatch, "stream_reset_empty", ["a b a", "b c a", "a\nnew line", "c"])
+    assert [tuple(r) for r in rows] == [(9, 4, 1_700_000_000, 0, 0, 0)]
+    assert os.path.isdir(f"{root}/store") and not os.path.exists(f"{root}/source")
